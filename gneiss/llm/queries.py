@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from gneiss.llm import simhash
+from gneiss.llm import quality, rules, simhash
 from gneiss.llm.common import table
 
 
+def op2_quality_classifier(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_dedup,)}
+def op6_quality_rules(spark, sf_dir):
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
