@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from gneiss.llm import quality, rules, simhash
-from gneiss.llm.common import table
+import uuid
+
+from pyspark.sql import functions as F
+
+from gneiss.llm import packing, quality, rules, simhash, tokenstore
+from gneiss.llm.common import shared_dir, table
 
 
 def op2_quality_classifier(spark, sf_dir):
@@ -18,5 +22,16 @@ def op6_quality_rules(spark, sf_dir):
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules)}
+def op7_token_files(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    manifest = tokenstore.write_tokens(table(spark, sf_dir, "documents"), folder)
+    found = tokenstore.read_tokens(manifest, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules, op7_token_files, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
