@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gneiss.llm import packing, quality, rules, simhash, tokenstore
+from gneiss.llm import langid, packing, quality, rules, simhash, tokenstore
 from gneiss.llm.common import shared_dir, table
 
 
@@ -29,9 +29,13 @@ def op7_token_files(spark, sf_dir):
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_language_id(spark, sf_dir):
+    return langid.detect(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules, op7_token_files, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules, op7_token_files, op9_language_id, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
