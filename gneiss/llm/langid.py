@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from gneiss.llm.common import bounded_batches, id_remainder
 from gneiss.llm.tokens import decoded
@@ -219,7 +220,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
     bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # features by labels: a fixed size
     at = docs.columns.index(text_col)
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
