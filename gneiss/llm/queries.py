@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gneiss.llm import langid, packing, quality, rules, simhash, tokenstore
+from gneiss.llm import langid, packing, quality, rules, simhash, tokenstore, warc
 from gneiss.llm.common import shared_dir, table
 
 
@@ -29,6 +29,12 @@ def op7_token_files(spark, sf_dir):
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_warc(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.archive_pages(table(spark, sf_dir, "pages"), folder)
+    return warc.archived_pages(spark, folder)
+
+
 def op9_language_id(spark, sf_dir):
     return langid.detect(table(spark, sf_dir, "documents"))
 
@@ -37,5 +43,14 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules, op7_token_files, op9_language_id, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules, op7_token_files, op8_warc, op9_language_id, op10_packing)}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        c AS (SELECT payload_digest, min(page_id) AS winner FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN winner IS NULL OR page_id IS NOT DISTINCT FROM winner THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
+        FROM p LEFT JOIN c USING (payload_digest)
+    """,
+}
