@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gneiss.llm import langid, packing, quality, rules, simhash, tokenstore, warc
+from gneiss.llm import ann, langid, packing, quality, rules, simhash, tokenstore, warc
 from gneiss.llm.common import shared_dir, table
 
 
@@ -14,6 +14,10 @@ def op2_quality_classifier(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op5_simhash_dedup, op6_quality_rules, op7_token_files, op8_warc, op9_language_id, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_nearest_neighbours, op5_simhash_dedup, op6_quality_rules, op7_token_files, op8_warc, op9_language_id, op10_packing)}
 ORACLE_SQL: dict[str, str] = {
     "op8_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
