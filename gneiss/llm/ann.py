@@ -173,7 +173,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, beam: int
     blocks = -(-max(1, queries.count()) // block_rows)
     queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = queries.join(index.select("dim", "shard"), "dim")  # a copy of each query for each shard
+    places = index.select(F.col("dim").alias("of_dim"), F.col("shard").alias("at"))
+    right = queries.join(places, F.col("dim") == F.col("of_dim"))  # a copy of each query for each shard
 
     def run(key: tuple, shard: pa.Table, block: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -205,7 +206,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, beam: int
                         out["score"].append(float(d))
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
-    found = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "shard", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
+    found = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "at", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
