@@ -19,7 +19,7 @@ NEIGHBOURS = 10
 QUERY_MODULUS = 100
 #: Nodes of a shard, queries of a block: what one task holds at a time.
 SHARD_ROWS, BLOCK_ROWS = 8_192, 4_096
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 48, 96, 1.2
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 48, 64, 192, 1.2
 _PAIRS = 4_000_000
 
 
