@@ -6,14 +6,23 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gneiss.llm import ann, langid, packing, quality, rules, simhash, tokenstore, warc
+from gneiss.llm import ann, langid, packing, quality, rules, sentencepiece_sa, simhash, token_counts, tokenstore, warc
 from gneiss.llm.common import shared_dir, table
 
 
+def op1_sentencepiece(spark, sf_dir):
+    found = sentencepiece_sa.encode_texts(table(spark, sf_dir, "documents"), with_ids=False)
+    return found.drop("ids")
+
+
 def op2_quality_classifier(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -47,7 +56,7 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_nearest_neighbours, op5_simhash_dedup, op6_quality_rules, op7_token_files, op8_warc, op9_language_id, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_classifier, op3_token_counts, op4_nearest_neighbours, op5_simhash_dedup, op6_quality_rules, op7_token_files, op8_warc, op9_language_id, op10_packing)}
 ORACLE_SQL: dict[str, str] = {
     "op8_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
