@@ -67,10 +67,10 @@ def ood_distance(df: DataFrame, key: str, vector: str, quantile: float = 0.995)
 
 def auroc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: area under the curve from mid-ranks. Ranks come from counts of distinct scores, not from a global sort of rows."""
-    by = df.groupBy(score).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p"))
-    below = F.coalesce(F.sum(F.col("n") - F.col("p")).over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = by.select("n", "p", (F.col("p") * (below + (F.col("n") - F.col("p")) / 2)).alias("won"))
-    return won.agg((F.sum("won") / (F.sum("p") * F.sum(F.col("n") - F.col("p")))).alias("auroc"))
+    by = df.groupBy(F.col(score).alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_pos"))
+    below = F.coalesce(F.sum(F.col("_n") - F.col("_pos")).over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = by.select("_n", "_pos", (F.col("_pos") * (below + (F.col("_n") - F.col("_pos")) / 2)).alias("_won"))
+    return won.agg((F.sum("_won") / (F.sum("_pos") * F.sum(F.col("_n") - F.col("_pos")))).alias("auroc"))
 
 
 def classification_metrics(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:

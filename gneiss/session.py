@@ -17,3 +17,15 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder every executor sees: under spark.checkpoint.dir, or a temporary one where that is unset (one machine)."""
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        shared = "file://" + tempfile.mkdtemp(prefix="gneiss-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
