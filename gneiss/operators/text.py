@@ -52,6 +52,7 @@ def _terms(df: DataFrame, key: str, text: str) -> DataFrame:
 def tfidf_search(df: DataFrame, key: str, text: str, question: str, k: int = 8) -> DataFrame:
     """(key, similarity) of the k documents most alike to a question: 1- and 2-grams, log tf, smoothed idf, cosine.
 
+    Similarities are rounded to ten digits, so equal texts tie whatever the order of their sums.
     Document norms need every term once (one partially aggregated shuffle); the dot product only the question's terms.
     """
     spark = df.sparkSession
@@ -62,7 +63,7 @@ def tfidf_search(df: DataFrame, key: str, text: str, question: str, k: int = 8)
     q = _terms(spark.createDataFrame([(0, question)], "_q int, _text string"), "_q", "_text").groupBy("term").agg((F.log(F.count(F.lit(1))) + 1).alias("qtf")).join(idf, "term").select("term", (F.col("qtf") * F.col("idf")).alias("qw"))
     qnorm = q.agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
     scored = weights.join(F.broadcast(q), "term", "left").groupBy(key).agg(F.sum(F.col("w") * F.coalesce("qw", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    out = scored.where("dot > 0").crossJoin(F.broadcast(qnorm)).select(key, (F.col("dot") / (F.col("norm") * F.col("qn"))).alias("similarity"))
+    out = scored.where("dot > 0").crossJoin(F.broadcast(qnorm)).select(key, F.round(F.col("dot") / (F.col("norm") * F.col("qn")), 10).alias("similarity"))
     return out.orderBy(F.desc("similarity"), key).limit(k)
 
 

@@ -538,7 +538,7 @@ def tag_extract(spark, d):
     df AS (SELECT term, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term), w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN df USING (term)),
     qq AS (SELECT term, idf AS qw FROM df WHERE list_contains((SELECT terms FROM q), term)), n AS (SELECT sqrt(sum(qw * qw)) AS qn FROM qq),
     s AS (SELECT doc_id, sum(w * coalesce(qw, 0)) AS dot, sqrt(sum(w * w)) AS norm FROM w LEFT JOIN qq USING (term) GROUP BY doc_id)
-    SELECT doc_id, round(dot / (norm * qn), 8) AS similarity FROM s, n WHERE dot > 0 ORDER BY dot / (norm * qn) DESC, doc_id LIMIT 10
+    SELECT doc_id, round(dot / (norm * qn), 8) AS similarity FROM s, n WHERE dot > 0 ORDER BY round(dot / (norm * qn), 10) DESC, doc_id LIMIT 10
 """)
 def tfidf_search(spark, d):
     return text.tfidf_search(table(spark, d, "documents"), "doc_id", "text", "there and the", 10).withColumn("similarity", F.round("similarity", 8))

@@ -14,10 +14,26 @@ from gneiss.plans.contracts import Contract
 STREAM_SCHEMA = "key string, timestamp long, value string, topic string"
 
 
+_MANIFEST = "source string, business_date string, batch_id string, file_count int, files array<struct<name:string,size:long,sha256:string,entity:string,records:long,pages:long,control_total:double>>"
+
+
 def manifests(spark: SparkSession, landing: str, date: str) -> DataFrame:
-    """A row per listed file of each source's manifest of a date: source, name, size, sha256, records, control_total."""
-    schema = "source string, business_date string, batch_id string, file_count int, files array<struct<name:string,size:long,sha256:string,entity:string,records:long,pages:long,control_total:double>>"
-    raw = spark.read.schema(schema).option("multiLine", True).json(f"{landing}/*/{date}/_manifest.json")
+    """A row per listed file of each source's manifest of a date: source, name, size, sha256, records, control_total.
+
+    Spark's readers pass over names that begin with an underscore, so the manifests (one small file per source) are
+    read through the file system's own calls.
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{landing}/*/{date}/_manifest.json")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    texts = []
+    for found in fs.globStatus(pattern):
+        stream = fs.open(found.getPath())
+        try:
+            texts.append((jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"),))
+        finally:
+            stream.close()
+    raw = spark.createDataFrame(texts, "value string").select(F.from_json("value", _MANIFEST).alias("m")).select("m.*")
     return raw.select("source", "business_date", "batch_id", F.explode("files").alias("f")).select("source", "business_date", "batch_id", "f.*")
 
 
