@@ -144,7 +144,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counts = settle(document_counts(docs, id_col, text_col, lang_col))
     languages = sorted(COMMON_WORDS)
     first = with_distances(counts, references(counts, languages))
-    refs = references(first.where(F.least(F.lit(1.0), *(F.col(c) for c in first.columns if c.startswith("c_"))) <= TRIM_DISTANCE), languages)
+    refs = references(first.where(F.least(F.lit(1.0), F.lit(1.0), *(F.col(c) for c in first.columns if c.startswith("c_"))) <= TRIM_DISTANCE), languages)
     df = with_distances(counts, refs)
     near = [((F.col("n_chars") < MIN_CHARS) | (F.col(f"c_{x}") <= max_class_distance + CLASS_NOISE / F.sqrt("n_chars"))) & ((F.col("n_words") < MIN_WORDS_JUDGED) | (F.col(f"w_{x}") <= max_word_share * wordless_distance(refs[x][1]))) for x in sorted(refs)]
     least = lambda kind: F.least(*(F.col(f"{kind}_{x}") for x in sorted(refs))) if len(refs) > 1 else F.col(f"{kind}_{next(iter(refs))}") if refs else F.lit(None).cast("double")
