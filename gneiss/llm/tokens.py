@@ -15,7 +15,18 @@ import numpy as np
 END_ID = 0
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-_CACHED_CHARS, _CACHE_ENTRIES = 48, 300_000
+_WORD_AND_MARKS = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,100})([.,;:!?]{0,4})").fullmatch
+_CACHED_CHARS, _CACHE_ENTRIES, _TOGETHER = 48, 100_000, 512
+
+
+def _byte_chars() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable Latin-1 as is, others from U+0100 on."""
+    as_is = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in as_is]
+    return {b: chr(b) if b in as_is else chr(256 + others.index(b)) for b in range(256)}
+
+
+_BYTE_CHARS = _byte_chars()
 
 
 def default_path() -> str:
@@ -25,7 +36,11 @@ def default_path() -> str:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes. The strings of special tokens are ordinary text."""
+    """Ids as little-endian unsigned 32-bit bytes. The strings of special tokens are ordinary text.
+
+    The cache has two generations: a full one becomes the old one, and what is found there moves to the new one, so
+    frequent pieces stay and single ones go.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,27 +48,55 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one run of letters with or without a space before it: the library's merges alone."""
+        found = self.new.get(word) or self.old.get(word)
+        if found is None:
+            chars = word.replace(" ", "\u0120") if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+            table = self.id_bytes
+            found = b"".join([table[k.id] for k in self.library.model.tokenize(chars)])
+        self.new[word] = found
+        return found
+
+    def _add(self, missing: list[str]) -> None:
+        """Find pieces that are not in the new generation: a word and its closing marks apart, others by the whole library."""
+        rest, word, marks, new, old = [], self._word, self.marks, self.new, self.old
+        for x in missing:
+            if x in old:
+                new[x] = old[x]
+            elif (m := _WORD_AND_MARKS(x)) and m[2] in marks:
+                new[x] = word(m[1]) + marks[m[2]]
+            elif m:
+                new[x] = word(m[1]) + marks.setdefault(m[2], self._ids([m[2]])[0])
+            else:
+                rest.append(x)
+        for at in range(0, len(rest), _TOGETHER):
+            part = rest[at : at + _TOGETHER]
+            new.update(zip(part, self._ids(part), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > _CACHE_ENTRIES:
-            self.cache.clear()
-        cache, pieces = self.cache, []
+        out = []
         for t in texts:
+            if len(self.new) > _CACHE_ENTRIES:
+                self.old, self.new = self.new, {}
             if _SPACE_AFTER_SPACE.search(t):
-                pieces.append(_BEFORE_SPACE.split(t))
+                pieces = _BEFORE_SPACE.split(t)
             else:
-                first, *rest = t.split(" ")
-                pieces.append([first, *[" " + x for x in rest]])
-        missing = list({x for p in pieces for x in p if x not in cache})
-        found = dict(zip(missing, self._ids(missing), strict=True))
-        out = []
-        for p in pieces:
-            out.append(b"".join([cache[x] if x in cache else found[x] for x in p]))
-        cache.update((k, v) for k, v in found.items() if len(k) <= _CACHED_CHARS)
+                pieces = t.replace(" ", "\x00 ").split("\x00") if "\x00" not in t else _BEFORE_SPACE.split(t)
+            missing = set(pieces).difference(self.new)
+            if missing:
+                self._add(list(missing))
+            out.append(b"".join(map(self.new.__getitem__, pieces)))
+            for x in [x for x in missing if len(x) > _CACHED_CHARS]:
+                del self.new[x]
         return out
 
 
