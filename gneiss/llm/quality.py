@@ -198,5 +198,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     model = train(docs, labels, id_col, text_col)
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index(text_col)]))
-    kept = score(rows, model, "text", "score").where(F.col("score") >= threshold)
+    # The row number, always true here, keeps the optimizer from moving the condition below the statistics, where each
+    # rule would compute them again.
+    kept = score(rows, model, "text", "score").withColumn("row", F.monotonically_increasing_id()).where((F.col("score") >= threshold) & (F.col("row") >= 0))
     return kept.select(*(F.col(a).alias(b) for a, b in zip(names, docs.columns, strict=True)))

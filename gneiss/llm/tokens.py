@@ -15,8 +15,10 @@ import numpy as np
 END_ID = 0
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-_WORD_AND_MARKS = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,100})([.,;:!?]{0,4})").fullmatch
-_CACHED_CHARS, _CACHE_ENTRIES, _TOGETHER = 48, 100_000, 512
+#: Letters, and marks that the splitting pattern takes as one piece (no apostrophe: it may begin a contraction).
+_LETTERS, _MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,100}", r"[!-&(-/:-@\[-`{-~]{0,6}"
+_WORD_AND_MARKS = re.compile(rf"( ?{_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?").fullmatch
+_CACHED_CHARS, _CACHE_ENTRIES, _MARK_ENTRIES, _TOGETHER = 48, 250_000, 10_000, 512
 
 
 def _byte_chars() -> dict[int, str]:
@@ -52,6 +54,7 @@ class Encoder:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
+        (self.line_end,) = self._ids(["\n"])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -66,16 +69,27 @@ class Encoder:
         self.new[word] = found
         return found
 
-    def _add(self, missing: list[str]) -> None:
-        """Find pieces that are not in the new generation: a word and its closing marks apart, others by the whole library."""
-        rest, word, marks, new, old = [], self._word, self.marks, self.new, self.old
+    def _mark(self, marks: str) -> bytes:
+        if (found := self.marks.get(marks)) is None:
+            if len(self.marks) > _MARK_ENTRIES:
+                self.marks = {"": b""}
+            found = self.marks[marks] = self._ids([marks])[0]
+        return found
+
+    def _add(self, missing: set[str]) -> None:
+        """Find pieces that are not in the new generation: words, closing marks and a line end apart, others by the whole library."""
+        rest, word, mark, line_end, new, old = [], self._word, self._mark, self.line_end, self.new, self.old
         for x in missing:
             if x in old:
                 new[x] = old[x]
-            elif (m := _WORD_AND_MARKS(x)) and m[2] in marks:
-                new[x] = word(m[1]) + marks[m[2]]
-            elif m:
-                new[x] = word(m[1]) + marks.setdefault(m[2], self._ids([m[2]])[0])
+            elif m := _WORD_AND_MARKS(x):
+                first, end, second, last = m.groups()
+                if second:
+                    new[x] = word(first) + mark(end) + line_end + word(second) + mark(last)
+                elif end:
+                    new[x] = word(first) + mark(end)
+                else:
+                    word(x)
             else:
                 rest.append(x)
         for at in range(0, len(rest), _TOGETHER):
@@ -91,12 +105,15 @@ class Encoder:
                 pieces = _BEFORE_SPACE.split(t)
             else:
                 pieces = t.replace(" ", "\x00 ").split("\x00") if "\x00" not in t else _BEFORE_SPACE.split(t)
-            missing = set(pieces).difference(self.new)
-            if missing:
-                self._add(list(missing))
-            out.append(b"".join(map(self.new.__getitem__, pieces)))
-            for x in [x for x in missing if len(x) > _CACHED_CHARS]:
-                del self.new[x]
+            found = list(map(self.new.get, pieces))
+            if None in found:
+                missing = {x for x, v in zip(pieces, found, strict=True) if v is None}
+                self._add(missing)
+                new = self.new
+                found = [new[x] if v is None else v for x, v in zip(pieces, found, strict=True)]
+                for x in [x for x in missing if len(x) > _CACHED_CHARS]:
+                    del new[x]
+            out.append(b"".join(found))
         return out
 
 
