@@ -216,7 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = distinct.join(linked, distinct.fp == linked.node).select("fp", "root", "least_id")
     least = member.groupBy("root").agg(F.min("least_id").alias("found"))
     moved = member.join(least, "root").select("fp", "found")
-    classes = distinct.join(moved, "fp", "left").select("fp", F.coalesce("found", "least_id").alias("component_id"))
+    # Settled, so that the last join stands right on its two exchanges and a fingerprint of many copies can be split.
+    classes = settle(distinct.join(moved, "fp", "left").select("fp", F.coalesce("found", "least_id").alias("component_id")))
     out = own.join(classes, "fp")
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
