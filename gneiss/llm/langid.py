@@ -23,10 +23,11 @@ from gneiss.llm.tokens import decoded
 
 UNKNOWN = "und"
 HOLD_OUT_MODULUS, HOLD_OUT = 3, 1
-#: Learned from whole documents, drawn by a hash of the id: about so many, until the characters reach the limit.
+#: Learned from so many spans of text, drawn by a hash of the id and the span's place; together at most so many characters.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 1_200, 3_000_000
+#: The most frequent languages are learned, at most so many: the matrix has a column for each.
+MAX_LANGUAGES = 64
 FEATURE_BITS = 17
-_SAMPLE_BUCKETS = 1 << 20
 _LETTERS = regex.compile(r"\p{L}+")
 _CACHE_WORDS = 300_000
 _CHUNK = 128
@@ -171,24 +172,30 @@ def fit(texts: list[str], langs: list[str], rounds: int = 40, rate: float = 0.5,
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_documents: int = SAMPLE_DOCUMENTS, sample_chars: int = SAMPLE_CHARS) -> Model | None:
-    """Fit on a bounded sample of whole documents outside the held-out third; None without any.
+    """Fit on a bounded sample of the text outside the held-out third; None without any.
 
-    Languages are drawn alike (a share of each, by a hash of the id), so rare ones are learned too. Rows come in hash
-    order until ``sample_chars`` characters are reached.
+    Documents are spans of ``sample_chars // sample_documents`` characters laid end to end, the last one shorter; most
+    documents are one or two. Each language has the same number of spans, those of its smallest hashes, or all it has:
+    neither a long document nor another language takes a place. The ``MAX_LANGUAGES`` most frequent languages are
+    learned, ties by name; a text of another one gets the learned language it is most like.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_remainder("id", HOLD_OUT_MODULUS) != HOLD_OUT))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()}
-    if not counts:
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & (id_remainder("id", HOLD_OUT_MODULUS) != HOLD_OUT))
+    langs = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
+    if not langs:
         return None
-    each = max(1, sample_documents // len(counts))
-    bucket = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(_SAMPLE_BUCKETS))
-    limit = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(_SAMPLE_BUCKETS, max(1, -(-_SAMPLE_BUCKETS * each // n)))))))
-    rows = rows.withColumn("bucket", bucket).where(F.col("bucket") < F.try_element_at(limit, F.col("lang"))).withColumn("size", F.length("text"))
-    rows = rows.orderBy("bucket", "id", "size").limit(2 * sample_documents)  # also bounds ids that repeat without end
-    order = Window.orderBy("bucket", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = rows.withColumn("sum", F.sum("size").over(order)).where(F.col("sum") <= sample_chars).orderBy("bucket", "id", "size").select("text", "lang").collect()
-    return fit([r["text"] for r in found], [r["lang"] for r in found]) if found else None
+    # One language alone needs no model; two at least keep the limit low enough to reach the tasks before the shuffle.
+    each, span = max(1, sample_documents // max(2, len(langs))), max(1, sample_chars // sample_documents)
+    rows = rows.where(F.col("lang").isin(langs))
+    places = F.sequence(F.lit(0), F.ceil(F.length("text") / span).cast("int") - 1)
+    draw = lambda i: F.xxhash64(F.lit("langid"), "id", i)
+    first = lambda df, *order: df.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("place") <= each)
+    # Short rows find each language's largest hash; only the spans up to it carry text.
+    top = first(rows.select("lang", F.explode(F.transform(places, draw)).alias("draw")), "draw").groupBy("lang").agg(F.max("draw").alias("top")).collect()
+    limit = F.try_element_at(F.create_map(*(F.lit(x) for r in top for x in (r["lang"], r["top"]))), F.col("lang"))
+    taken = F.transform(F.filter(places, lambda i: draw(i) <= limit), lambda i: F.struct(draw(i).alias("draw"), F.substring("text", i * span + 1, F.lit(span)).alias("text")))
+    found = first(rows.select("lang", F.explode(taken).alias("s")).select("lang", "s.*"), "draw", "text").orderBy("draw", "lang", "text").select("text", "lang").collect()
+    return fit([r["text"] for r in found], [r["lang"] for r in found])
 
 
 def label_words(model: Model, text: str) -> list[tuple[str, str, float]]:

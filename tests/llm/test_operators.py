@@ -292,6 +292,30 @@ def test_language_id(spark, docs, odd_docs, no_docs):
     assert langid.detect(no_docs).count() == 0 and langid.keep_known(docs).columns == docs.columns
 
 
+def test_language_sample_long_documents_and_rare_languages(spark, monkeypatch):
+    words = {"en": "the of and that was with for this have from ", "fr": "le la les des dans une que est avec pour ", "xx": "zug zog zak zilk zam zorn zuv zek zib zol "}
+    rows = [(i, words["en"] * 5, "en") for i in range(300)] + [(i, words["fr"] * 4000, "fr") for i in range(300, 330)]
+    rows += [(i, words["xx"] * (40_000 if i == 401 else 3), "xx") for i in range(400, 404)] + [(7, words["fr"] + "fin", "fr")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    own = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda texts, langs: seen.append((texts, langs)) or own(texts, langs))
+    found = langid.detect(docs).join(docs.select("doc_id", "lang").distinct(), "doc_id").where("doc_id <> 7")
+    assert all(r["lang_pred"] == r["lang"] for r in found.collect())
+    sizes = {x: [len(t) for t, y in zip(*seen[0], strict=True) if x == y] for x in words}
+    assert all(sizes.values()) and len(sizes["fr"]) == 400 and sum(map(sum, sizes.values())) <= langid.SAMPLE_CHARS
+    same = spark.createDataFrame([(9, words[x] * 3, x) for x in ("en", "fr") for _ in range(900)], "doc_id long, text string, lang string")
+    assert zlib.crc32(b"9") % 3 != 1 and {(r["lang_pred"], r["n"]) for r in langid.detect(same).groupBy("lang_pred").agg(F.count(F.lit(1)).alias("n")).collect()} == {("en", 900), ("fr", 900)}
+    assert Counter(seen[1][1]) == {"en": 600, "fr": 600}
+
+
+def test_languages_past_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(i, {"aa": "bado bedu bido", "bb": "kota keti kumo", "cc": "kota keti kuma"}[x], x) for i, x in enumerate(["aa"] * 30 + ["bb"] * 20 + ["cc"] * 9)]
+    found = langid.detect(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {(r["lang_pred"]) for r in found if r["doc_id"] >= 50} == {"bb"} and len(found) == len(rows)
+
+
 def test_forward_backward_against_enumeration():
     from itertools import product
 
