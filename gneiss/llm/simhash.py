@@ -16,7 +16,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gneiss.llm.common import bounded_batches, settle
@@ -47,16 +47,21 @@ def fingerprint(data: bytes | None, words_in_shingle: int = SHINGLE_WORDS) -> in
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp long): the fingerprint of each whole text, as a signed long. A null text counts as empty."""
+    """(id, copy, fp long): the fingerprint of each whole text, as a signed long, and a hash of the text that tells rows
+    of one id apart. A null text counts as empty."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = np.fromiter((fingerprint(t, words_in_shingle) for t in b.column(1).cast(pa.binary()).to_pylist()), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out.view(np.int64))], names=["id", "copy", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), text_hash(text_col).alias("copy"))
+    return rows.mapInArrow(run, "id long, copy long, fp long")
+
+
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
 
 
 def band_masks(parts: int, radius: int = RADIUS) -> list[int]:
@@ -201,6 +206,17 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def classes(own: DataFrame, first: Column, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """(fp, first): the minimum ``first`` of the rows (id, copy, fp) of each fingerprint's connected component."""
+    distinct = settle(own.groupBy("fp").agg(F.min(first).alias("least")))
+    linked = components(links(distinct, distinct.count(), radius, tree_rows))
+    linked = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
+    member = distinct.join(linked, distinct.fp == linked.node).select("fp", "root", "least")
+    least = member.groupBy("root").agg(F.min("least").alias("found"))
+    moved = member.join(least, "root").select("fp", "found")
+    return distinct.join(moved, "fp", "left").select("fp", F.coalesce("found", "least").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, words_in_shingle: int = SHINGLE_WORDS, tree_rows: int = TREE_ROWS) -> DataFrame:
     """(id_col, fingerprint, component_id) for every row of docs.
 
@@ -209,21 +225,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null id takes part and gets the smallest non-null id of its component, or null if there is none. Other columns of
     docs are ignored; an empty table gives no rows.
     """
-    own = settle(fingerprints(docs, id_col, text_col, words_in_shingle))
-    distinct = settle(own.groupBy("fp").agg(F.min("id").alias("least_id")))
-    linked = components(links(distinct, distinct.count(), radius, tree_rows))
-    linked = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
-    member = distinct.join(linked, distinct.fp == linked.node).select("fp", "root", "least_id")
-    least = member.groupBy("root").agg(F.min("least_id").alias("found"))
-    moved = member.join(least, "root").select("fp", "found")
+    own = settle(fingerprints(docs, id_col, text_col, words_in_shingle).drop("copy"))
     # Settled, so that the last join stands right on its two exchanges and a fingerprint of many copies can be split.
-    classes = settle(distinct.join(moved, "fp", "left").select("fp", F.coalesce("found", "least_id").alias("component_id")))
-    out = own.join(classes, "fp")
+    found = settle(classes(own, F.col("id"), radius, tree_rows).withColumnRenamed("first", "component_id"))
+    out = own.join(found, "fp")
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of docs for each component: that of its smallest id. Columns as in docs."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col])
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, words_in_shingle: int = SHINGLE_WORDS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """One row of docs for each component: that of its smallest id, a null one last, and of that id's rows in the
+    component the text of the smallest hash. Columns as in docs.
+
+    Rows of equal id and text are in one component, so the two name a component's row; rows that share an id, or have
+    none, are kept apart wherever their components differ.
+    """
+    own = settle(fingerprints(docs, id_col, text_col, words_in_shingle))
+    keys = ["_none", "_id", "_copy"]
+    row = F.struct(F.col("id").isNull().alias("_none"), F.coalesce("id", F.lit(0)).alias("_id"), F.col("copy").alias("_copy"))
+    kept = settle(classes(own, row, radius, tree_rows).select("first.*").distinct())
+    id_ = F.col(id_col).cast("long")
+    rows = docs.withColumns({"_none": id_.isNull(), "_id": F.coalesce(id_, F.lit(0)), "_copy": text_hash(text_col)})
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

@@ -80,6 +80,18 @@ def test_simhash_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 6, 7]
 
 
+def test_keep_one_by_component(spark):
+    near, other = "the quick brown fox jumps over the lazy dog " * 40, [f"{x} " + " ".join(f"{x}{i}" for i in range(60)) for x in "abcdef"]
+    groups = {"near": [(None, near), (None, near), (2, near), (3, near)], "a": [(None, other[0])], "b": [(None, other[1]), (None, other[1])], "c": [(9, other[2])], "d": [(9, other[3]), (9, other[3])], "e": [(2, other[4])], "f": [(None, other[5]), (0, other[5])]}
+    docs = spark.createDataFrame([(i, t, x) for x, rows in groups.items() for i, t in rows], "doc_id long, text string, group string")
+    for _ in range(2):
+        found = simhash.keep_one(docs.repartition(3)).collect()
+        assert sorted((r["group"], r["doc_id"]) for r in found if r["doc_id"] is not None) == [("c", 9), ("d", 9), ("e", 2), ("f", 0), ("near", 2)]
+        assert sorted(r["group"] for r in found if r["doc_id"] is None) == ["a", "b"]
+    rows = spark.createDataFrame([(7, None), (7, ""), (None, "one two three four"), (7, "One two three four")], "doc_id long, text string")
+    assert sorted(((r["text"] or "").lower(), r["doc_id"]) for r in simhash.keep_one(rows).collect()) == [("", 7), ("one two three four", 7)]
+
+
 def plain_counts(text):
     w = WORD.findall(text or "")
     windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
