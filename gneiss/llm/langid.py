@@ -29,7 +29,7 @@ SAMPLE_DOCUMENTS, SAMPLE_CHARS = 1_200, 3_000_000
 MAX_LANGUAGES = 64
 FEATURE_BITS = 17
 _LETTERS = regex.compile(r"\p{L}+")
-_CACHE_WORDS = 300_000
+_CACHE_WORDS, _CACHE_LETTERS = 300_000, 40
 _CHUNK = 128
 
 
@@ -41,7 +41,7 @@ def words_of(text: str) -> list[str]:
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed features of words: seven of each (the word itself for the lexicon, prefixes and suffixes of one to three
     letters), the trigrams of all words end to end, and how many trigrams each word has."""
-    around = [f"^{w[:40]}$" for w in words]
+    around = [f"^{w}$" for w in words]
     points = np.frombuffer("".join(around).encode("utf-32-le"), "<u4").astype(np.uint64)
     sizes = np.array([len(x) for x in around])
     last = np.cumsum(sizes) - 1
@@ -72,7 +72,7 @@ class Model:
     cache: dict = field(default_factory=dict, repr=False, compare=False)
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        """A row of log-potentials per word; words seen before come from a bounded cache."""
+        """A row of log-potentials per word; words seen before come from a bounded cache, which keeps no long runs."""
         if len(self.cache) > _CACHE_WORDS:
             self.cache.clear()
         missing = list({w for w in words if w not in self.cache})
@@ -80,7 +80,11 @@ class Model:
             fixed, trigrams, sizes = features(missing)
             sums = self.weights[fixed].sum(axis=1) + np.add.reduceat(self.weights[trigrams], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
             self.cache.update(zip(missing, sums, strict=True))
-        return np.array([self.cache[w] for w in words], dtype=np.float64).reshape(len(words), len(self.labels))
+        out = np.array([self.cache[w] for w in words], dtype=np.float64).reshape(len(words), len(self.labels))
+        for w in missing:
+            if len(w) > _CACHE_LETTERS:
+                del self.cache[w]
+        return out
 
 
 def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> np.ndarray:

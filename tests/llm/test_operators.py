@@ -357,6 +357,15 @@ def test_code_switched_words():
     assert labels == ["en"] * 10 + ["fr"] * 10
 
 
+def test_long_runs_are_judged_whole():
+    en, fr = "theofandthatwaswithforthishavefrom", "lelalesdesdansunequeestavecpour"
+    model = langid.fit(["the of and that was with for this have from " + en] * 30 + ["le la les des dans une que est avec pour " + fr] * 30, ["en"] * 30 + ["fr"] * 30)
+    assert langid.predict_texts(model, [en * 2 + fr * 50, fr * 2 + en * 50, en * 30_000])[0] == ["fr", "en", "en"]
+    fixed, trigrams, sizes = langid.features(["a" * 50 + "xyz", "b" + "xyz"])
+    assert sizes.tolist() == [53, 4] and len(trigrams) == 57 and (fixed[0, 4:] == fixed[1, 4:]).all()
+    assert not model.cache
+
+
 def test_ann_recall_and_ties(spark):
     rng = np.random.default_rng(5)
     v = rng.normal(size=(900, 16)).astype(np.float32)
