@@ -5,7 +5,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import DATA
+from core_data import DATA
 
 from gneiss import queries as batch
 from gneiss.streaming import queries as stream
