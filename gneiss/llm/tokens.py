@@ -1,11 +1,13 @@
-"""Byte-level BPE ids of whole texts, with a bounded cache of space-led pieces in each Python worker.
+"""Ids of whole texts as the tokenizers library gives them, with a bounded cache of pieces in each Python worker.
 
 The splitting pattern of a byte-level vocabulary never continues past a space that follows a non-space character, so
-the pieces that start at such spaces can be encoded on their own by the tokenizers library and their ids put together.
+the pieces that start at such spaces can be encoded on their own and their ids put together. Texts that hold the string
+of an added token, and all texts of a tokenizer of another kind, go to the library whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
@@ -37,8 +39,19 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def splits_at_spaces(settings: dict) -> bool:
+    """Whether pieces can be encoded on their own: plain byte-level pairs behind the usual splitting pattern alone."""
+    splitter, model = settings["pre_tokenizer"] or {}, settings["model"]
+    plain_text = not any(settings.get(k) for k in ("normalizer", "truncation", "padding"))
+    plain_model = model["type"] == "BPE" and not any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    )
+    usual = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
+    return plain_text and plain_model and usual
+
+
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes. The strings of special tokens are ordinary text.
+    """Ids as little-endian unsigned 32-bit bytes, equal to ``encode(text, add_special_tokens=False)`` of the file.
 
     The cache has two generations: a full one becomes the old one, and what is found there moves to the new one, so
     frequent pieces stay and single ones go.
@@ -49,12 +62,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        settings = json.loads(self.library.to_str())
+        self.by_pieces = splits_at_spaces(settings)
+        added = [re.escape(t["content"]) for t in settings["added_tokens"] if t["content"]]
+        self.added = re.compile("|".join(added)) if added else None
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(self.library.get_vocab().values()) + 1)]
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
-        (self.line_end,) = self._ids(["\n"])
+        self.line_end = self._ids(["\n"])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -99,6 +115,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for t in texts:
+            if not self.by_pieces or (self.added and self.added.search(t)):
+                out += self._ids([t])
+                continue
             if len(self.new) > _CACHE_ENTRIES:
                 self.old, self.new = self.new, {}
             if _SPACE_AFTER_SPACE.search(t):

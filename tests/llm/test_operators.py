@@ -185,15 +185,30 @@ def library():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
     return lambda text: np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
 
 
 def test_encoder_equals_the_library(texts, library):
-    odd = ["  a  b\n c", "\n \nx", "it's <|endoftext|> ok ", "", " ", "a\x1c b", "日本語 テキスト 　 x", "  a \x85 b", "él. Ünd, ß! x", "a\x00b c", "a" * 300]
+    odd = ["  a  b\n c", "\n \nx", "it's <|endoftext|> ok ", "<|endoftext|>", "a<|endoftext|><|endoftext|> b\n", "<|endoftext", "", " ", "a\x1c b", "日本語 テキスト 　 x", "  a \x85 b", "él. Ünd, ß! x", "a\x00b c", "a" * 300]
     own = tokens.Encoder(tokens.default_path())
     all_texts = [*texts.values(), *odd]
     assert own.encode(all_texts) == [library(t)[:-1].tobytes() for t in all_texts]
+    assert np.frombuffer(own.encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
+def test_encoder_of_another_kind(texts, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other = Tokenizer(models.BPE(vocab={"a": 0, "b": 1, "ab": 2}, merges=[("a", "b")]))
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    other.save(str(tmp_path / "small.json"))
+    for p in (path, str(tmp_path / "small.json")):
+        t, own = Tokenizer.from_file(p), tokens.Encoder(p)
+        assert not own.by_pieces
+        some = [*list(texts.values())[:30], "", "Ab ab  b", "<|endoftext|> x"]
+        assert own.encode(some) == [np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in some]
 
 
 def check_packing(rows, ids_of, capacity=1024):
