@@ -20,12 +20,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder every executor sees: under spark.checkpoint.dir, or a temporary one where that is unset (one machine)."""
+    """A new folder every executor sees: under spark.checkpoint.dir, or a temporary one where that is unset on a local master."""
     import tempfile
     import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         shared = "file://" + tempfile.mkdtemp(prefix="gneiss-")
         spark.sparkContext.setCheckpointDir(shared)
     return f"{shared}/{name}-{uuid.uuid4().hex}"
