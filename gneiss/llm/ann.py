@@ -4,23 +4,35 @@ Equal vectors are one node with its smallest ids. Nodes are dealt to shards of b
 join in growing batches: a greedy search from the entry proposes neighbours, and pruning keeps one only if no kept
 neighbour is nearer to it, by the factor ``alpha``, than the node itself; reverse edges are pruned the same way. Each
 query runs a beam search in every shard, and the shards' best are merged by exact distances.
+
+A shard's graph is one file in the shared folder, and so is a block of queries. Spark deals out pairs of their names; a
+task opens both, so neither the index nor the queries are shuffled, and a lost task costs one pair.
 """
 
 from __future__ import annotations
 
+import io
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import settle
+from gneiss.llm.common import settle, shared_dir
 
 NEIGHBOURS = 10
 QUERY_MODULUS = 100
-#: Nodes of a shard, queries of a block: what one task holds at a time.
-SHARD_ROWS, BLOCK_ROWS = 8_192, 4_096
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 48, 64, 192, 1.2
-_PAIRS = 4_000_000
+#: Most nodes of a shard, fewer where they would take more than SHARD_BYTES; queries of a block, and those searched together.
+SHARD_ROWS, SHARD_BYTES, BLOCK_ROWS, TOGETHER = 65_536, 128_000_000, 65_536, 256
+#: Edges of a node, room for reverse edges before it is pruned again, width of the searches that build and that ask.
+DEGREE, SLACK, BUILD_BEAM, SEARCH_BEAM, ALPHA = 40, 16, 64, 160, 1.1
+#: A task takes more pairs of a shard and a block beyond so many.
+_TASKS = 20_000
+_BATCH, _PAIRS = 512, 4_000_000
+#: A query further from the middle than so many times the furthest node is moved in to there: its order of nodes stays.
+_FAR = 1e4
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -29,56 +41,92 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("nmd,nmd->nm", diff, diff)
 
 
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of rows a (n, d) to rows b (n, m, d) in double precision; squares out of range are scaled first."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        square = _distances(a, b)
+        out = np.sqrt(square)
+        i, j = np.nonzero(~((square > 1e-290) & (square < 1e300)))
+        diff = np.abs(b[i, j] - a[i])
+        most = np.maximum(diff.max(axis=1, initial=0), np.finfo(np.float64).tiny)
+        out[i, j] = np.where(np.isfinite(most), most * np.sqrt(((diff / most[:, None]) ** 2).sum(axis=1)), np.inf)
+    return out
+
+
 class Graph:
-    """vectors (n, d) float32; edges (n, degree) of node numbers, -1 where free; entry: the node nearest to the mean."""
+    """Nodes scaled around their middle to float32; edges (n, degree) of node numbers, -1 where free; entry: the node
+    nearest to the middle. ``visited`` counts the distances that searches have computed."""
 
     def __init__(self, vectors: np.ndarray, edges: np.ndarray | None = None, entry: int | None = None):
-        self.vectors = np.ascontiguousarray(vectors, dtype=np.float32)
-        n = len(self.vectors)
-        self.edges = np.full((n, DEGREE), -1, dtype=np.int32) if edges is None else edges
-        self.entry = int(np.argmin(((self.vectors - self.vectors.mean(axis=0)) ** 2).sum(axis=1))) if entry is None else entry
+        n = len(vectors)
+        # Halved before they are summed or subtracted, so that no finite component overflows.
+        self.middle = (vectors / n).sum(axis=0)
+        half = vectors / 2 - self.middle / 2
+        self.scale = max(float(np.abs(half).max(initial=0)), np.finfo(np.float64).tiny)
+        self.vectors = np.ascontiguousarray(half / self.scale, dtype=np.float32)
+        self.reach = _FAR * float(np.sqrt((self.vectors.astype(np.float64) ** 2).sum(axis=1).max(initial=1)))
+        self.edges = np.full((n, DEGREE + SLACK), -1, dtype=np.int32) if edges is None else edges
+        self.entry = int(np.argmin((self.vectors**2).sum(axis=1))) if entry is None else entry
+        self.visited = 0
+
+    def scaled(self, queries: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            q = np.clip((queries / 2 - self.middle / 2) / self.scale, -1e150, 1e150)
+        far = np.sqrt((q**2).sum(axis=1, keepdims=True))
+        return (q * np.minimum(1, self.reach / np.maximum(far, 1))).astype(np.float32)
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(q, beam) nearest nodes found and their squared distances (float32), padded by -1 and infinity.
+        """(q, beam) nearest nodes found for scaled queries and their squared distances, padded by -1 and infinity.
 
         All queries step together; each expands its nearest unexpanded node until the beam holds none.
         """
         q, n = len(queries), len(self.vectors)
         ids = np.full((q, beam), -1, dtype=np.int64)
         dist = np.full((q, beam), np.inf, dtype=np.float32)
-        done = np.ones((q, beam), dtype=bool)
-        ids[:, 0], done[:, 0] = self.entry, False
+        ids[:, 0] = self.entry
         dist[:, 0] = ((queries - self.vectors[self.entry]) ** 2).sum(axis=1)
+        open_dist = dist.copy()
         seen = np.zeros((q, n), dtype=bool)
         seen[:, self.entry] = True
-        live = np.arange(q)
-        while live.size:
-            open_dist = np.where(done[live], np.inf, dist[live])
+        out_ids, out_dist, live = ids.copy(), dist.copy(), np.arange(q)
+        while True:
+            row = np.arange(len(live))
             at = open_dist.argmin(axis=1)
-            more = np.isfinite(open_dist[np.arange(len(live)), at])
-            live, at = live[more], at[more]
-            if not live.size:
-                break
-            done[live, at] = True
-            near = self.edges[ids[live, at]].astype(np.int64)
-            fresh = (near >= 0) & ~seen[live[:, None], near]
-            seen[live[:, None], np.where(near >= 0, near, ids[live, at][:, None])] = True
-            d = np.where(fresh, _distances(queries[live], self.vectors[near]), np.inf)
-            all_ids, all_dist = np.concatenate([ids[live], near], axis=1), np.concatenate([dist[live], d], axis=1)
-            all_done = np.concatenate([done[live], ~fresh], axis=1)
+            more = np.isfinite(open_dist[row, at])
+            if not more.all():
+                out_ids[live[~more]], out_dist[live[~more]] = ids[~more], dist[~more]
+                live, at, ids, dist, open_dist = live[more], at[more], ids[more], dist[more], open_dist[more]
+                if not live.size:
+                    break
+                row = np.arange(len(live))
+            open_dist[row, at] = np.inf
+            near = self.edges[ids[row, at]].astype(np.int64)
+            i, j = np.nonzero((near >= 0) & ~seen[live[:, None], near])
+            fresh = near[i, j]
+            seen[live[i], fresh] = True
+            diff = self.vectors[fresh] - queries[live[i]]
+            d = np.full(near.shape, np.inf, dtype=np.float32)
+            d[i, j] = np.einsum("md,md->m", diff, diff)
+            self.visited += len(fresh)
+            all_ids, all_dist = np.concatenate([ids, near], axis=1), np.concatenate([dist, d], axis=1)
             keep = np.argpartition(all_dist, beam - 1, axis=1)[:, :beam]
-            row = np.arange(len(live))[:, None]
-            ids[live], dist[live], done[live] = all_ids[row, keep], all_dist[row, keep], all_done[row, keep]
-        ids[~np.isfinite(dist)] = -1
-        order = np.argsort(dist, axis=1, kind="stable")
+            row = row[:, None]
+            ids, dist, open_dist = all_ids[row, keep], all_dist[row, keep], np.concatenate([open_dist, d], axis=1)[row, keep]
+        out_ids[~np.isfinite(out_dist)] = -1
+        order = np.argsort(out_dist, axis=1, kind="stable")
         row = np.arange(q)[:, None]
-        return ids[row, order], dist[row, order]
+        return out_ids[row, order], out_dist[row, order]
 
     def prune(self, nodes: np.ndarray, candidates: np.ndarray) -> np.ndarray:
         """(m, degree) kept neighbours of each node out of its candidates (m, c), nearest first, -1 where free."""
-        slice_rows = max(1, _PAIRS // candidates.shape[1] ** 2)
+        slice_rows = max(1, _PAIRS // max(1, candidates.shape[1]) ** 2)
         if len(nodes) > slice_rows:
-            return np.concatenate([self.prune(nodes[i : i + slice_rows], candidates[i : i + slice_rows]) for i in range(0, len(nodes), slice_rows)])
+            kept = np.empty((len(nodes), DEGREE), dtype=np.int32)
+            by = np.argsort((candidates >= 0).sum(axis=1), kind="stable")  # few candidates together, many together
+            for i in range(0, len(by), slice_rows):
+                part = np.sort(candidates[by[i : i + slice_rows]], axis=1)[:, ::-1]
+                kept[by[i : i + slice_rows]] = self.prune(nodes[by[i : i + slice_rows]], part[:, : max(1, int((part >= 0).sum(axis=1).max()))])
+            return kept
         m = len(nodes)
         candidates = np.where(candidates == nodes[:, None], -1, candidates)
         ordered = np.sort(candidates, axis=1)
@@ -102,6 +150,27 @@ class Graph:
             d[ok, at] = np.inf
         return kept
 
+    def _add_reverse(self, source: np.ndarray, target: np.ndarray) -> None:
+        """Edges target -> source; a node whose room is used up is pruned."""
+        by = np.argsort(target, kind="stable")
+        source, target = source[by], target[by]
+        nodes, first, count = np.unique(target, return_index=True, return_counts=True)
+        have = (self.edges[nodes] >= 0).sum(axis=1)
+        fits = have + count <= self.edges.shape[1]
+        place = np.arange(len(target)) - np.repeat(first, count)
+        direct = np.repeat(fits, count)
+        self.edges[target[direct], (np.repeat(have, count) + place)[direct]] = source[direct]
+        if not fits.all():
+            full, most = nodes[~fits], int(count[~fits].max())
+            extra = np.full((len(full), most), -1, dtype=np.int64)
+            which = np.repeat(np.cumsum(~fits) - 1, count)
+            extra[which[~direct], place[~direct]] = source[~direct]
+            self._set(full, self.prune(full, np.concatenate([self.edges[full].astype(np.int64), extra], axis=1)))
+
+    def _set(self, nodes: np.ndarray, kept: np.ndarray) -> None:
+        self.edges[nodes] = -1
+        self.edges[nodes, :DEGREE] = kept
+
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 11) -> Graph:
         graph = cls(vectors)
@@ -110,103 +179,128 @@ class Graph:
         order = np.concatenate([[graph.entry], order[order != graph.entry]])
         done = 1
         while done < n:
-            batch = order[done : min(n, done + max(1, min(done, 512)))]
+            batch = order[done : min(n, done + max(1, min(done, _BATCH)))]
             found, _ = graph.search(graph.vectors[batch], min(BUILD_BEAM, max(2, done)))
-            graph.edges[batch] = graph.prune(batch, found)
-            source, target = np.repeat(batch, DEGREE), graph.edges[batch].ravel()
-            source, target = source[target >= 0], target[target >= 0]
-            by = np.argsort(target, kind="stable")
-            source, target = source[by], target[by]
-            nodes, first, count = np.unique(target, return_index=True, return_counts=True)
-            extra = np.full((len(nodes), int(count.max(initial=0))), -1, dtype=np.int64)
-            extra[np.repeat(np.arange(len(nodes)), count), np.arange(len(target)) - np.repeat(first, count)] = source
-            both = np.concatenate([graph.edges[nodes].astype(np.int64), extra], axis=1)
-            full = (both >= 0).sum(axis=1) > DEGREE
-            if full.any():
-                graph.edges[nodes[full]] = graph.prune(nodes[full], both[full])
-            if (~full).any():
-                part = both[~full]
-                graph.edges[nodes[~full]] = np.take_along_axis(part, np.argsort(part < 0, axis=1, kind="stable")[:, :DEGREE], axis=1)
+            kept = graph.prune(batch, found)
+            graph._set(batch, kept)
+            source, target = np.repeat(batch, DEGREE), kept.ravel().astype(np.int64)
+            graph._add_reverse(source[target >= 0], target[target >= 0])
             done += len(batch)
+        wide = np.flatnonzero((graph.edges >= 0).sum(axis=1) > DEGREE)
+        if wide.size:
+            graph._set(wide, graph.prune(wide, graph.edges[wide].astype(np.int64)))
+        graph.edges, graph.visited = np.ascontiguousarray(graph.edges[:, :DEGREE]), 0
         return graph
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v array<double>) of the vectors that take part; of an id's rows the smallest vector is kept."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and v is not null")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = rows.where("vec_id is not null and v is not null")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(finite & F.exists("v", lambda x: x != 0))
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """A row per shard: (dim, shard, ids, vectors, edges, entry), all rows indexed.
+def _open(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
 
-    A node is a distinct vector with its k + 1 smallest ids: no result can hold more of them.
+def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def build_index(rows: DataFrame, k: int, folder: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """A row per shard, (dim, shard, path, nodes), with the shard's graph in a file of the folder; all rows are indexed.
+
+    A node is a distinct vector with its k + 1 smallest ids: no result can hold more of them. A file is written under a
+    name of its own and renamed to one that its shard gives, so a repeated task replaces it with an equal one.
     """
     first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     nodes = rows.withColumn("r", first).where(F.col("r") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    nodes = settle(nodes)
-    counts = {r["dim"]: r["n"] for r in nodes.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per dimension
-    shards = F.create_map(*(F.lit(x) for dim, n in counts.items() for x in (dim, -(-n // shard_rows)))) if counts else F.create_map().cast("map<int,int>")
-    nodes = nodes.withColumn("dim", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("v"), F.try_element_at(shards, F.col("dim"))).cast("int"))
+    nodes = settle(nodes.withColumn("dim", F.size("v")))
+    shards = {}
+    for r in nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per dimension
+        most = max(1, min(shard_rows, SHARD_BYTES // (8 * r["dim"])))
+        shards[r["dim"]] = -(-r["n"] // most)
+    of_dim = F.create_map(*(F.lit(x) for pair in shards.items() for x in pair)) if shards else F.create_map().cast("map<int,int>")
+    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.try_element_at(of_dim, F.col("dim"))).cast("int"))
+    store, root = _open(folder)
+    store.create_dir(root, recursive=True)
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         dim, shard = (x.as_py() for x in key)
-        v = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-        ids = t.column("ids").to_pylist()
+        v, ids = _matrix(t.column("v"), dim), t.column("ids").to_pylist()
         order = np.argsort([x[0] for x in ids], kind="stable")
         v, ids = v[order], [ids[i] for i in order]
         graph = Graph.build(v)
-        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "ids": pa.array([[y for x in ids for y in x]], pa.list_(pa.int64())), "sizes": pa.array([[len(x) for x in ids]], pa.list_(pa.int32())), "vectors": [v.astype("<f8").tobytes()], "edges": [graph.edges.astype("<i4").tobytes()], "entry": pa.array([graph.entry], pa.int32())})
+        out = io.BytesIO()
+        np.savez(out, vectors=v, edges=graph.edges, entry=graph.entry, ids=np.concatenate(ids).astype(np.int64), ends=np.cumsum([len(x) for x in ids]))
+        store, root = _open(folder)
+        path = f"{root}/graph-{dim}-{shard}.npz"
+        with store.open_output_stream(own := f"{path}.{uuid.uuid4().hex}") as f:
+            f.write(out.getbuffer())
+        store.move(own, path)
+        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "path": [path], "nodes": pa.array([len(v)], pa.int64())})
+
+    built = nodes.select("dim", "shard", "v", "ids").groupBy("dim", "shard")
+    return settle(built.applyInArrow(run, "dim int, shard int, path string, nodes long"))
+
 
-    built = nodes.select("dim", "shard", "v", "ids").groupBy("dim", "shard").applyInArrow(run, "dim int, shard int, ids array<long>, sizes array<int>, vectors binary, edges binary, entry int")
-    return settle(built)
+def _members(ends: np.ndarray, ids: np.ndarray, nodes: np.ndarray, exact: np.ndarray, own: int, k: int) -> list[tuple[float, int]]:
+    """The k nearest (distance, id) of the nodes found, the query's own id left out."""
+    order = np.lexsort((nodes < 0, exact))
+    last = exact[order[min(k, len(order) - 1)]]  # one node may be the query's own
+    found: list[tuple[float, int]] = []
+    for j in order:
+        if exact[j] > last or nodes[j] < 0:
+            break
+        node = nodes[j]
+        found += [(float(exact[j]), int(x)) for x in ids[ends[node - 1] if node else 0 : ends[node]] if x != own]
+    return sorted(found)[:k]
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, beam: int = SEARCH_BEAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, folder: str, k: int = NEIGHBOURS, beam: int = SEARCH_BEAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each (vec_id, v) query, its own id left out.
 
-    Queries are cut into blocks by a hash; a task joins one block with one shard.
+    Blocks of queries are Parquet files beside the graphs; every pair of a shard and a block of its dimension is searched.
     """
-    queries = settle(queries.withColumn("dim", F.size("v")))
+    spark = queries.sparkSession
     blocks = -(-max(1, queries.count()) // block_rows)
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    places = index.select(F.col("dim").alias("of_dim"), F.col("shard").alias("at"))
-    right = queries.join(places, F.col("dim") == F.col("of_dim"))  # a copy of each query for each shard
-
-    def run(key: tuple, shard: pa.Table, block: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
-        if shard.num_rows and block.num_rows:
-            row, dim = shard.to_pylist()[0], key[0].as_py()
-            v = np.frombuffer(row["vectors"], "<f8").reshape(-1, dim)
-            graph = Graph(v, np.frombuffer(row["edges"], "<i4").reshape(len(v), -1), row["entry"])
-            ids, ends = np.array(row["ids"], dtype=np.int64), np.cumsum(row["sizes"])
-            q = block.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-            own = block.column("vec_id").to_numpy()
-            for at in range(0, len(q), 256):
-                part = q[at : at + 256]
-                found, _ = graph.search(part.astype(np.float32), min(beam, len(v)))
-                exact = np.where(found >= 0, np.sqrt(_distances(part, v[found])), np.inf)
-                for i in range(len(part)):
-                    order = np.argsort(exact[i], kind="stable")
-                    picked = []
-                    last = np.inf
-                    for j in order:
-                        node, d = found[i, j], exact[i, j]
-                        if node < 0 or (len(picked) >= k and d > last):
-                            break
-                        members = ids[ends[node] - row["sizes"][node] : ends[node]]
-                        picked += [(d, int(x)) for x in members if x != own[at + i]][:k]
-                        last = d if len(picked) < k else sorted(picked)[k - 1][0]
-                    for d, x in sorted(picked)[:k]:
-                        out["query_id"].append(int(own[at + i]))
-                        out["vec_id"].append(x)
-                        out["score"].append(float(d))
-        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
-
-    found = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "at", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
+    asked = f"{folder}/queries"
+    queries.withColumn("dim", F.size("v")).repartition(blocks).write.partitionBy("dim").option("maxRecordsPerFile", block_rows).parquet(asked)
+    from pyarrow import fs
+
+    store, root = _open(asked)
+    files = [(int(part[4:]), f.path) for f in store.get_file_info(fs.FileSelector(root, recursive=True)) if f.base_name.endswith(".parquet") for part in f.path.split("/") if part.startswith("dim=")]
+    names = spark.createDataFrame(files, "dim int, block string")  # a name for some ten thousand queries
+    pairs = index.select("dim", "path").join(names, "dim")
+    pairs = pairs.repartition(max(1, min(_TASKS, pairs.count())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        store, _ = _open(folder)
+        for b in batches:
+            for dim, path, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                with store.open_input_file(path) as f:
+                    shard = np.load(io.BytesIO(f.read()))
+                v, ids, ends = shard["vectors"], shard["ids"], shard["ends"]
+                graph = Graph(v, shard["edges"], int(shard["entry"]))
+                with store.open_input_file(block) as f:
+                    for part in pq.ParquetFile(f).iter_batches(TOGETHER, columns=["vec_id", "v"]):
+                        own, q = part.column(0).to_pylist(), _matrix(part.column(1), dim)
+                        found, _ = graph.search(graph.scaled(q), min(beam, len(v)))
+                        exact = np.where(found >= 0, _exact(q, v[found]), np.inf)
+                        rows = [(i, x, d) for i, nodes, far in zip(own, found, exact, strict=True) for d, x in _members(ends, ids, nodes, far, i, k)]
+                        columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
+                        kinds = (pa.int64(), pa.int64(), pa.float64())
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "vec_id", "score"])
+
+    found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
@@ -217,8 +311,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     Vectors that are null, empty, zero or hold a null or non-finite component, and null ids, take no part. A repeated id
     counts once (its smallest vector). Vectors meet only those of their own dimension. With fewer than k candidates all
     found are returned; an empty table gives no rows. Other columns are ignored. Distances are Euclidean, in double
-    precision on the original components; ties go to the smaller id.
+    precision on the original components (infinite beyond its range); ties go to the smaller id.
     """
+    folder = f"{shared_dir(vectors.sparkSession)}/neighbours-{uuid.uuid4().hex}"
     rows = settle(usable(vectors, id_col, vector_col))
-    return search(build_index(rows, k, shard_rows), rows.where(F.col("vec_id") % query_modulus == 0), k)
-
+    return search(build_index(rows, k, folder, shard_rows), rows.where(F.col("vec_id") % query_modulus == 0), folder, k)

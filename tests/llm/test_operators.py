@@ -403,6 +403,45 @@ def test_ann_recall_and_ties(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def plain_recall(rows, vectors, k=10):
+    """Share of the k nearest by brute force that were found; rows are (query id, id), ids are row numbers."""
+    found = {}
+    for q, i in rows:
+        found.setdefault(q, set()).add(i)
+    hits = 0
+    for q, own in found.items():
+        d = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(own & set(np.argsort(d, kind="stable")[:k].tolist()))
+    return hits / (k * len(found))
+
+
+def test_ann_recall_on_the_shared_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = table.select("vec_id", "embedding").orderBy("vec_id").collect()
+    number = {r["vec_id"]: n for n, r in enumerate(rows)}
+    v = np.array([r["embedding"] for r in rows], dtype=np.float64)
+    found = ann.nearest(table).collect()
+    assert len(found) == 10 * sum(i % 100 == 0 for i in number)
+    assert plain_recall([(number[r["query_id"]], number[r["vec_id"]]) for r in found], v) >= 0.95
+
+
+def test_graph_reads_a_part_of_its_shard():
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.normal(size=(6_000, 12)), rng.normal(size=(200, 12)) * 30])
+    graph = ann.Graph.build(v)
+    assert (graph.edges >= 0).sum(axis=1).min() > 0 and graph.edges.max() < len(v) and not (graph.edges == np.arange(len(v))[:, None]).any()
+    found, dist = graph.search(graph.scaled(v[:100]), 32)
+    assert plain_recall([(q, int(i)) for q, row in enumerate(found) for i in [x for x in row if x != q][:10]], v) > 0.9
+    assert graph.visited < 0.12 * len(v) * 100 and (np.diff(dist, axis=1) >= 0).all()
+
+
+def test_ann_extreme_components(spark):
+    rows = [(i, [float(i % 7 + 1) * 10.0**e, float(i % 11) * 10.0**e]) for e, first in ((300, 0), (-300, 300), (0, 600)) for i in range(first, first + 77)]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard_rows=100)
+    assert {(r["query_id"], r["n"]) for r in found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).collect()} == {(0, 10), (300, 10), (600, 10)}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
