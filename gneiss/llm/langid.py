@@ -30,7 +30,12 @@ MAX_LANGUAGES = 64
 FEATURE_BITS = 17
 _LETTERS = regex.compile(r"\p{L}+")
 _CACHE_WORDS, _CACHE_LETTERS = 300_000, 40
-_CHUNK = 128
+#: Training texts laid end to end as one chain.
+SPANS_IN_CHAIN = 4
+#: Places of a chunk at least, chunks at most.
+_CHUNK, _CHUNKS = 128, 8_192
+#: Words of short texts that are labelled together.
+_TOGETHER = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -87,30 +92,46 @@ class Model:
         return out
 
 
-def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> np.ndarray:
+def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray, moves: np.ndarray | None = None) -> np.ndarray:
     """Posterior of each label at each place of many sequences laid end to end; ``first`` marks where one begins.
 
     The places are cut into equal chunks that advance together. A first round finds each chunk's transfer matrix, a
-    short loop over chunks its incoming vectors, a second round the vectors inside.
+    short loop over chunks its incoming vectors, a second round the vectors inside. ``moves``, if given, gets the
+    expected number of steps from each label to each added to it.
     """
     n, k = emissions.shape
     if not n:
         return emissions
-    size = min(_CHUNK, n)
+    size = min(n, max(_CHUNK, -(-n // _CHUNKS)))
     chunks = -(-n // size)
-    e = np.exp(emissions - emissions.max(axis=1, keepdims=True))
-    step = np.where(first[:, None, None], np.exp(start - start.max())[None, None, :], np.exp(transitions - transitions.max())[None]) * e[:, None, :]
-    step = np.concatenate([step, np.broadcast_to(np.eye(k), (chunks * size - n, k, k))]).reshape(chunks, size, k, k)
-
-    def transfer(order: range, before: bool) -> np.ndarray:
-        m = np.broadcast_to(np.eye(k), (chunks, k, k))
-        for t in order:
-            m = step[:, t] @ m if before else m @ step[:, t]
-            m = m / m.sum(axis=(1, 2), keepdims=True)
-        return m
-
-    alpha, beta = np.empty((chunks, size, k)), np.empty((chunks, size, k))
-    whole, incoming = transfer(range(size), False), np.empty((chunks, k))
+    padded = lambda x, fill: np.concatenate([x, np.full((chunks * size - n, *x.shape[1:]), fill)]).reshape(chunks, size, *x.shape[1:])
+    e, begins = padded(np.exp(emissions - emissions.max(axis=1, keepdims=True)), 1.0), padded(first, False)
+    go, enter = np.exp(transitions - transitions.max()), np.exp(start - start.max())
+    last = size - (chunks * size - n)  # places of the last chunk; what follows there passes vectors on unchanged
+
+    def forward(v: np.ndarray, t: int) -> np.ndarray:
+        """(chunks, ..., k) vectors from before place t to it."""
+        out = v @ go
+        at = np.flatnonzero(begins[:, t])
+        out[at] = v[at].sum(axis=-1, keepdims=True) * enter
+        out *= e[:, t].reshape(chunks, *[1] * (v.ndim - 2), k)
+        if t >= last:
+            out[-1] = v[-1]
+        return out / out.sum(axis=tuple(range(1, v.ndim)), keepdims=True)
+
+    def backward(v: np.ndarray, t: int) -> np.ndarray:
+        after = e[:, t] * v
+        out = after @ go.T
+        at = np.flatnonzero(begins[:, t])
+        out[at] = (after[at] * enter).sum(axis=1, keepdims=True)
+        if t >= last:
+            out[-1] = v[-1]
+        return out / out.sum(axis=1, keepdims=True)
+
+    whole = np.broadcast_to(np.eye(k), (chunks, k, k))
+    for t in range(size):
+        whole = forward(whole, t)
+    alpha, beta, incoming = np.empty((chunks, size, k)), np.empty((chunks, size, k)), np.empty((chunks, k))
     v = np.full(k, 1 / k)
     for c in range(chunks):
         incoming[c] = v
@@ -118,8 +139,7 @@ def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.n
         v = v / v.sum()
     v = incoming
     for t in range(size):
-        v = np.einsum("ci,cij->cj", v, step[:, t])
-        alpha[:, t] = v = v / v.sum(axis=1, keepdims=True)
+        alpha[:, t] = v = forward(v, t)
     v = np.full(k, 1 / k)
     for c in reversed(range(chunks)):
         incoming[c] = v
@@ -128,50 +148,72 @@ def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.n
     v = incoming
     for t in reversed(range(size)):
         beta[:, t] = v
-        v = np.einsum("cij,cj->ci", step[:, t], v)
-        v = v / v.sum(axis=1, keepdims=True)
-    p = (alpha * beta).reshape(-1, k)[:n]
+        v = backward(v, t)
+    alpha, beta, e = (x.reshape(-1, k)[:n] for x in (alpha, beta, e))
+    if moves is not None:
+        inner = np.flatnonzero(~first)
+        inner = inner[inner > 0]
+        left, right = alpha[inner - 1], (e * beta)[inner]
+        together = np.einsum("ti,ij,tj->t", left, go, right, optimize=True)
+        moves += go * ((left / together[:, None]).T @ right)
+    p = alpha * beta
     return p / p.sum(axis=1, keepdims=True)
 
 
-def fit(texts: list[str], langs: list[str], rounds: int = 40, rate: float = 0.5, decay: float = 1e-6) -> Model:
-    """Maximum likelihood by adaptive gradient steps; every word of a sample document bears the document's language."""
+class Chains:
+    """Labelled words laid end to end as training data: their kinds, features and true labels, and where chains begin."""
+
+    def __init__(self, texts: list[str], langs: list[str], labels: list[str], spans_in_chain: int):
+        docs = [(w, labels.index(x)) for w, x in ((words_of(t), x) for t, x in zip(texts, langs, strict=True)) if w]
+        sizes = [len(ws) for ws, _ in docs]
+        kinds: dict[str, int] = {}
+        self.k = len(labels)
+        self.rows = np.array([kinds.setdefault(w, len(kinds)) for ws, _ in docs for w in ws], dtype=np.int64)
+        self.gold = np.repeat(np.array([y for _, y in docs], dtype=np.int64), sizes)
+        self.first = np.zeros(len(self.rows), bool)
+        if not docs:
+            return
+        self.first[np.concatenate([[0], np.cumsum(sizes)[:-1]])[::spans_in_chain]] = True
+        fixed, trigrams, counts = features(list(kinds))
+        self.n_kinds = len(kinds)
+        self.flat = np.concatenate([fixed.ravel(), trigrams])
+        self.owner = np.concatenate([np.repeat(np.arange(len(kinds)), fixed.shape[1]), np.repeat(np.arange(len(kinds)), counts)])
+        inner = np.flatnonzero(~self.first)
+        self.moved = np.zeros((self.k, self.k))
+        np.add.at(self.moved, (self.gold[inner - 1], self.gold[inner]), 1)
+
+    def gradient(self, weights: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the labels' log-likelihood: what is observed less what forward-backward expects, for weights, transitions, start."""
+        each = range(self.k)
+        e = np.stack([np.bincount(self.owner, weights=weights[self.flat, c], minlength=self.n_kinds) for c in each], axis=1)[self.rows]
+        moves = np.zeros((self.k, self.k))
+        off = np.eye(self.k)[self.gold] - forward_backward(e, self.first, transitions, start, moves)
+        by_kind = np.stack([np.bincount(self.rows, weights=off[:, c], minlength=self.n_kinds) for c in each], axis=1)
+        of_weights = np.stack([np.bincount(self.flat, weights=by_kind[self.owner, c], minlength=len(weights)) for c in each], axis=1)
+        return of_weights, self.moved - moves, off[self.first].sum(axis=0)
+
+
+def fit(texts: list[str], langs: list[str], rounds: int = 40, rate: float = 0.5, decay: float = 1e-6, chain_decay: float = 1e-4, spans_in_chain: int = SPANS_IN_CHAIN) -> Model:
+    """Emissions, transitions and start together, by adaptive gradient steps up the chains' penalised log-likelihood.
+
+    Every word bears its text's language. So many texts in the order given make a chain, so passing from one language to
+    another is seen as well as staying; the penalty keeps moves that are never seen finite.
+    """
     labels = sorted(set(langs))
     k = len(labels)
     model = Model(labels, np.zeros((1 << FEATURE_BITS, k), dtype=np.float32), np.zeros((k, k)), np.zeros(k))
-    docs = [(w, labels.index(x)) for w, x in ((words_of(t), x) for t, x in zip(texts, langs, strict=True)) if w]
-    if k < 2 or not docs:
+    data = Chains(texts, langs, labels, spans_in_chain)
+    n = len(data.rows)
+    if k < 2 or not n:
         return model
-    kinds: dict[str, int] = {}
-    rows = np.array([kinds.setdefault(w, len(kinds)) for ws, _ in docs for w in ws])
-    gold = np.repeat([y for _, y in docs], [len(ws) for ws, _ in docs])
-    starts = np.concatenate([[0], np.cumsum([len(ws) for ws, _ in docs])[:-1]])
-    first = np.zeros(len(rows), bool)
-    first[starts] = True
-    fixed, trigrams, sizes = features(list(kinds))
-    flat = np.concatenate([fixed.ravel(), trigrams])
-    owner = np.concatenate([np.repeat(np.arange(len(kinds)), fixed.shape[1]), np.repeat(np.arange(len(kinds)), sizes)])
-    truth = np.eye(k)[gold]
-    moved = np.zeros((k, k))
-    np.add.at(moved, (gold[:-1][~first[1:]], gold[1:][~first[1:]]), 1)
-    began = np.bincount(gold[starts], minlength=k)
-    # Transitions and starts are the smoothed shares of the labelled sequences: their likelihood separates once words are labelled.
-    model.transitions = np.log((moved + 1) / (moved + 1).sum(axis=1, keepdims=True))
-    model.start = np.log((began + 1) / (began + 1).sum())
-    w, seen = np.zeros((1 << FEATURE_BITS, k)), np.full((1 << FEATURE_BITS, k), 1e-8)
+    values = [np.zeros((1 << FEATURE_BITS, k)), np.zeros((k, k)), np.zeros(k)]
+    seen = [np.full(v.shape, 1e-8) for v in values]
     for i in range(rounds):
-        e = np.stack([np.bincount(owner, weights=w[flat, c], minlength=len(kinds)) for c in range(k)], axis=1)[rows]
-        if i < rounds * 3 // 4:
-            e -= e.max(axis=1, keepdims=True)
-            p = np.exp(e)
-            p /= p.sum(axis=1, keepdims=True)
-        else:
-            p = forward_backward(e, first, model.transitions, model.start)
-        by_kind = np.stack([np.bincount(rows, weights=(truth - p)[:, c], minlength=len(kinds)) for c in range(k)], axis=1)
-        g = np.stack([np.bincount(flat, weights=by_kind[owner, c], minlength=1 << FEATURE_BITS) for c in range(k)], axis=1) / len(rows) - decay * w
-        seen += g * g
-        w += rate * g / np.sqrt(seen) * (0.3 if i > rounds // 2 else 1.0)
-    model.weights = w.astype(np.float32)
+        for v, s, g, d in zip(values, seen, data.gradient(*values), (decay, chain_decay, chain_decay), strict=True):
+            g = g / n - d * v
+            s += g * g
+            v += rate * g / np.sqrt(s) * (0.3 if i > rounds // 2 else 1.0)
+    model.weights, model.transitions, model.start = values[0].astype(np.float32), values[1], values[2]
     return model
 
 
@@ -210,9 +252,20 @@ def label_words(model: Model, text: str) -> list[tuple[str, str, float]]:
 
 
 def predict_texts(model: Model | None, texts: list[str]) -> tuple[list[str], list[float]]:
-    words = [words_of(t) for t in texts]
+    """Language and score of each text; words are labelled a bounded group of texts, or one long text, at a time."""
+    langs, scores, words, held = [], [], [], 0
+    for i, t in enumerate(texts):
+        words.append(words_of(t))
+        held += len(words[-1])
+        if held >= _TOGETHER or i == len(texts) - 1:
+            found = _predict(model, words)
+            langs, scores, words, held = langs + found[0], scores + found[1], [], 0
+    return langs, scores
+
+
+def _predict(model: Model | None, words: list[list[str]]) -> tuple[list[str], list[float]]:
     sizes = np.array([len(w) for w in words])
-    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    langs, scores = [UNKNOWN] * len(words), [0.0] * len(words)
     if model is None or not sizes.sum():
         return langs, scores
     full = np.flatnonzero(sizes)

@@ -365,6 +365,50 @@ def test_forward_backward_against_enumeration():
         langid._CHUNK = old
 
 
+def test_crf_gradient_against_differences():
+    def log_likelihood(data, w, t, s):
+        total = 0.0
+        e = np.array([[w[data.flat[data.owner == kind], c].sum() for c in range(data.k)] for kind in range(data.n_kinds)])[data.rows]
+        for i in range(len(e)):
+            y = data.gold[i]
+            total += e[i, y] + (s[y] if data.first[i] else t[data.gold[i - 1], y])
+        for a, b in zip(np.flatnonzero(data.first), [*np.flatnonzero(data.first)[1:], len(e)], strict=True):
+            v = s + e[a]
+            for i in range(a + 1, b):
+                v = e[i] + np.log(np.exp(v[:, None] + t).sum(axis=0))
+            total -= np.log(np.exp(v).sum())
+        return total
+
+    rng = np.random.default_rng(6)
+    data = langid.Chains(["aa bb aa cc", "bb dd", "ee aa", "cc cc dd bb", "aa"], ["x", "y", "z", "x", "y"], ["x", "y", "z"], 2)
+    assert data.first.sum() == 3 and data.moved.sum() == (~data.first).sum()
+    values = [rng.normal(size=(1 << langid.FEATURE_BITS, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)]
+    found = data.gradient(*values)
+    used = np.unique(data.flat)[:5]
+    for which, places in ((0, [(int(u), c) for u in used for c in (0, 2)]), (1, [(i, j) for i in range(3) for j in range(3)]), (2, [(0,), (1,), (2,)])):
+        for at in places:
+            two = []
+            for h in (1e-5, -1e-5):
+                moved = [v.copy() for v in values]
+                moved[which][at] += h
+                two.append(log_likelihood(data, *moved))
+            assert found[which][at] == pytest.approx((two[0] - two[1]) / 2e-5, abs=1e-5)
+
+
+def test_held_out_mixed_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs)
+    off = model.transitions - np.diag(np.full(len(model.labels), np.inf))
+    assert (np.diag(model.transitions) > off.max(axis=1)).all()
+    held = [r for r in docs.select("doc_id", "text", "lang").orderBy("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 and r["lang"] and len(langid.words_of(r["text"] or "")) >= 80]
+    right = []
+    for a, b in zip(held, held[1:], strict=False):
+        if a["lang"] != b["lang"]:
+            parts = [langid.words_of(x["text"])[20:50] for x in (a, b)]
+            right += [y == x["lang"] for (_, y, _), x in zip(langid.label_words(model, " ".join(parts[0] + parts[1])), [a] * 30 + [b] * 30, strict=True)]
+    assert len(right) > 1000 and np.mean(right) > 0.95
+
+
 def test_code_switched_words():
     en, fr = "the of and that was with for this have from", "le la les des dans une que est avec pour"
     model = langid.fit([en] * 30 + [fr] * 30, ["en"] * 30 + ["fr"] * 30)
