@@ -1,9 +1,10 @@
 """Quality rules in DataFrame functions only: base counts and distribution divergence.
 
 A document's histograms of character classes and of common words are compared with those of each reference language
-by Jensen-Shannon distance. The references are sums over all documents of that language that pass the base rules, taken
-twice: the second time without the documents whose classes are far from every first reference.
-One pass makes a short row of counts per document; everything after reads those rows.
+by Jensen-Shannon distance. A first pass finds each language's commonest words by the documents that hold them, a second
+makes a short row of counts per document; everything after reads those rows. The references are sums over all documents
+of a language that pass the base rules, taken twice: the second time without the documents whose classes are far from
+every first reference.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.llm.common import settle
@@ -20,13 +21,10 @@ from gneiss.llm.common import settle
 SPACE = "[\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
-#: Common words of the reference languages.
-COMMON_WORDS = {
-    "de": ["der", "die", "und", "das", "den", "ist", "von", "mit", "ein", "zu", "sich", "auf"],
-    "en": ["the", "of", "and", "to", "in", "is", "that", "for", "was", "it", "with", "on"],
-    "es": ["el", "la", "los", "de", "que", "y", "en", "un", "las", "por", "con", "del"],
-    "fr": ["le", "la", "les", "de", "des", "et", "en", "un", "une", "que", "dans", "est"],
-}
+#: Reference languages: the most frequent values of lang, at most so many, each with so many common words, those with a
+#: letter that the most of its documents hold.
+MAX_LANGUAGES, COMMON_WORDS = 64, 12
+N_CLASSES = 6
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: The class histogram is judged from so many characters on, the word histogram from so many words on.
@@ -68,68 +66,115 @@ def repeated_words(df: DataFrame, words: str, out: str, window: int = 3) -> Data
     return df.withColumn(out, F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))).drop("_hash", "_sorted", "_at")
 
 
-def common_words() -> list[str]:
-    return sorted({w for words in COMMON_WORDS.values() for w in words})
+def common_words(docs: DataFrame, text_col: str, lang_col: str, max_languages: int = MAX_LANGUAGES, per_language: int = COMMON_WORDS) -> dict[str, list[str]]:
+    """The words of each reference language that the most of its documents hold, ties by name: a bounded list.
 
+    Counts are made over all documents and partly before they are shuffled; only each partition's first words of a
+    language go on to the last ranking.
+    """
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t")).where("lang is not null and t is not null")
+    frequent = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    languages = [r["lang"] for r in frequent.collect()]
+    words = rows.where(F.col("lang").isin(languages)).select("lang", F.explode(F.array_distinct(words_of(F.col("t")))).alias("word"))
+    held = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).where(F.col("word").rlike("\\p{L}"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    found = held.withColumn("place", place).where(F.col("place") <= per_language).collect()
+    return {x: sorted(r["word"] for r in found if r["lang"] == x) for x in sorted(languages)}
+
+
+def counted_words(df: DataFrame, words: str, wanted: list[str], out: str) -> DataFrame:
+    """Adds ``out``, an array of (at, n): how often a text holds each wanted word, by its place in the list, if at all.
+
+    The wanted words of a text are sorted, so each word's occurrences stand together and are counted by where they begin.
+    """
+    df = df.withColumn("_sorted", F.sort_array(F.filter(words, lambda x: x.isin(wanted))) if wanted else F.array().cast("array<string>"))
+    places = F.transform("_sorted", lambda x, i: F.when((i == 0) | (x != F.get(F.col("_sorted"), i - 1)), i))
+    df = df.withColumn("_begins", F.array_compact(places))
+    end = lambda k: F.coalesce(F.get(F.col("_begins"), k + 1), F.size("_sorted"))
+    at = lambda p: (F.array_position(F.lit(wanted or [""]), F.get(F.col("_sorted"), p)) - 1).cast("int")
+    counts = F.transform("_begins", lambda p, k: F.struct(at(p).alias("at"), (end(k) - p).cast("long").alias("n")))
+    return df.withColumn(out, counts).drop("_sorted", "_begins")
 
-def document_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None) -> DataFrame:
-    """One short row per document: base counts, character classes and common-word counts."""
-    common = common_words()
+
+def document_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None, wanted: list[str]) -> DataFrame:
+    """One short row per document: base counts, character classes and counts of the wanted words."""
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     df = docs.select(F.col(id_col).alias("id"), lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     df = df.withColumn("w", words_of(F.col("t"))).withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
-    df = df.withColumn("kept_words", F.filter("w", lambda x: x.isin(common)))
-    df = repeated_words(df, "w", "n_repeat_words")
-    df = df.withColumn("common_text", F.concat(F.lit(" "), F.array_join("kept_words", "  "), F.lit(" ")))
+    df = counted_words(repeated_words(df, "w", "n_repeat_words"), "w", wanted, "hits")
     df = df.withColumn("n_chars", F.length("t")).withColumn("word_chars", F.length(F.array_join("w", "")))
     df = df.withColumn("n_symbols", F.regexp_count("t", F.lit(SYMBOLS))).withColumn("plain", without(F.col("t"), "[^\\p{L}\\p{N}\\x20\\x09-\\x0D]+"))
-    counts = [((F.length("common_text") - F.length(F.replace(F.col("common_text"), F.lit(f" {x} "), F.lit("")))) / (len(x) + 2)).cast("long") for x in common]
-    df = df.select(
-        "id", "lang", F.size("w").cast("long").alias("n_words"), F.col("word_chars").cast("long"), F.col("n_symbols").cast("long"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words", F.col("n_chars").cast("long"),
-        F.col("plain").cast("long").alias("plain"), (F.col("n_chars") - without(F.col("t"), "\\p{Lu}+")).cast("long").alias("upper"), (F.col("n_chars") - without(F.col("t"), "\\p{N}+")).cast("long").alias("digits"), F.array(*counts).alias("hits"),
-    )
+    long = {
+        "n_words": F.size("w"),
+        "word_chars": F.col("word_chars"),
+        "n_symbols": F.col("n_symbols"),
+        "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
+        "n_repeat_words": F.col("n_repeat_words"),
+        "n_chars": F.col("n_chars"),
+        "plain": F.col("plain"),
+        "upper": F.col("n_chars") - without(F.col("t"), "\\p{Lu}+"),
+        "digits": F.col("n_chars") - without(F.col("t"), "\\p{N}+"),
+    }
+    df = df.select("id", "lang", *(v.cast("long").alias(k) for k, v in long.items()), "hits")
     space, other = F.col("n_chars") - F.col("word_chars"), F.col("n_chars") - F.col("plain") - F.col("n_symbols")
     classes = F.array(F.col("plain") - F.col("upper") - F.col("digits") - space, F.col("upper"), F.col("digits"), space, F.col("n_symbols"), other)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return df.select("id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "n_chars", classes.alias("classes"), "hits")
-
-
-def references(counts: DataFrame, languages: list[str]) -> dict[str, tuple[list[float], list[float]]]:
-    """Shares of the character classes and of the common words (the rest last) per language: at most one row each."""
-    n_classes, n_words = 6, len(common_words())
-    sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(n_classes)] + [F.sum(F.get("hits", F.lit(i))).alias(f"w{i}") for i in range(n_words)]
-    found = counts.where(~F.col("base_failed") & F.col("lang").isin(languages)).groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).collect()
-    out = {}
-    for r in found:
-        classes, hits = [r[f"c{i}"] for i in range(n_classes)], [r[f"w{i}"] for i in range(n_words)]
-        hits.append(r["n"] - sum(hits))
-        out[r["lang"]] = tuple([x / sum(v) for x in v] for v in (classes, hits))
+    return df.select("id", "lang", *list(long)[:5], failed.alias("base_failed"), "n_chars", classes.alias("classes"), "hits")
+
+
+def references(counts: DataFrame, languages: list[str], n_wanted: int) -> list[tuple[list[float], list[float]]]:
+    """Shares of the character classes and of the wanted words (the rest last) of each language with a passing document."""
+    passing = counts.where(~F.col("base_failed") & F.col("lang").isin(languages))
+    sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(N_CLASSES)]
+    found = {r["lang"]: r for r in passing.groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).collect()}
+    words: dict[str, list[int]] = {x: [0] * n_wanted for x in found}
+    hits = passing.select("lang", F.explode("hits").alias("h")).groupBy("lang", F.col("h.at").alias("at")).agg(F.sum("h.n").alias("n"))
+    for r in hits.collect():  # a row for each language and wanted word at most
+        words[r["lang"]][r["at"]] = r["n"]
+    out = []
+    for x in sorted(found):
+        classes = [found[x][f"c{i}"] for i in range(N_CLASSES)]
+        hits_of = [*words[x], found[x]["n"] - sum(words[x])]
+        out.append(tuple([n / sum(v) for n in v] for v in (classes, hits_of)))
     return out
 
 
+def _part(a: Column, b: Column) -> Column:
+    return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
+
+
 def js_distance(shares: Column, reference: list[float]) -> Column:
     """Square root of the Jensen-Shannon divergence in bits between an array of shares and fixed shares."""
-    part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
-    terms = F.zip_with(shares, F.array(*map(F.lit, reference)), lambda a, b: part(a, b) + part(b, a))
+    terms = F.zip_with(shares, F.array(*map(F.lit, reference)), lambda a, b: _part(a, b) + _part(b, a))
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2))
 
 
+def js_distance_sparse(shares: Column, reference: list[float]) -> Column:
+    """The same for an array of (at, share) of the places that are not zero; each place that is adds its reference share."""
+    fixed = F.lit([float(x) for x in reference])
+    term = lambda a, b: _part(a, b) + _part(b, a) - b
+    terms = F.transform(shares, lambda x: term(x["share"], F.get(fixed, x["at"])))
+    return F.sqrt(F.greatest(F.lit(0.0), (F.lit(1.0) + F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)) / 2))
+
+
 def wordless_distance(reference: list[float]) -> float:
-    """The distance of a text without common words: all its share is in the last place."""
+    """The distance of a text without wanted words: all its share is in the last place."""
     rest = reference[-1]
     spread = (1 - rest) + math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest else 0.0)
     return math.sqrt(spread / 2)
 
 
-def with_distances(counts: DataFrame, refs: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
-    """Adds c_<language> and w_<language>: a document's distances to each reference."""
-    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
-    share = lambda c, n: F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
-    df = counts.withColumn("_hits", F.concat("hits", F.array(F.col("n_words") - total(F.col("hits")))))
-    df = df.withColumn("_class", share(F.col("classes"), F.col("n_chars"))).withColumn("_word", share(F.col("_hits"), F.col("n_words")))
-    for lang, (classes, hits) in sorted(refs.items()):
-        df = df.withColumn(f"c_{lang}", js_distance(F.col("_class"), classes)).withColumn(f"w_{lang}", js_distance(F.col("_word"), hits))
-    return df.drop("_hits", "_class", "_word")
+def with_distances(counts: DataFrame, refs: list[tuple[list[float], list[float]]], n_wanted: int) -> DataFrame:
+    """Adds class_distances and word_distances: arrays of a document's distances to each reference."""
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    rest = F.array(F.struct(F.lit(n_wanted).alias("at"), (F.col("n_words") - hit).alias("n")))
+    share = lambda n, total: F.when(total > 0, n / F.greatest(total, F.lit(1))).otherwise(F.lit(0.0))
+    words = F.transform(F.concat("hits", rest), lambda x: F.struct(x["at"].alias("at"), share(x["n"], F.col("n_words")).alias("share")))
+    df = counts.withColumn("_class", F.transform("classes", lambda x: share(x, F.col("n_chars")))).withColumn("_word", words)
+    none = F.array().cast("array<double>")
+    classes = F.array(*(js_distance(F.col("_class"), c) for c, _ in refs)) if refs else none
+    hits = F.array(*(js_distance_sparse(F.col("_word"), w) for _, w in refs)) if refs else none
+    return df.withColumn("class_distances", classes).withColumn("word_distances", hits).drop("_class", "_word")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", max_class_distance: float = MAX_CLASS_DISTANCE, max_word_share: float = MAX_WORD_SHARE) -> DataFrame:
@@ -137,16 +182,23 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     A null text has no words. kept is false where base_failed; else it is true if for some reference language both
     distances are within their limits. Histograms of fewer than MIN_CHARS characters or MIN_WORDS_JUDGED words are not
-    judged; with no reference (no document of a reference language passes the base rules, or an empty table) only the
-    base rules judge. lang only groups the references, so a null or unknown lang is judged like any other. Ids may be
-    null or repeat; other columns are ignored.
+    judged; with no reference (no lang column, no document with a lang passes the base rules, or an empty table, which
+    gives no rows) only the base rules judge. lang only groups the references, so a null lang is judged like any other;
+    a long text of a language that is none of the references holds few of their words and is not kept. Ids may be null
+    or repeat; other columns are ignored.
     """
-    counts = settle(document_counts(docs, id_col, text_col, lang_col))
-    languages = sorted(COMMON_WORDS)
-    first = with_distances(counts, references(counts, languages))
-    refs = references(first.where(F.least(F.lit(1.0), F.lit(1.0), *(F.col(c) for c in first.columns if c.startswith("c_"))) <= TRIM_DISTANCE), languages)
-    df = with_distances(counts, refs)
-    near = [((F.col("n_chars") < MIN_CHARS) | (F.col(f"c_{x}") <= max_class_distance + CLASS_NOISE / F.sqrt("n_chars"))) & ((F.col("n_words") < MIN_WORDS_JUDGED) | (F.col(f"w_{x}") <= max_word_share * wordless_distance(refs[x][1]))) for x in sorted(refs)]
-    least = lambda kind: F.least(*(F.col(f"{kind}_{x}") for x in sorted(refs))) if len(refs) > 1 else F.col(f"{kind}_{next(iter(refs))}") if refs else F.lit(None).cast("double")
+    common = common_words(docs, text_col, lang_col) if lang_col else {}
+    wanted = sorted({w for words in common.values() for w in words})
+    counts = settle(document_counts(docs, id_col, text_col, lang_col, wanted))
+    first = with_distances(counts, references(counts, list(common), len(wanted)), len(wanted))
+    refs = references(first.where(F.coalesce(F.array_min("class_distances"), F.lit(1.0)) <= TRIM_DISTANCE), list(common), len(wanted))
+    df = with_distances(counts, refs, len(wanted))
+    near = []
+    for i, (_, words) in enumerate(refs):
+        c, w = F.get("class_distances", F.lit(i)), F.get("word_distances", F.lit(i))
+        as_classes = (F.col("n_chars") < MIN_CHARS) | (c <= max_class_distance + CLASS_NOISE / F.sqrt(F.greatest("n_chars", F.lit(1))))
+        near.append(as_classes & ((F.col("n_words") < MIN_WORDS_JUDGED) | (w <= max_word_share * wordless_distance(words))))
     kept = ~F.col("base_failed") & (reduce(lambda a, b: a | b, near) if near else F.lit(True))
-    return df.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), least("c").alias("class_distance"), least("w").alias("word_distance"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    least = (F.array_min(c).alias(c[:-1]) for c in ("class_distances", "word_distances"))
+    return df.select(F.col("id").alias(id_col), *base, kept.alias("kept"), *least)

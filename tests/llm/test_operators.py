@@ -111,20 +111,77 @@ def test_quality_rules_against_a_loop(spark, docs, texts, odd_docs):
     assert odd == Counter(plain_counts(r["text"]) for r in odd_docs.collect())
 
 
+def plain_verdicts(rows, languages=64, per_language=12):
+    """(doc_id, kept) of (doc_id, text, lang) rows, by plain loops over the definitions."""
+    def classes(t):
+        kinds = [re.sub(p, "", t) for p in (r"[^\w\x20\x09-\x0D]|_", r"[A-Z\u00c0-\u00d6\u00d8-\u00de]", r"\d")]
+        n, plain, upper, digits = len(t), len(kinds[0]), len(t) - len(kinds[1]), len(t) - len(kinds[2])
+        space, symbols = n - sum(map(len, WORD.findall(t))), len(re.findall(r"[#*$%&|<>]", t))
+        return [plain - upper - digits - space, upper, digits, space, symbols, n - plain - symbols]
+
+    def distance(p, q):
+        half = lambda a, b: sum(x * np.log2(2 * x / (x + y)) for x, y in zip(a, b, strict=True) if x)
+        return np.sqrt(max(0.0, (half(p, q) + half(q, p)) / 2))
+
+    docs = [(i, t or "", x) for i, t, x in rows]
+    often = sorted(Counter(x for _, t, x in rows if x is not None and t is not None).items(), key=lambda kv: (-kv[1], kv[0]))[:languages]
+    wanted = set()
+    for x, _ in often:
+        held = Counter(w for _, t, y in docs if y == x for w in set(WORD.findall(t)) if re.search(r"[^\W\d_]", w))
+        wanted |= {w for w, _ in sorted(held.items(), key=lambda kv: (-kv[1], kv[0].encode()))[:per_language]}
+    wanted = sorted(wanted)
+    made = []
+    for i, t, x in docs:
+        words = WORD.findall(t)
+        hits = [words.count(w) for w in wanted]
+        made.append((i, x, plain_counts(t)[-1], len(t), len(words), classes(t), [*hits, len(words) - sum(hits)]))
+    share = lambda v: [n / sum(v) for n in v] if sum(v) else [0.0] * len(v)
+
+    def summed(rows):
+        use = [r for r in rows if not r[2] and r[1] in dict(often)]
+        return [tuple(share([sum(v) for v in zip(*(r[k] for r in use if r[1] == x), strict=True)]) for k in (5, 6)) for x in sorted({r[1] for r in use})]
+
+    first = summed(made)
+    refs = summed([r for r in made if min(distance(share(r[5]), c) for c, _ in first) <= rules.TRIM_DISTANCE])
+    out = []
+    for i, _, failed, n, n_words, c, w in made:
+        fits = [(n < 200 or distance(share(c), qc) <= rules.MAX_CLASS_DISTANCE + rules.CLASS_NOISE / np.sqrt(n)) and (n_words < 100 or distance(share(w), qw) <= rules.MAX_WORD_SHARE * distance([0.0] * (len(qw) - 1) + [1.0], qw)) for qc, qw in refs]
+        out.append((i, not failed and (any(fits) or not refs)))
+    return sorted(out)
+
+
 def test_quality_rules_verdict(spark, docs):
-    counts = rules.document_counts(docs, "doc_id", "text", "lang").collect()
+    counts = rules.document_counts(docs, "doc_id", "text", "lang", ["the", "und"]).collect()
     assert all(sum(r["classes"]) == r["n_chars"] and min(r["classes"]) >= 0 for r in counts)
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.select("doc_id", "text", "lang").collect()]
+    assert sorted((r["doc_id"], r["kept"]) for r in rules.judge(docs).collect()) == plain_verdicts(rows)
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     by = {(r["quality"], r["base_failed"]): (r["kept"], r["n"]) for r in rules.judge(docs).join(labels, "doc_id").groupBy("quality", "base_failed").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")).collect()}
     assert by[1, False][0] > 0.97 and by[0, False][0] < 0.5
 
 
+def test_quality_rules_of_any_language(spark, no_docs):
+    rng = np.random.default_rng(8)
+    own = {x: [f"{x}{a}{b}" for a in "aeiou" for b in "klmn"] for x in ("q", "z")}
+    rows = [(i, " ".join(rng.choice(own["qz"[i % 2]], 160)) + f" {i} end", "qz"[i % 2]) for i in range(40)]
+    rows += [(100, " ".join(f"xx{j}y" for j in range(160)), None), (101, None, "q"), (102, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["kept"] for r in rules.judge(df).collect()}
+    expected = dict(plain_verdicts(rows))
+    assert found == expected and sum(found[i] for i in range(40)) > 35 and not found[100]
+    assert rules.judge(no_docs).count() == 0 and not any(r["kept"] for r in rules.judge(no_docs.unionByName(df.where("doc_id > 100").withColumns({"source": F.lit("s"), "n_chars": F.lit(1)}))).collect())
+    found = spark.createDataFrame([(["b", "a", "b", "c"],), ([],)], "w array<string>")
+    assert [[tuple(x) for x in r["n"]] for r in rules.counted_words(found, "w", ["a", "b"], "n").collect()] == [[(0, 1), (1, 2)], []]
+
+
 def test_js_distance(spark):
     p, q = np.array([0.5, 0.5, 0.0]), np.array([0.25, 0.25, 0.5])
     m = (p + q) / 2
     kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, m, strict=True) if x)
     found = spark.range(1).select(rules.js_distance(F.array(*map(F.lit, p.tolist())), q.tolist())).first()[0]
     assert found == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2))
+    sparse = F.array(*(F.struct(F.lit(i).alias("at"), F.lit(float(x)).alias("share")) for i, x in enumerate(p) if x))
+    assert spark.range(1).select(rules.js_distance_sparse(sparse, q.tolist())).first()[0] == pytest.approx(found)
     assert rules.wordless_distance([0.3, 0.7]) == pytest.approx(np.sqrt((0.3 + np.log2(1 / 0.85) + 0.7 * np.log2(0.7 / 0.85)) / 2))
 
 
