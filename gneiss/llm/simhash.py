@@ -3,8 +3,10 @@
 Two fingerprints within r bits agree on at least m - r of any m parts of their bits. Each choice of m - r parts is a
 band; the fingerprints of a band with equal values there form a shard. Each shard gets a BK-tree (children keyed by
 their Hamming distance to the parent) and only edges that the triangle inequality leaves open are followed. A shard's
-tree is built where its rows are shuffled to; shards over ``tree_rows`` are cut into chunks and every pair of chunks
-(one gives the tree, the other the queries) is a task's work of its own, so no task holds an unbounded group.
+tree is built where its rows are shuffled to. The fingerprints of a shard over ``tree_rows`` are dealt to bands of the
+bits that the shard leaves free, by the same rule; only what is over ``tree_rows`` again, fingerprints that agree on some
+48 bits, is cut into chunks, and every pair of chunks (one gives the tree, the other the queries) is work of its own. So
+no task holds an unbounded group, and no fingerprint is copied for every other one.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ SHINGLE_WORDS = 3
 TREE_ROWS = 1024
 _QUERY_BLOCK = 2048
 _BUFFER_ROWS = 50_000
+_GROUP = ("band", "inner", "shard", "i", "j")
 
 
 def fingerprint(data: bytes | None, words_in_shingle: int = SHINGLE_WORDS) -> int:
@@ -71,6 +74,14 @@ def band_masks(parts: int, radius: int = RADIUS) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
+def inner_masks(mask: int, radius: int = RADIUS, parts: int = 2 * RADIUS) -> list[int]:
+    """Bands inside a shard of ``mask``: its bits and a choice of ``parts - radius`` of the parts of its free bits."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    pieces = [sum(1 << b for b in free[len(free) * i // parts : len(free) * (i + 1) // parts]) for i in range(parts)]
+    masks = [(mask % (1 << 64)) | sum(chosen) for chosen in combinations(pieces, parts - radius)]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
+
+
 def parts_for(count: int, radius: int = RADIUS, shard_rows: int = 64) -> int:
     """The fewest parts for which uniform fingerprints make shards of at most ``shard_rows`` on average. Any is exact."""
     parts = radius + 1
@@ -142,7 +153,7 @@ def local_roots(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _shard_links(radius: int):
     def solve(t: pa.Table) -> pa.RecordBatch:
         fp = t.column("fp").to_numpy().view(np.uint64)
-        group = np.cumsum(np.concatenate([[0], np.any([np.diff(t.column(c).to_numpy()) != 0 for c in ("band", "shard", "i", "j")], axis=0)]))
+        group = np.cumsum(np.concatenate([[0], np.any([np.diff(t.column(c).to_numpy()) != 0 for c in _GROUP], axis=0)]))
         left, right = bk_links(fp, group, t.column("side").to_numpy(), radius)
         root = local_roots(len(fp), left, right)
         linked = np.flatnonzero(root != np.arange(len(fp)))
@@ -156,7 +167,7 @@ def _shard_links(radius: int):
             held.append(b)
             if sum(x.num_rows for x in held) >= _BUFFER_ROWS:
                 t = pa.Table.from_batches(held).combine_chunks()
-                new = np.flatnonzero(np.any([np.diff(t.column(c).to_numpy()) != 0 for c in ("band", "shard", "i", "j")], axis=0))
+                new = np.flatnonzero(np.any([np.diff(t.column(c).to_numpy()) != 0 for c in _GROUP], axis=0))
                 if new.size:
                     cut = int(new[-1]) + 1
                     yield solve(t.slice(0, cut).combine_chunks())
@@ -174,13 +185,24 @@ def links(distinct: DataFrame, count: int, radius: int = RADIUS, tree_rows: int
     connect, with at most one row per fingerprint and shard instead of all pairs.
     """
     masks = band_masks(parts_for(count, radius), radius)
-    shards = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("band", "shard"))
-    sizes = shards.groupBy("band", "shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = shards.join(sizes, ["band", "shard"]).withColumn("chunks", F.ceil(F.col("n") / tree_rows).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("fp", "band", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    dealt = rows.repartition("band", "shard", "i", "j").sortWithinPartitions("band", "shard", "i", "j", "fp")
+    deal = lambda found: F.posexplode(F.transform(found, lambda m: F.col("fp").bitwiseAND(m)))
+
+    def sized(shards: DataFrame) -> DataFrame:
+        sizes = shards.groupBy("band", "inner", "shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        return shards.join(sizes, ["band", "inner", "shard"])
+
+    shards = distinct.select("fp", deal(F.lit(masks)).alias("band", "shard")).select("fp", "band", F.lit(-1).alias("inner"), "shard")
+    rows = sized(shards)
+    over = rows.where(F.col("n") > tree_rows)
+    inner = F.get(F.array(*(F.lit(inner_masks(m, radius)) for m in masks)), F.col("band"))
+    again = sized(over.select("fp", "band", deal(inner).alias("inner", "shard")))
+    again = again.withColumn("chunks", F.ceil(F.col("n") / tree_rows).cast("int"))
+    again = again.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    again = again.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    again = again.select("fp", "band", "inner", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"))
+    whole = rows.where(F.col("n") <= tree_rows).select("fp", "band", "inner", "shard", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side"))
+    dealt = whole.unionByName(again).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "fp")
     return dealt.mapInArrow(_shard_links(radius), "a long, b long").distinct()
 
 
@@ -190,19 +212,18 @@ def components(edges: DataFrame) -> DataFrame:
     Every round is a partially aggregated minimum and one join; large hubs are split by the adaptive skew join.
     """
     now = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        to_low, down = F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(low, "u").select(F.explode(F.array(to_low, down)).alias("e"))
         after = settle(small.select("e.*").where("u <> v").distinct())
-        seen = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        same = after.count() == now.count() and after.join(now, ["u", "v"], "left_anti").isEmpty()
         now = after
-        if seen == state:
+        if same:
             break
-        state = seen
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

@@ -72,6 +72,24 @@ def test_simhash_chains_and_chunks():
         assert (((fp[i] ^ fp[j])[:, None] & masks[None]) == 0).any(axis=1).all()
 
 
+def test_simhash_shards_over_the_limit(spark):
+    rng = np.random.default_rng(9)
+    base = int(rng.integers(0, 2**63))
+    crowd = {base ^ (int(rng.integers(0, 1 << 14)) << 20) for _ in range(400)}  # agree on 50 bits: over the limit twice
+    fps = np.array(sorted(crowd | {int(x) for x in rng.integers(0, 2**63, 100)}), dtype=np.uint64)
+    expected = simhash.local_roots(len(fps), *np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None]) <= 3))
+    own = spark.createDataFrame([(i, 0, int(x)) for i, x in enumerate(fps.view(np.int64))], "id long, copy long, fp long")
+    found = simhash.classes(own, F.col("id"), tree_rows=32).join(own, "fp").collect()
+    assert {(r["id"], r["first"]) for r in found} == set(enumerate(expected.tolist()))
+    for mask in simhash.band_masks(6)[:3]:
+        inner = [m % (1 << 64) for m in simhash.inner_masks(mask)]
+        assert len(inner) == 20 and all(m & (mask % (1 << 64)) == mask % (1 << 64) for m in inner)
+        a = rng.integers(0, 64, (200, 3))
+        for bits in a:
+            differ = sum(1 << int(b) for b in set(bits.tolist())) & ~mask
+            assert any(differ & m == 0 for m in inner)
+
+
 def test_simhash_odd_rows(spark, odd_docs, no_docs):
     found = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(odd_docs).collect()}
     assert {(1, 1), (2, 1), (3, 3), (4, 3), (5, 3)} <= found and simhash.near_duplicates(odd_docs).count() == odd_docs.count()
