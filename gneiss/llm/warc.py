@@ -10,6 +10,7 @@ from __future__ import annotations
 import gzip
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -22,6 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 SCHEMA = "warc_type string, record_id string, target_uri string, page_id long, payload_digest string, payload_length long, refers_to string, refers_to_page long, content_length long, headers map<string,string>, payload binary"
 #: Column and header of the values that predicates can test before a block is read.
 HEADER_COLUMNS = {"warc_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To", "page_id": "X-Page-ID", "payload_length": "X-Payload-Length", "refers_to_page": "X-Refers-To-Page-ID"}
+_KNOWN = {h.lower(): h for h in (*HEADER_COLUMNS.values(), "Content-Length", "Content-Type")}
 _NUMBERS = {"page_id", "payload_length", "refers_to_page"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below are archived each; a task starts another file after so many bytes.
@@ -59,22 +61,39 @@ def page_record(kind: str, page_id: int | None, url: str | None, payload: bytes,
     return record(kind, headers, http + f"Content-Length: {len(payload)}\r\n\r\n".encode() + payload)
 
 
-def records(source, wanted, with_payload: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """(headers, payload) of the records whose headers ``wanted`` accepts; other blocks are passed over undecoded."""
+def _damaged(strict: bool, what: str) -> None:
+    if strict:
+        raise ValueError(what)
+
+
+def records(source, wanted, with_payload: bool, strict: bool = True) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """(headers, payload) of the records whose headers ``wanted`` accepts; other blocks are passed over undecoded.
+
+    Header names are matched whatever their case. A damaged record (no version line where one is due, no valid length,
+    a block cut short) is an error if ``strict``, else it is left out and reading goes on at the next version line.
+    """
     while line := source.readline():
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record begins with {line[:40]!r}")
+            _damaged(strict, f"no WARC record begins with {line[:40]!r}")
+            continue
         headers: dict[str, str] = {}
         while (line := source.readline()) not in (b"\r\n", b"\n", b""):
             name, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[name.strip()] = value.strip()
-        left = int(headers.get("Content-Length", 0))
+            headers[_KNOWN.get(name.strip().lower(), name.strip())] = value.strip()
+        length = headers.get("Content-Length", "")
+        if not (length.isascii() and length.isdigit()):
+            _damaged(strict, f"a WARC record has the length {length!r}")
+            continue
+        left = int(length)
         if wanted(headers):
             payload = None
             if with_payload:
                 block, left = source.read(left), 0
+                if len(block) < int(length):
+                    _damaged(strict, f"a WARC record of {length} bytes ends after {len(block)}")
+                    return
                 if headers.get("WARC-Type") == "response" and headers.get("Content-Type", "").startswith("application/http"):
                     payload = block.partition(b"\r\n\r\n")[2]
                 elif headers.get("WARC-Type") != "revisit":
@@ -98,11 +117,17 @@ class _Written(WriterCommitMessage):
     files: list[str]
 
 
+def _number(text: str | None) -> int | None:
+    """A header's number; null if it is missing or none, as other writers may use the name for something else."""
+    return int(text) if text and text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
 class WarcReader(DataSourceReader):
     """A partition per file; equality and membership tests on header columns are pushed down."""
 
     def __init__(self, options: dict[str, str]):
         self.folder, self.with_payload = options["path"], options.get("payload", "true").lower() == "true"
+        self.strict = options.get("mode", "FAILFAST").upper() != "DROPMALFORMED"
         self.tests: list[tuple[str, frozenset[str]]] = []
         self.present: list[str] = []
 
@@ -135,8 +160,8 @@ class WarcReader(DataSourceReader):
         rows, held = [], 0
         with store.open_input_file(partition.path) as raw:
             source = gzip.GzipFile(fileobj=raw) if partition.path.endswith(".gz") else io.BufferedReader(raw, 1 << 16)
-            for headers, payload in records(source, self.wanted, self.with_payload):
-                values = {c: int(headers[h]) if c in _NUMBERS and h in headers else headers.get(h) for c, h in HEADER_COLUMNS.items()}
+            for headers, payload in self._records(source):
+                values = {c: _number(headers.get(h)) if c in _NUMBERS else headers.get(h) for c, h in HEADER_COLUMNS.items()}
                 rows.append(values | {"content_length": int(headers.get("Content-Length", 0)), "headers": list(headers.items()), "payload": payload})
                 held += len(payload or b"") + 500
                 if held > _BATCH_BYTES:
@@ -145,6 +170,13 @@ class WarcReader(DataSourceReader):
         if rows:
             yield self._batch(rows)
 
+    def _records(self, source) -> Iterator[tuple[dict[str, str], bytes | None]]:
+        try:
+            yield from records(source, self.wanted, self.with_payload, self.strict)
+        except (EOFError, zlib.error, gzip.BadGzipFile):  # the rest of a compressed file cannot be read
+            if self.strict:
+                raise
+
     @staticmethod
     def _batch(rows: list[dict]) -> pa.RecordBatch:
         s, n = pa.string(), pa.int64()
@@ -205,7 +237,8 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcDataSource(DataSource):
-    """``format("warc")``: options path, payload (true or false), compression (gzip or none), file_bytes."""
+    """``format("warc")``: options path, payload (true or false), mode (FAILFAST or
+    DROPMALFORMED, which leaves damaged records out), compression (gzip or none), file_bytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -242,7 +275,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("target_uri"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("payload_length", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
     copies = rows.where(F.col("payload_length") >= least_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("winner"), F.count(F.lit(1)).alias("n"))
-    rows = rows.join(copies.where("n > 1 and winner is not null").select("payload_digest", "winner"), "payload_digest", "left")
+    copies = copies.where("n > 1 and winner is not null").select(F.col("payload_digest").alias("_key"), "winner")
+    # Short payloads share few digests and never match: a key of their own spreads them.
+    own = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
+    rows = rows.withColumn("_key", F.when(F.col("payload_length") >= least_bytes, F.col("payload_digest")).otherwise(own)).join(copies, "_key", "left")
     revisit = F.col("winner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("winner"))
     return rows.select("page_id", "target_uri", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(~revisit, F.col("payload")).alias("payload"), "payload_length", "payload_digest", F.when(revisit, F.col("winner")).alias("refers_to"))
 

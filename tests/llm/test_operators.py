@@ -364,6 +364,22 @@ def test_warc(spark, no_docs):
         text = warc.read_warc(spark, folder).where("page_id = 6").first()
         assert bytes(text["payload"]).decode() == "other " * 50
     assert warc.plan_records(pages.limit(0)).count() == 0
+    folder = f"{shared_dir(spark)}/warc-empty"
+    warc.archive_pages(pages.limit(0), folder)
+    assert warc.archived_pages(spark, folder).count() == 0
+
+
+def test_warc_of_other_writers_and_damage(spark, tmp_path):
+    good = [warc.page_record("response", i, f"http://{i}", b"y" * 120, "d", 120, None) for i in range(4)]
+    lower = good[1].replace(b"WARC-Type", b"warc-type").replace(b"Content-Length: ", b"content-length:", 1).replace(b"X-Page-ID: 1", b"x-page-id: one")
+    (tmp_path / "a.warc").write_bytes(good[0] + lower + b"noise\r\n" + good[2])
+    (tmp_path / "b.warc").write_bytes(good[3].replace(b"Content-Length: ", b"Content-Length: x", 1) + good[2][:-60])
+    (tmp_path / "c.warc.gz").write_bytes(__import__("gzip").compress(good[1])[:-20])
+    warc.register(spark)
+    with pytest.raises(Exception, match="WARC|EOF|end-of-stream"):
+        warc.read_warc(spark, f"file://{tmp_path}").collect()
+    found = spark.read.format("warc").option("mode", "DROPMALFORMED").load(f"file://{tmp_path}").collect()
+    assert sorted((r["page_id"] if r["page_id"] is not None else -1, r["target_uri"]) for r in found if len(r["payload"]) == 120) == [(-1, "http://1"), (0, "http://0"), (2, "http://2")]
 
 
 def test_warc_skips_unwanted_blocks(tmp_path):
