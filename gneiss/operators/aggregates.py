@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.operators import ranks
+
 
 def slope_per_hour(seconds: Column, value: Column) -> Column:
     """Least-squares slope of value over seconds, per hour; null if all seconds are equal."""
@@ -40,11 +43,10 @@ def pivot_parameters(df: DataFrame, keys: Sequence[str], name: str, value: str,
 def psi(reference: DataFrame, current: DataFrame, value: str, bins: int = 10, floor: float = 1e-4) -> DataFrame:
     """One row: the population stability index over the reference's quantile bins, shares clipped from below, and status.
 
-    The edges are one row of ``bins - 1`` numbers, joined to both sides as such.
+    The edges are ``bins - 1`` numbers, found by ranks and used as constants on both sides.
     """
-    cuts = [i / bins for i in range(1, bins)]
-    edges = reference.agg(F.percentile(value, F.array(*map(F.lit, cuts))).alias("edges"))
-    numbered = lambda df: df.where(F.col(value).isNotNull()).crossJoin(F.broadcast(edges)).select(F.size(F.filter("edges", lambda e: e < F.col(value))).alias("bin"))
+    edges = F.lit([x for x in ranks.quantiles(reference, value, [i / bins for i in range(1, bins)]) if x is not None] or [0.0])
+    numbered = lambda df: df.where(F.col(value).isNotNull()).select(F.size(F.filter(edges, lambda e: e < F.col(value))).alias("bin"))
     share = lambda df, name: df.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).select("bin", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias(name))
     every = reference.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     both = every.join(share(numbered(reference), "r"), "bin", "left").join(share(numbered(current), "c"), "bin", "left")
@@ -57,19 +59,24 @@ def drift_status(value: Column, warn: float = 0.1, alert: float = 0.25) -> Colum
 
 
 def ood_distance(df: DataFrame, key: str, vector: str, quantile: float = 0.995) -> DataFrame:
-    """Mean squared z-score of each vector against per-component means and deviations, and whether it exceeds the quantile."""
-    parts = df.select(key, F.posexplode(vector).alias("i", "x")).withColumn("x", F.col("x").cast("double"))
-    stats = parts.groupBy("i").agg(F.avg("x").alias("m"), F.greatest(F.stddev_pop("x"), F.lit(1e-6)).alias("s"))
-    z = parts.join(F.broadcast(stats), "i").groupBy(key).agg(F.avg(F.pow((F.col("x") - F.col("m")) / F.col("s"), 2)).alias("distance"))
-    limit = z.agg(F.percentile("distance", F.lit(quantile)).alias("limit"))
-    return z.crossJoin(F.broadcast(limit)).select(key, "distance", (F.col("distance") > F.col("limit")).alias("is_ood"))
+    """Mean squared z-score of each vector against per-component means and deviations, and whether it exceeds the quantile.
+
+    The components' statistics are one row with an array as long as a vector; each vector meets it in place, unshuffled.
+    """
+    parts = df.select(F.posexplode(vector).alias("i", "x")).withColumn("x", F.col("x").cast("double"))
+    by = parts.groupBy("i").agg(F.avg("x").alias("m"), F.greatest(F.stddev_pop("x"), F.lit(1e-6)).alias("s"))
+    stats = by.agg(F.sort_array(F.collect_list(F.struct("i", "m", "s"))).alias("_stats"))  # a place for each component
+    square = F.zip_with(vector, "_stats", lambda x, s: F.pow((x.cast("double") - s["m"]) / s["s"], 2))
+    z = df.crossJoin(F.broadcast(stats)).select(key, (F.aggregate(square, F.lit(0.0), lambda a, x: a + x) / F.size(vector)).alias("distance"))
+    limit = ranks.quantiles(z, "distance", [quantile])[0]
+    return z.select(key, "distance", (F.col("distance") > F.lit(limit)).alias("is_ood"))
 
 
 def auroc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row: area under the curve from mid-ranks. Ranks come from counts of distinct scores, not from a global sort of rows."""
+    """One row: area under the curve from mid-ranks, by running sums over the counts of distinct scores."""
     by = df.groupBy(F.col(score).alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_pos"))
-    below = F.coalesce(F.sum(F.col("_n") - F.col("_pos")).over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = by.select("_n", "_pos", (F.col("_pos") * (below + (F.col("_n") - F.col("_pos")) / 2)).alias("_won"))
+    placed = ranks.running_sum(by, [F.col("_s")], F.col("_n") - F.col("_pos"), "_below")
+    won = placed.select("_n", "_pos", (F.col("_pos") * (F.col("_below") + (F.col("_n") - F.col("_pos")) / 2)).alias("_won"))
     return won.agg((F.sum("_won") / (F.sum("_pos") * F.sum(F.col("_n") - F.col("_pos")))).alias("auroc"))
 
 
@@ -82,6 +89,9 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
 
 
 def threshold_for(df: DataFrame, label: str, score: str, sensitivity: float) -> DataFrame:
-    """One row: the largest score that still finds the given share of the positives."""
-    positives = df.where(F.col(label) == 1)
-    return positives.agg(F.expr(f"percentile_disc({sensitivity}) within group (order by {score} desc)").alias("threshold"))
+    """One row: the largest score that still finds the given share of the positives; null without any."""
+    positives = df.where((F.col(label) == 1) & F.col(score).isNotNull()).select(score)
+    n = positives.count()
+    place = max(1, math.ceil(round(sensitivity * n, 9)))
+    found = ranks.at_ranks(positives, score, [place], descending=True) if n else {}
+    return df.sparkSession.createDataFrame([(found.get(place),)], "threshold double")

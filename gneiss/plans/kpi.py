@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gneiss.operators import ranks
+
 
 def exposure(risk: DataFrame, weights: DataFrame, score: str = "rule_score", criticality: str = "criticality") -> DataFrame:
     """score / 100 x the criticality's weight (1.0 if none); an abstained asset counts 0. Parameters are named criticality_weight.<class>."""
@@ -16,11 +18,9 @@ def exposure(risk: DataFrame, weights: DataFrame, score: str = "rule_score", cri
 
 def time_to_review(findings: DataFrame, partition: str, score: str, at: str, key: str, hours_each: float, keep: str) -> DataFrame:
     """Hours until each finding is reviewed in risk order and in calendar order; the rows of interest are kept after ranking."""
-    risk = Window.partitionBy(partition).orderBy(F.desc(score), at, key)
-    calendar = Window.partitionBy(partition).orderBy(at, key)
-    pick = lambda name, w: findings.withColumns({"ordering": F.lit(name), "position": F.row_number().over(w)})
-    both = pick("risk", risk).unionByName(pick("calendar", calendar))
-    return both.withColumn("review_h", F.col("position") * hours_each).where(keep)
+    orders = {"risk": [F.desc(score), F.col(at), F.col(key)], "calendar": [F.col(at), F.col(key)]}
+    both = [ranks.ranked_in(findings, partition, order, "position").withColumn("ordering", F.lit(name)) for name, order in orders.items()]
+    return both[0].unionByName(both[1]).withColumn("review_h", F.col("position") * hours_each).where(keep)
 
 
 def coverage(df: DataFrame, dims: list[str], received: str, covered: str) -> DataFrame:

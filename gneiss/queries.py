@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import columns as C
-from gneiss.operators import aggregates, checks, history, joins, text, windows
+from gneiss.operators import aggregates, checks, history, joins, ranks, text, windows
 from gneiss.plans import contracts, kpi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,8 +71,8 @@ def risk_worklist(spark, d):
     cui, coating = F.when(F.col("o_orderstatus") == "F", "YES"), F.when(F.col("o_orderpriority") == "1-URGENT", "POOR")
     c = c.withColumn("score", C.rule_score(F.col("wl"), F.col("previous_wl"), F.col("breaches"), F.col("corrective"), overdue, cui, coating, F.col("criticality"))).withColumn("is_abstained", F.col("c_acctbal") < -900)
     e = kpi.with_is_latest(kpi.exposure(c, spark.createDataFrame(WEIGHTS, "parameter string, value double"), score="score"), "od")
-    rank = F.row_number().over(Window.orderBy(F.desc("exposure"), F.desc("score"), "o_custkey")).cast("long")
-    return e.select(F.col("o_custkey").alias("c_custkey"), "criticality", F.round("score", 6).alias("rule_score"), C.risk_band(F.col("score")).alias("risk_band"), "is_abstained", F.round("exposure", 6).alias("exposure"), rank.alias("risk_rank"), "is_latest")
+    e = ranks.ranked(e, [F.desc("exposure"), F.desc("score"), F.col("o_custkey")], "risk_rank")
+    return e.select(F.col("o_custkey").alias("c_custkey"), "criticality", F.round("score", 6).alias("rule_score"), C.risk_band(F.col("score")).alias("risk_band"), "is_abstained", F.round("exposure", 6).alias("exposure"), F.col("risk_rank").cast("long"), "is_latest")
 
 
 EVENTS = contracts.Contract("events", ("event_id",), (
@@ -397,9 +397,10 @@ def semi_join(spark, d):
     return table(spark, d, "customer").select("c_custkey", "c_name").join(big, "c_custkey", "left_semi")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)")
 def anti_join(spark, d):
-    return table(spark, d, "customer").select("c_custkey", "c_name").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    big = table(spark, d, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").select("c_custkey", "c_name").join(big, "c_custkey", "left_anti")
 
 
 @query("""

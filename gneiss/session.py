@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,10 +19,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder every executor sees: under spark.checkpoint.dir, or a temporary one where that is unset on a local master."""
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or a temporary folder, then also set as checkpoint folder, where that is unset on a local master."""
     import tempfile
-    import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
@@ -30,4 +29,17 @@ def workspace(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         shared = "file://" + tempfile.mkdtemp(prefix="gneiss-")
         spark.sparkContext.setCheckpointDir(shared)
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+    return shared
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder every executor sees, under the shared one."""
+    import uuid
+
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """df computed once, its lineage cut by a reliable checkpoint."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -88,9 +88,16 @@ ORACLE_SQL["stream_control_recon"] = """
 
 
 def alarm_hysteresis(spark, d):
-    """Alarm events per user: no SQL twin, a state machine; tested against a plain loop."""
+    """Alarm events per user: raised at two levels, cleared below 85 % of the lower; also tested against a plain loop."""
     events = spark.read.parquet(f"{d}/events.parquet")
     return telemetry.alarms(events, "user_id", "ts", "value", "event_id", 100.0, 250.0)
 
 
+ORACLE_SQL["alarm_hysteresis"] = """
+    WITH s AS (SELECT user_id, ts AS event_ts, event_id AS seq, value, value < 85 AS clears, count(*) FILTER (value < 85) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS stretch FROM events),
+    l AS (SELECT *, max(CASE WHEN value >= 250 THEN 2 WHEN value >= 100 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, stretch ORDER BY event_ts, seq) AS level FROM s),
+    b AS (SELECT *, coalesce(lag(level) OVER (PARTITION BY user_id ORDER BY event_ts, seq), 0) AS before FROM l)
+    SELECT user_id, event_ts, seq, CASE WHEN (CASE WHEN clears THEN before ELSE level END) = 2 THEN 'HIHI' ELSE 'HI' END AS alarm_type, CASE WHEN clears THEN 'CLEARED' ELSE 'ACTIVE' END AS state, value
+    FROM b WHERE CASE WHEN clears THEN before > 0 ELSE level > before END"""
+
 QUERIES |= {f.__name__: f for f in (sensor_windows, sensor_daily, stream_windows, stream_exactly_once, stream_control_recon, alarm_hysteresis)}

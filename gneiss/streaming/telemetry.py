@@ -6,7 +6,7 @@ import contextlib
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -125,25 +125,22 @@ _ALARM = "{key} {kind}, event_ts {time}, seq long, alarm_type string, state stri
 
 
 def alarms(readings: DataFrame, key: str, event: str, value: str, seq: str, hi: float, hihi: float) -> DataFrame:
-    """Alarm events of each key's readings in event order; state passes from batch to batch of a key, so a key may be long."""
-    kinds = dict(readings.dtypes)
-    schema = _ALARM.format(key=key, kind=kinds[key], time=kinds[event])
+    """Alarm events of each key's readings in event order, by window functions alone.
+
+    A clearing reading begins a new stretch of its key. The level of a reading is the highest one reached in its stretch,
+    so an alarm is raised where the level rises, and cleared where a stretch begins after one with a level.
+    """
     rows = readings.select(key, F.col(event).alias("event_ts"), F.col(seq).cast("long").alias("seq"), F.col(value).cast("double").alias("value"))
-    dealt = rows.repartition(key).sortWithinPartitions(key, "event_ts", "seq")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, active = None, None
-        for part in parts:
-            out = []
-            for k, t, s, v in part.itertuples(index=False):
-                if k != current:
-                    current, active = k, None
-                active, event_ = alarm_step(active, v, hi, hihi)
-                if event_:
-                    out.append((k, t, s, *event_, v))
-            yield pd.DataFrame(out, columns=[key, "event_ts", "seq", "alarm_type", "state", "value"])
-
-    return dealt.mapInPandas(run, schema)
+    w = Window.partitionBy(key).orderBy("event_ts", "seq")
+    clears = F.col("value") < hi * CLEAR_SHARE
+    rows = rows.withColumn("_stretch", F.count(F.when(clears, 1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    level = F.when(F.col("value") >= hihi, 2).when(F.col("value") >= hi, 1).otherwise(0)
+    inside = Window.partitionBy(key, "_stretch").orderBy("event_ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_level", F.max(level).over(inside)).withColumn("_before", F.coalesce(F.lag("_level").over(w), F.lit(0)))
+    name = lambda c: F.when(c == 2, "HIHI").otherwise("HI")
+    found = rows.where(F.when(clears, F.col("_before") > 0).otherwise(F.col("_level") > F.col("_before")))
+    kind, state = F.when(clears, name(F.col("_before"))).otherwise(name(F.col("_level"))), F.when(clears, "CLEARED").otherwise("ACTIVE")
+    return found.select(key, "event_ts", "seq", kind.alias("alarm_type"), state.alias("state"), "value")
 
 
 def stream_alarms(stream: DataFrame, key: str, event: str, value: str, seq: str, hi: float, hihi: float) -> DataFrame:
