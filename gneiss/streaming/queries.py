@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gneiss.operators import checks
+from gneiss.plans import contracts
 from gneiss.session import workspace
+from gneiss.sources import readers
 from gneiss.sources.store import Table
 from gneiss.streaming import telemetry
 
@@ -87,6 +89,54 @@ ORACLE_SQL["stream_control_recon"] = """
     SELECT status, count(*) AS n, sum(expected) AS expected, sum(actual) AS actual FROM s GROUP BY status"""
 
 
+READINGS = contracts.Contract("reading", ("event_id",), (
+    contracts.Field("event_id", "bigint", required=True),
+    contracts.Field("event_type", required=True, allowed=("click", "purchase", "signup", "view")),
+    contracts.Field("event_ts", "timestamp", required=True),
+    contracts.Field("value", "double", required=True),
+))
+
+
+def _messages(spark, d):
+    """Events as messages of three sendings by day of the month; each 97th is broken, each 50th of the first comes last."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    sending = F.when(F.dayofmonth("ts") > 20, 3).when(F.dayofmonth("ts") > 10, 2).when(F.col("event_id") % 50 == 0, 3).otherwise(1)
+    body = F.to_json(F.struct("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_ts"), "value"))
+    value = F.when(F.col("event_id") % 97 == 0, F.substring(body, 1, 20)).otherwise(body)
+    return e.select(sending.alias("sending"), F.col("event_type").alias("key"), F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"), value.alias("value"), F.lit("readings").alias("topic"))
+
+
+def stream_pipeline(spark, d):
+    """Messages through contract, two sinks and windows, each sending a restart of both streams from their checkpoints.
+
+    The windows read the accepted readings as a stream. Per type: messages accepted, in windows, and late ones, which the
+    watermark has dropped; rejected ones stand under their reason.
+    """
+    folder = workspace(spark, "stream")
+    inbox, good, bad = f"{folder}/inbox", f"{folder}/good", f"{folder}/bad"
+    messages = _messages(spark, d)
+    schema = "key string, timestamp long, topic string, event_id long, event_type string, event_ts timestamp, value double, producer_run string"
+    for sending in (1, 2, 3):
+        messages.where(F.col("sending") == sending).drop("sending").write.mode("append").json(inbox)
+        telemetry.stream_bronze(readers.stream_files(spark, inbox), READINGS, good, bad, f"{folder}/state-bronze").awaitTermination()
+        readings = telemetry.table_stream(spark, good, schema)
+        telemetry.stream_windows(readings, "event_type", "15 minutes", f"{folder}/windows", f"{folder}/state-windows").awaitTermination()
+    landed = spark.read.schema(schema).parquet(good).groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("n_accepted"), F.count_distinct("event_id").alias("n_ids"))
+    seen = telemetry.read_windows(spark, f"{folder}/windows", "event_type").groupBy(F.col("event_type").alias("name")).agg(F.sum("n").alias("n_in_windows"))
+    found = landed.join(seen, "name", "left").withColumn("n_late", F.col("n_accepted") - F.col("n_in_windows"))
+    none = F.lit(None).cast("long")
+    held = spark.read.parquet(bad).select(F.explode("reject_reasons").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n_accepted"))
+    return found.unionByName(held.select("name", "n_accepted", none.alias("n_ids"), none.alias("n_in_windows"), none.alias("n_late")))
+
+
+ORACLE_SQL["stream_pipeline"] = """
+    WITH m AS (SELECT *, event_id % 97 = 0 AS broken, day(ts) <= 10 AND event_id % 50 = 0 AS late FROM events),
+    g AS (SELECT * FROM m WHERE NOT broken AND event_type IN ('click', 'purchase', 'signup', 'view'))
+    SELECT event_type AS name, count(*) AS n_accepted, count(*) AS n_ids, CAST(count(*) FILTER (NOT late) AS BIGINT) AS n_in_windows, count(*) FILTER (late) AS n_late FROM g GROUP BY event_type
+    UNION ALL SELECT 'value:MALFORMED_JSON', count(*), NULL, NULL, NULL FROM m WHERE broken HAVING count(*) > 0
+    UNION ALL SELECT 'event_type:NOT_ALLOWED', count(*), NULL, NULL, NULL FROM m WHERE NOT broken AND event_type NOT IN ('click', 'purchase', 'signup', 'view') HAVING count(*) > 0"""
+
+
 def alarm_hysteresis(spark, d):
     """Alarm events per user: raised at two levels, cleared below 85 % of the lower; also tested against a plain loop."""
     events = spark.read.parquet(f"{d}/events.parquet")
@@ -100,4 +150,4 @@ ORACLE_SQL["alarm_hysteresis"] = """
     SELECT user_id, event_ts, seq, CASE WHEN (CASE WHEN clears THEN before ELSE level END) = 2 THEN 'HIHI' ELSE 'HI' END AS alarm_type, CASE WHEN clears THEN 'CLEARED' ELSE 'ACTIVE' END AS state, value
     FROM b WHERE CASE WHEN clears THEN before > 0 ELSE level > before END"""
 
-QUERIES |= {f.__name__: f for f in (sensor_windows, sensor_daily, stream_windows, stream_exactly_once, stream_control_recon, alarm_hysteresis)}
+QUERIES |= {f.__name__: f for f in (sensor_windows, sensor_daily, stream_windows, stream_exactly_once, stream_control_recon, stream_pipeline, alarm_hysteresis)}

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gneiss.functions.columns import to_psi
 from gneiss.operators.aggregates import window_stats
+from gneiss.plans.contracts import Contract, parse_stream
 
 WATERMARK = "10 minutes"
 SIZES = ("1 minute", "15 minutes")
@@ -95,6 +96,43 @@ def multi_sink(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], objec
     return run
 
 
+def batch_folders(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], str]]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: each sink's rows go to a folder per batch under its path, exactly once.
+
+    A finished folder is left alone when a batch comes again, an unfinished one is overwritten, sink by sink; so a
+    restart neither loses nor doubles rows, and the path can be read as a table or as a stream of its own.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            for select, path in sinks.values():
+                folder = f"{path}/_b={batch_id:012d}"
+                done = batch.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+                if not done.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(done):
+                    select(held).write.mode("overwrite").parquet(folder)
+        finally:
+            with contextlib.suppress(Exception):
+                held.unpersist()
+
+    return run
+
+
+def stream_bronze(stream: DataFrame, contract: Contract, good: str, quarantine: str, checkpoint: str) -> StreamingQuery:
+    """Messages parsed by their contract: accepted ones and, with their reasons, rejected ones in two exactly-once sinks."""
+    sinks = {
+        "good": (lambda b: b.where(F.size("reject_reasons") == 0).drop("reject_reasons", "payload"), good),
+        "quarantine": (lambda b: b.where(F.size("reject_reasons") > 0).select("payload", "reject_reasons", "timestamp"), quarantine),
+    }
+    writer = parse_stream(stream, contract).writeStream.foreachBatch(batch_folders(sinks))
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def table_stream(spark, path: str, schema) -> DataFrame:
+    """A table of batch folders as a stream of the rows appended to it."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def route_alarms(batch: DataFrame, priorities: tuple[str, ...] = ("1", "2")) -> dict[str, DataFrame]:
     """Parsed alarms by destination: urgent ones, all valid ones, and those with reject reasons."""
     valid = batch.where(F.size("reject_reasons") == 0)
