@@ -27,6 +27,51 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def landed_records(manifest: DataFrame, accepted: DataFrame, quarantined: DataFrame, entity: str = "entity") -> DataFrame:
+    """Records that the manifest (entity, records, control_total) lists against those accepted or quarantined, as rows
+    (entity, amount): the counts must agree, and a gap of the control total may be explained by what was quarantined."""
+    by = lambda df, n, s: df.groupBy(entity).agg(F.count(F.lit(1)).alias(n), F.sum("amount").alias(s))
+    both = manifest.join(by(accepted, "_good", "_sum"), entity, "left").join(by(quarantined, "_bad", "_held"), entity, "left")
+    both = both.fillna(0, ["_good", "_bad", "_sum", "_held"])
+    count = check(both, "bronze", F.col(entity), "landed_records", F.col("records"), F.col("_good") + F.col("_bad"))
+    total = check(both, "bronze", F.col(entity), "control_total", F.col("control_total"), F.col("_sum"), F.col("_held"))
+    return union([count, total])
+
+
+def file_trailers(stats: DataFrame) -> DataFrame:
+    """Each pipe-separated file's data lines against its trailer's count (see ``readers.psv_stats``)."""
+    return check(stats, "bronze", F.col("_source_file"), "file_trailer", F.col("trailer_count"), F.col("n_lines"))
+
+
+def landed_objects(listed: DataFrame, source: str = "source", verdict: str = "verdict") -> DataFrame:
+    """Objects a source's manifest lists against those that landed and are sound, explained by what was quarantined."""
+    by = listed.groupBy(source).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(verdict) == "OK").alias("_ok"), F.count_if(~F.col(verdict).isin("OK", "MISSING_FILE")).alias("_held"))
+    return check(by, "bronze", F.col(source), "landed_objects", F.col("_n"), F.col("_ok"), F.col("_held"))
+
+
+def record_parity(upstream: DataFrame, downstream: DataFrame, key: str, entity: str, amount: str | None = None) -> DataFrame:
+    """Records, and a total, of a layer against the one before, where repeated keys of the one before explain a gap.
+
+    Of rows with one key the layer keeps one; the total is compared over the rows it kept, so a gap there is no duplicate.
+    """
+    up = upstream.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *([F.max(amount).alias("_a")] if amount else []))
+    a = up.agg(F.sum("_n").alias("_rows"), (F.sum("_n") - F.count(F.lit(1))).alias("_copies"), *([F.sum("_a").alias("_expected")] if amount else []))
+    b = downstream.agg(F.count(F.lit(1)).alias("_kept"), *([F.sum(amount).alias("_actual")] if amount else []))
+    one = a.crossJoin(b)  # one row each
+    out = [check(one, "silver", entity, "record_count", F.col("_rows"), F.col("_kept"), F.col("_copies"))]
+    if amount:
+        out.append(check(one, "silver", entity, "total", F.col("_expected"), F.col("_actual")))
+    return union(out)
+
+
+def extraction(valid: DataFrame, extracted: DataFrame, errors: DataFrame, key: str, kind: str) -> DataFrame:
+    """Every valid object of a kind is extracted or has an extraction error, which explains the gap."""
+    marked = valid.select(key, kind).join(extracted.select(key).distinct().withColumn("_x", F.lit(1)), key, "left")
+    marked = marked.join(errors.select(key).distinct().withColumn("_e", F.lit(1)), key, "left")
+    by = marked.groupBy(kind).agg(F.count(F.lit(1)).alias("_n"), F.count("_x").alias("_got"), F.count_if(F.col("_x").isNull() & F.col("_e").isNotNull()).alias("_failed"))
+    return check(by, "silver", F.col(kind), "objects_extracted", F.col("_n"), F.col("_got"), F.col("_failed"))
+
+
 def report(results: DataFrame, path: str) -> None:
     """The rows that do not match as one CSV file."""
     results.where("status <> 'MATCHED'").coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import columns as C
+from gneiss.functions import objects
 from gneiss.operators import aggregates, checks, history, joins, ranks, text, windows
 from gneiss.plans import contracts, kpi
 
@@ -591,3 +592,90 @@ def key_cardinality(spark, d):
     register = table(spark, d, "part").select(F.concat("p_brand", F.lit("-"), (F.col("p_size") % 3).cast("string")).alias("brand"), "p_partkey")
     found = table(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("Brand#"), F.col("s_suppkey").cast("string"), F.lit("-0")).alias("brand"))
     return joins.match_by_key(found, register, "brand", "p_partkey").select("s_suppkey", "brand", "n_hits", "match_status", "p_partkey")
+
+
+@query("""
+    WITH e AS (SELECT event_type, CAST(value AS DECIMAL(18,2)) AS v, len({reasons}) = 0 AS good FROM events), g AS (SELECT event_type, count(*)::DOUBLE AS n, CAST(sum(v) AS DOUBLE) AS s, coalesce(CAST(sum(v) FILTER (good) AS DOUBLE), 0) AS got, coalesce(CAST(sum(v) FILTER (NOT good) AS DOUBLE), 0) AS held FROM e GROUP BY event_type)
+    SELECT 'bronze' AS layer, event_type AS entity, 'landed_records' AS check_name, n AS expected, n AS actual, NULL::DOUBLE AS explained_by, 'MATCHED' AS status, '' AS detail FROM g
+    UNION ALL SELECT 'bronze', event_type, 'control_total', s, got, held, CASE WHEN abs(s - got) <= 0.005 THEN 'MATCHED' ELSE 'EXPLAINED' END, '' FROM g
+""".replace("{reasons}", _REASONS))
+def bronze_checks(spark, d):
+    """Counts and control totals of the batch against what was accepted and quarantined."""
+    amount = F.col("value").cast("decimal(18,2)")
+    e = table(spark, d, "events").select("event_type", amount.alias("amount"))
+    manifest = e.groupBy(F.col("event_type").alias("entity")).agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("control_total"))
+    v = _validated_events(spark, d).select(F.col("event_type").alias("entity"), amount.alias("amount"), (F.size("_reject_reasons") == 0).alias("good"))
+    return checks.landed_records(manifest, v.where("good"), v.where("not good"))
+
+
+@query("""
+    WITH b AS (SELECT o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders), u AS (SELECT count(*)::DOUBLE AS n, count(DISTINCT o_custkey)::DOUBLE AS k FROM b), t AS (SELECT CAST(sum(m) AS DOUBLE) AS s FROM (SELECT max(v) AS m FROM b GROUP BY o_custkey)),
+    d AS (SELECT lang, count(*)::DOUBLE AS n, count(*) FILTER (n_chars >= 200)::DOUBLE AS got, count(*) FILTER (n_chars < 200 AND n_chars % 3 > 0)::DOUBLE AS failed FROM documents GROUP BY lang)
+    SELECT 'silver' AS layer, 'orders' AS entity, 'record_count' AS check_name, n AS expected, k AS actual, n - k AS explained_by, CASE WHEN n = k THEN 'MATCHED' ELSE 'EXPLAINED' END AS status, '' AS detail FROM u
+    UNION ALL SELECT 'silver', 'orders', 'total', s, s, NULL, 'MATCHED', '' FROM t
+    UNION ALL SELECT 'silver', lang, 'objects_extracted', n, got, failed, CASE WHEN n = got THEN 'MATCHED' WHEN n - got = failed THEN 'EXPLAINED' ELSE 'MISMATCH' END, '' FROM d
+""")
+def silver_checks(spark, d):
+    """Parity with the layer before, explained by repeated keys; every object extracted or in error."""
+    o = table(spark, d, "orders").select("o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    kept = o.groupBy("o_custkey").agg(F.max("v").alias("v"))
+    found = checks.extraction(docs, docs.where("n_chars >= 200"), docs.where("n_chars < 200 and n_chars % 3 > 0"), "doc_id", "lang")
+    return checks.union([checks.record_parity(o, kept, "o_custkey", "orders", "v"), found])
+
+
+@query("""
+    WITH p AS (SELECT max(CASE WHEN n_name = 'NATION_1' THEN n_regionkey END) AS "NATION_1", max(CASE WHEN n_name = 'NATION_2' THEN n_regionkey END) AS "NATION_2", n_regionkey AS grp FROM nation GROUP BY n_regionkey),
+    r AS (SELECT c_nationkey % 5 AS grp, max(c_acctbal) AS top FROM customer WHERE c_nationkey % 5 < 4 GROUP BY 1)
+    SELECT s_suppkey, p."NATION_1", p."NATION_2", top FROM supplier JOIN p ON s_nationkey % 5 = p.grp LEFT JOIN r ON s_nationkey % 5 = r.grp
+""")
+def parameter_join(spark, d):
+    """Findings meet the pivoted parameters of their date (inner) and the risk fact (left)."""
+    p = aggregates.pivot_parameters(table(spark, d, "nation").withColumn("grp", F.col("n_regionkey")), ["grp"], "n_name", "n_regionkey", ["NATION_1", "NATION_2"])
+    grp = (F.col("c_nationkey") % 5).alias("grp")
+    risk = table(spark, d, "customer").where("c_nationkey % 5 < 4").groupBy(grp).agg(F.max("c_acctbal").alias("top"))
+    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_nationkey") % 5).alias("grp"))
+    return s.join(p, "grp").join(risk, "grp", "left").drop("grp")
+
+
+@query("""
+    WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(event_type, row(ts, event_id)) AS status FROM events GROUP BY ALL),
+    now AS (SELECT user_id, arg_max(status, d) AS status FROM daily GROUP BY user_id)
+    SELECT c_custkey, c_mktsegment, status FROM customer LEFT JOIN now ON c_custkey = user_id
+""")
+def current_dimension(spark, d):
+    """Left join to the version of the dimension that is current."""
+    return table(spark, d, "customer").select("c_custkey", "c_mktsegment").join(scd2_dim(spark, d).where("is_current").select(F.col("user_id").alias("c_custkey"), "status"), "c_custkey", "left")
+
+
+@query("SELECT event_type AS layer, CAST(user_id % 7 AS BIGINT) AS guardrail, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY ALL")
+def event_counts(spark, d):
+    e = table(spark, d, "events")
+    return e.groupBy(F.col("event_type").alias("layer"), (F.col("user_id") % 7).alias("guardrail")).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_seen"))
+
+
+@query("SELECT c_nationkey AS video, round(avg((c_custkey * 7919 % 17000) / 100.0::DOUBLE - 85), 8) AS lat, round(avg((c_custkey * 104729 % 36000) / 100.0::DOUBLE - 180), 8) AS lon FROM customer GROUP BY c_nationkey")
+def mean_position(spark, d):
+    place = lambda a, b, c: F.round(F.avg((F.col("c_custkey") * a % b) / 100.0 - c), 8)
+    return table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("video")).agg(place(7919, 17000, 85).alias("lat"), place(104729, 36000, 180).alias("lon"))
+
+
+@query("""
+    WITH o AS (SELECT o_orderkey, o_orderkey % 4 AS k, CASE o_orderkey % 4 WHEN 0 THEN 'doc' WHEN 1 THEN 'clip' WHEN 2 THEN 'line' ELSE 'other' END AS source, CAST(o_orderdate AS DATE) AS day, 'F_' || (o_orderkey % 50) AS stem FROM orders),
+    n AS (SELECT *, stem || CASE WHEN k = 1 THEN '.json' ELSE '.bin' END AS file_name, CASE WHEN k = 1 AND o_orderkey % 3 = 0 THEN 'SIDE-' || (o_orderkey % 9) END AS side, CASE WHEN k = 1 THEN day + INTERVAL 1 HOUR * (1 + o_orderkey % 5) END AS seen FROM o),
+    t AS (SELECT stem, day, min(seen) AS seen FROM n WHERE seen IS NOT NULL GROUP BY stem, day)
+    SELECT o_orderkey, CASE WHEN side IS NOT NULL THEN side WHEN source = 'line' THEN 'FIELD' WHEN source = 'doc' THEN substr(stem, 3) END AS hint, CASE WHEN side IS NOT NULL THEN 'SIDECAR' WHEN source = 'line' THEN 'CONSTANT' WHEN source = 'doc' THEN 'FILE_NAME' END AS basis,
+           CAST(coalesce(n.seen, t.seen, day::TIMESTAMP) AS TIMESTAMP) AS captured_at FROM n LEFT JOIN t USING (stem, day)
+""")
+def object_hints(spark, d):
+    """Asset hints by side file, constant or name pattern; capture times by side file, stem or date."""
+    k = F.col("o_orderkey") % 4
+    o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("business_date"), F.when(k == 0, "doc").when(k == 1, "clip").when(k == 2, "line").otherwise("other").alias("source"))
+    o = o.withColumns({
+        "file_name": F.concat(F.lit("F_"), (F.col("o_orderkey") % 50).cast("string"), F.when(k == 1, ".json").otherwise(".bin")),
+        "side": F.when((k == 1) & (F.col("o_orderkey") % 3 == 0), F.concat(F.lit("SIDE-"), (F.col("o_orderkey") % 9).cast("string"))),
+        "sidecar_time": F.when(k == 1, F.timestamp_add("HOUR", (1 + F.col("o_orderkey") % 5).cast("int"), F.col("business_date").cast("timestamp"))),
+    })
+    hint = objects.asset_hint(F.col("source"), F.col("file_name"), {"doc": r"^F_(\d+)\.bin$"}, {"line": "FIELD"}, F.col("side"))
+    out = objects.with_capture_time(o).withColumn("h", hint)
+    return out.select("o_orderkey", "h.hint", "h.basis", F.col("captured_at").cast("timestamp_ntz").alias("captured_at"))
