@@ -1,4 +1,5 @@
 import json
+import os
 import struct
 import zlib
 
@@ -168,6 +169,7 @@ def test_stream_alarms_and_multi_sink(spark, tmp_path):
     src.mkdir()
     for i, v in enumerate((120.0, 260.0, 50.0)):
         (src / f"{i}.json").write_text(json.dumps({"tag": "a", "ts": f"2026-01-01T00:0{i}:00", "value": v, "seq": i}))
+        os.utime(src / f"{i}.json", (1_760_000_000 + i, 1_760_000_000 + i))  # files come in the order of their times
     stream = spark.readStream.schema("tag string, ts timestamp, value double, seq long").option("maxFilesPerTrigger", 1).json(str(src))
     events = telemetry.stream_alarms(stream, "tag", "ts", "value", "seq", 100.0, 250.0)
     sink = telemetry.multi_sink({"alarms": (lambda b: b.select("tag", "seq", "alarm_type", "state"), t)}, "q")
