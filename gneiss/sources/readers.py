@@ -6,9 +6,11 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gneiss.operators.joins import BROADCAST_ROWS
 from gneiss.plans.contracts import Contract
 
 STREAM_SCHEMA = "key string, timestamp long, value string, topic string"
@@ -81,16 +83,40 @@ def read_dump(spark: SparkSession, path: str, table: str, columns: Sequence[str]
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(_source_file, _source_row, value); a file's lines are numbered where the file is read whole."""
-    whole = _with_source(spark.read.text(path, wholetext=True))
-    return whole.select("_source_file", F.posexplode(F.split("value", r"\r?\n")).alias("_at", "value")).where("value <> ''").withColumn("_source_row", (F.col("_at") + 1).cast("long")).drop("_at")
+    """(_source_file, _source_row, _first, value): numbered lines, empty ones left out, and the first line of their file.
+
+    Files are split. Lines are counted in each split first; a split's lines are numbered from the sum of those before.
+    """
+    place = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")]
+    raw = _with_source(spark.read.text(path, lineSep="\n").select(*place, "_metadata", F.regexp_replace("value", "\r$", "").alias("value"))).drop("_metadata")
+    counted = raw.withColumn("_i", F.monotonically_increasing_id()).groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min_by("value", "_i").alias("_line"))
+    of_file = Window.partitionBy("_path").orderBy("_block")
+    before = F.coalesce(F.sum("_n").over(of_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = counted.select("_path", "_block", before.alias("_before"), F.first("_line").over(of_file).alias("_first"))
+    few = splits.limit(BROADCAST_ROWS + 1).collect()  # a row for each split, kept only up to the limit
+    if len(few) <= BROADCAST_ROWS:
+        splits = F.broadcast(spark.createDataFrame(few, splits.schema))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A split lies in one task, its lines in order."""
+        split, at = None, 0
+        for b in batches:
+            paths, blocks = b.column("_path").to_pylist(), b.column("_block").to_pylist()
+            rows = []
+            for here in zip(paths, blocks, strict=True):
+                split, at = here, at + 1 if here == split else 1
+                rows.append(at)
+            yield b.append_column("_at", pa.array(rows, pa.int64()))
+
+    numbered = raw.mapInArrow(number, "_source_file string, _path string, _block long, value string, _at long")
+    found = numbered.join(splits, ["_path", "_block"]).where("value <> ''")
+    return found.select("_source_file", (F.col("_before") + F.col("_at")).alias("_source_row"), "_first", "value")
 
 
 def read_psv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Pipe-separated rows by header name; empty values are null and the trailer line is left out."""
-    lines = _lines(spark, path)
-    heads = lines.where("_source_row = 1").select("_source_file", F.split("value", r"\|").alias("_head"))
-    rows = lines.where("_source_row > 1 and not startswith(value, 'T|')").join(heads, "_source_file").withColumn("_v", F.split("value", r"\|", -1))
+    rows = _lines(spark, path).where("_source_row > 1 and not startswith(value, 'T|')")
+    rows = rows.withColumns({"_head": F.split("_first", r"\|"), "_v": F.split("value", r"\|", -1)})
     pick = [F.when(F.array_position("_head", c) > 0, F.get("_v", (F.array_position("_head", c) - 1).cast("int"))).alias(c) for c in columns]
     found = rows.select("_source_file", "_source_row", *pick)
     return found.select("_source_file", "_source_row", *(F.when(F.col(c) != "", F.col(c)).alias(c) for c in columns))

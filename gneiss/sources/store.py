@@ -1,18 +1,33 @@
 """Versioned tables on plain Parquet: a commit log, exactly-once appends, partition replacement, time travel, rollback.
 
-A table is a folder of data parts and a log of commits, one small JSON file each, written last. A commit lists the parts
-that make up the table from then on, so readers see whole commits only, and an old version stays readable.
+A table is a folder of data parts and a log of commits, one small JSON file each, written last. A commit lists the
+partition folders that make up the table from then on, so readers see whole commits only, an old version stays readable,
+and a replaced partition leaves all other folders as they are. Only the newest commit is read to write or read a table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import time
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+#: Each write is a partition of this name under ``data``, so that one scan reads the folders of any number of writes.
+PART = "_part"
+
+
+def _plain(folder: str) -> str:
+    """A folder's name free of all escapes; names that become equal are taken together."""
+    while (plain := unquote(folder)) != folder:
+        folder = plain
+    return folder
 
 
 class Table:
@@ -21,105 +36,192 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), tuple(partition_by)
 
-    # -- commit log
+    # -- files
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return jvm, p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def commits(self) -> list[dict]:
-        jvm, p, fs = self._fs(f"{self.path}/_commits")
+    def _get(self, name: str) -> str | None:
+        """The text of a small file, None where there is none."""
+        jvm, p, fs = self._fs(f"{self.path}/{name}")
         if not fs.exists(p):
-            return []
-        names = sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".json"))
-        return [json.loads(r["value"]) for n in names for r in self.spark.read.text(n, wholetext=True).select("value").take(1)] if len(names) < 8 else [json.loads(r["value"]) for r in self.spark.read.text(f"{self.path}/_commits/*.json", wholetext=True).orderBy(F.input_file_name()).select("value").collect()]
-
-    def _commit(self, operation: str, parts: list[str], properties: dict | None, rows: int | None) -> int:
-        log = self.commits()
-        version = log[-1]["version"] + 1 if log else 1
-        entry = {"version": version, "operation": operation, "parts": parts, "properties": properties or {}, "rows": rows, "at": time.time()}
-        jvm, p, fs = self._fs(f"{self.path}/_commits/{version:012d}.json")
-        out = fs.create(p, False)  # fails if another writer took the version
+            return None
+        stream = fs.open(p)
         try:
-            out.write(bytearray(json.dumps(entry).encode()))
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _put(self, name: str, text: str, replace: bool = False) -> None:
+        _, p, fs = self._fs(f"{self.path}/{name}")
+        out = fs.create(p, replace)  # unless it replaces, fails if another writer took the name
+        try:
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
+
+    # -- commit log
+    def commits(self) -> list[dict]:
+        """The whole log; a row a commit."""
+        if not self._newest():
+            return []
+        log = self.spark.read.text(f"{self.path}/_commits/*.json", wholetext=True)
+        return sorted((json.loads(r["value"]) for r in log.collect()), key=lambda c: c["version"])
+
+    def _entry(self, version: int) -> dict:
+        text = self._get(f"_commits/{version:012d}.json")
+        if text is None:
+            raise ValueError(f"{self.path} has no version {version}")
+        return json.loads(text)
+
+    def _newest(self) -> dict | None:
+        _, p, fs = self._fs(f"{self.path}/_commits")
+        if not fs.exists(p):
+            return None
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        versions = [int(n[:-5]) for n in names if re.fullmatch(r"\d{12}\.json", n)]
+        return self._entry(max(versions)) if versions else None
+
+    def _commit(self, operation: str, parts: list[str], schema: str, properties: dict | None, rows: int | None) -> int:
+        last = self._newest()
+        version = last["version"] + 1 if last else 1
+        entry = {"version": version, "operation": operation, "parts": parts, "schema": schema, "properties": properties or {}, "rows": rows, "at": time.time()}
+        if "key" in entry["properties"]:
+            self._put(self._key_file(entry["properties"]["key"]), str(version), replace=True)
+        self._put(f"_commits/{version:012d}.json", json.dumps(entry))
         return version
 
+    @staticmethod
+    def _key_file(key: str) -> str:
+        return f"_keys/{hashlib.sha256(str(key).encode()).hexdigest()}"
+
+    def _committed(self, key: str) -> bool:
+        """Whether a commit bears the key. Its file is written first, so it counts only with a commit that agrees."""
+        version = self._get(self._key_file(key))
+        text = self._get(f"_commits/{int(version):012d}.json") if version else None
+        return text is not None and json.loads(text)["properties"].get("key") == key
+
     def history(self) -> DataFrame:
         rows = [(c["version"], c["operation"], len(c["parts"]), c["rows"], json.dumps(c["properties"])) for c in self.commits()]
         return self.spark.createDataFrame(rows, "version int, operation string, n_parts int, n_rows long, properties string")
 
+    def files(self, version: int | None = None) -> DataFrame:
+        """(path, size, rows) of the data files of a version, the current one by default; a file without rows is left out."""
+        c = self._entry(version) if version is not None else self._newest()
+        if not c or not c["parts"]:
+            return self.spark.createDataFrame([], "path string, size long, rows long")
+        at = self._scan(c["parts"], c["schema"]).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+        return at.groupBy("path", "size").agg(F.count(F.lit(1)).alias("rows"))
+
     # -- writing
-    def _write(self, df: DataFrame) -> tuple[str, int]:
-        part = f"data/{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame) -> tuple[list[str], int]:
+        """The folders written, one for each partition, and their rows."""
+        part = f"data/{PART}={uuid.uuid4().hex}"
         df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{part}")
-        return part, self.spark.read.parquet(f"{self.path}/{part}").count()
-
-    def _current(self) -> list[str]:
-        log = self.commits()
-        return log[-1]["parts"] if log else []
+        folders = [part]
+        if self.partition_by:
+            _, p, fs = self._fs(f"{self.path}/{part}" + "/*=*" * len(self.partition_by))
+            folders = sorted(part + s.getPath().toString().split(part, 1)[1] for s in fs.globStatus(p))
+        return folders, self._scan(folders, df.schema.json()).count() if folders else 0
+
+    @staticmethod
+    def _partition(folder: str) -> str:
+        """The folder's partition values, without the write it belongs to."""
+        return "/".join(folder.split("/")[2:])
+
+    def _together(self, old: str, df: DataFrame) -> str:
+        """The schema of both, new columns last."""
+        fields = StructType.fromJson(json.loads(old)).fields
+        names = {f.name for f in fields}
+        return StructType([*fields, *(f for f in df.schema.fields if f.name not in names)]).json()
 
     def append(self, df: DataFrame, properties: dict | None = None) -> int:
-        part, rows = self._write(df)
-        return self._commit("append", [*self._current(), part], properties, rows)
+        last = self._newest()
+        folders, rows = self._write(df)
+        if not last:
+            return self._commit("append", folders, df.schema.json(), properties, rows)
+        return self._commit("append", [*last["parts"], *folders], self._together(last["schema"], df), properties, rows)
 
     def append_once(self, df: DataFrame, key: str) -> bool:
         """Append unless a commit with this key exists: a replayed batch is skipped, table by table."""
-        if any(c["properties"].get("key") == key for c in self.commits()):
+        if self._committed(key):
             return False
         self.append(df, {"key": key})
         return True
 
     def replace(self, df: DataFrame, properties: dict | None = None) -> int:
-        part, rows = self._write(df)
-        return self._commit("replace", [part], properties, rows)
+        folders, rows = self._write(df)
+        return self._commit("replace", folders, df.schema.json(), properties, rows)
 
     def replace_where(self, df: DataFrame, condition: str, properties: dict | None = None) -> int:
-        """Rows matching the condition go (all of them, also if df is empty), df's rows come."""
-        kept = self.read().where(f"not coalesce({condition}, false)") if self._current() else None
-        return self.replace(df if kept is None else kept.unionByName(df), properties)
+        """Rows matching the condition go (all of them, also if df is empty), df's rows come; folders without a matching
+        row stay as they are."""
+        last = self._newest()
+        if not last or not last["parts"]:
+            return self.replace(df, properties)
+        hit = self._scan(last["parts"], last["schema"]).where(condition)
+        paths = hit.select(F.regexp_extract("_metadata.file_path", rf".*/(data/{PART}=.*)/[^/]+$", 1).alias("f")).distinct().collect()
+        wanted = {_plain(r["f"]) for r in paths}  # a row for each folder
+        touched = [p for p in last["parts"] if _plain(p) in wanted]
+        if len({_plain(p) for p in touched}) < len(wanted):  # a name that cannot be told: all are rewritten
+            touched = last["parts"]
+        if touched:
+            kept = self._scan(touched, last["schema"]).where(f"not coalesce({condition}, false)")
+            df = kept.unionByName(df, allowMissingColumns=True)
+        folders, rows = self._write(df)
+        gone = set(touched)
+        return self._commit("replace", [*(p for p in last["parts"] if p not in gone), *folders], self._together(last["schema"], df), properties, rows)
 
     def overwrite_partitions(self, df: DataFrame, properties: dict | None = None) -> int:
-        """Exactly the partitions present in df are replaced."""
-        if not self._current():
+        """Exactly the partitions present in df are replaced (of a table without partitions: all rows); no other folder
+        is read or written."""
+        last = self._newest()
+        if not last:
             return self.append(df, properties)
-        present = df.select(*self.partition_by).distinct()
-        kept = self.read().join(present, list(self.partition_by), "left_anti").select(*df.columns)
-        return self.replace(kept.unionByName(df), properties)
+        folders, rows = self._write(df)
+        present = {self._partition(f) for f in folders}
+        kept = [p for p in last["parts"] if self._partition(p) not in present]
+        return self._commit("replace", [*kept, *folders], self._together(last["schema"], df), properties, rows)
 
     def upsert(self, df: DataFrame, keys: Sequence[str], columns: Sequence[str], guard: Sequence[str] | None = None) -> dict[str, int]:
-        """Merge; nothing is committed if no row is new or differs. Returns the counts by kind of change."""
+        """Merge, written once; nothing is committed if no row is new or differs. Returns the counts by kind of change.
+
+        The files of a merge also hold the kind of change, which is no column of the table.
+        """
         from gneiss.operators.history import upsert
 
-        if not self._current():
+        if not self._newest():
             self.append(df.select(*keys, *columns))
             return {"inserted": df.count(), "updated": 0, "untouched": 0}
-        part = f"data/{uuid.uuid4().hex}"
-        upsert(self.read(), df, keys, columns, guard).write.parquet(f"{self.path}/{part}-merge")
-        merged = self.spark.read.parquet(f"{self.path}/{part}-merge")
-        counts = {"inserted": 0, "updated": 0, "untouched": 0} | {r["_change"]: r["count"] for r in merged.groupBy("_change").count().collect()}
+        merged = upsert(self.read(), df, keys, columns, guard)
+        folders, rows = self._write(merged)
+        counts = {"inserted": 0, "updated": 0, "untouched": 0}
+        if folders:
+            found = self._scan(folders, merged.schema.json()).groupBy("_change").count()
+            counts |= {r["_change"]: r["count"] for r in found.collect()}
         if counts["inserted"] or counts["updated"]:
-            self.replace(merged.drop("_change"), {"merge": counts})
+            self._commit("replace", folders, merged.drop("_change").schema.json(), {"merge": counts}, rows)
         return counts
 
     def rollback(self, version: int) -> int:
-        return self._commit("rollback", self._entry(version)["parts"], {"to": version}, None)
+        to = self._entry(version)
+        return self._commit("rollback", to["parts"], to["schema"], {"to": version}, None)
 
     # -- reading
-    def _entry(self, version: int) -> dict:
-        return next(c for c in self.commits() if c["version"] == version)
+    def _scan(self, folders: list[str], schema: str) -> DataFrame:
+        """One scan over the folders with the schema given; a column that a file lacks is null."""
+        wanted = StructType.fromJson(json.loads(schema))
+        rows = self.spark.read.schema(wanted).option("basePath", f"{self.path}/data").parquet(*(f"{self.path}/{f}" for f in folders))
+        return rows.select(*(F.col(f"`{n}`") for n in wanted.names))
 
     def read(self, version: int | None = None) -> DataFrame:
-        log = self.commits()
-        parts = self._entry(version)["parts"] if version is not None else log[-1]["parts"] if log else []
-        if not parts:
+        c = self._entry(version) if version is not None else self._newest()
+        if not c:
             raise ValueError(f"{self.path} has no data")
-        frames = [self.spark.read.option("basePath", f"{self.path}/{p}").parquet(f"{self.path}/{p}") for p in parts]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f, allowMissingColumns=True)
-        return out
+        if not c["parts"]:
+            return self.spark.createDataFrame([], StructType.fromJson(json.loads(c["schema"])))
+        return self._scan(c["parts"], c["schema"])
 
     def read_as_of_batch(self, batch: str) -> DataFrame:
         """The table as a batch committed it; the current one if no commit names the batch."""

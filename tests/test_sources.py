@@ -85,6 +85,42 @@ def test_store(spark, tmp_path):
     assert t.history().orderBy("version").select("operation").first()[0] == "append"
 
 
+def test_store_keeps_untouched_partitions(spark, tmp_path):
+    t = Table(spark, f"file://{tmp_path}/t", ["d"])
+    row = lambda *x: spark.createDataFrame([*x], "k int, d string")
+    t.append(row((1, "2024-01-01"), (2, "a b%20c/é"), (3, None)))
+    assert {r["k"]: r["d"] for r in t.read().collect()} == {1: "2024-01-01", 2: "a b%20c/é", 3: None}
+    first = t._newest()["parts"]
+    t.overwrite_partitions(row((4, "2024-01-01"), (5, "new")))
+    second = t._newest()["parts"]
+    assert len(first) == 3 and len(set(first) & set(second)) == 2 and len(second) == 4
+    assert sorted(r["k"] for r in t.read().collect()) == [2, 3, 4, 5]
+    t.replace_where(row((6, "late")), "k in (2, 5)")
+    third = t._newest()["parts"]
+    assert len(set(second) & set(third)) == 2 and sorted(r["k"] for r in t.read().collect()) == [3, 4, 6]
+    t.append(spark.createDataFrame([(7, "x", "late")], "k int, extra string, d string"))
+    assert {r["k"]: r["extra"] for r in t.read().collect()} == {3: None, 4: None, 6: None, 7: "x"}
+    assert t.files().agg({"rows": "sum"}).first()[0] == 4 and t.files(1).agg({"rows": "sum"}).first()[0] == 3
+    t.replace_where(row((0, "x")).where("false"), "true")
+    assert t.read().count() == 0 and t.files().count() == 0 and t.read(1).count() == 3
+
+
+def test_lines_of_split_files(spark, tmp_path):
+    text = "".join(f'{{"op":"{i}"}}\r\n' + ("\n" if i % 7 == 0 else "") for i in range(3000))
+    (tmp_path / "big.jsonl").write_text(text)
+    (tmp_path / "small.jsonl").write_text('{"op":"only"}')
+    lines = text.replace("\r", "").split("\n")
+    want = [("big.jsonl", i, json.loads(x)["op"]) for i, x in enumerate(lines, 1) if x] + [("small.jsonl", 1, "only")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers.read_jsonl(spark, str(tmp_path), ["op"])
+        assert rows.rdd.getNumPartitions() > 3
+        assert sorted((r["_source_file"], r["_source_row"], r["op"]) for r in rows.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_audit(spark, tmp_path):
     loads, lineage = Table(spark, f"file://{tmp_path}/l"), Table(spark, f"file://{tmp_path}/s")
     a = Audit(loads, lineage, "bronze", "B1")
