@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gneiss.llm import ann, langid, packing, quality, rules, sentencepiece_sa, simhash, token_counts, tokenstore, warc
+from gneiss.llm import ann, decontamination, hard_negatives, langid, packing, quality, rules, sentencepiece_sa, simhash, token_counts, tokenstore, warc
 from gneiss.llm.common import shared_dir, table
 
 
@@ -56,7 +56,23 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_classifier, op3_token_counts, op4_nearest_neighbours, op5_simhash_dedup, op6_quality_rules, op7_token_files, op8_warc, op9_language_id, op10_packing)}
+def op11_decontamination(spark, sf_dir):
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sentencepiece, op2_quality_classifier, op3_token_counts, op4_nearest_neighbours, op5_simhash_dedup, op6_quality_rules, op7_token_files,
+        op8_warc, op9_language_id, op10_packing, op11_decontamination, op13_hard_negatives,
+    )
+}
 ORACLE_SQL: dict[str, str] = {
     "op8_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -66,4 +82,41 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
         FROM p LEFT JOIN c USING (payload_digest)
     """,
+    "op11_decontamination": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        cuts AS (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0),
+        known AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS part FROM cuts),
+        places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM known) WHERE len(w) >= size),
+        parts AS (SELECT r, size, i, array_to_string(list_slice(w, i, i + size - 1), ' ') AS part FROM places),
+        hits AS (SELECT r, i, size, item_id FROM parts JOIN known USING (size, part)),
+        words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + size)) AS p FROM hits) GROUP BY r),
+        items AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM hits GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+               sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+        FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+    """,
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM e AS a JOIN e AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        n AS (
+            SELECT p.anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS rank
+            FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
 }
