@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gneiss.llm import ann, decontamination, hard_negatives, langid, packing, quality, rules, sentencepiece_sa, simhash, token_counts, tokenstore, warc
+from gneiss.llm import ann, decontamination, hard_negatives, langid, packing, prefix_trie, quality, rules, sentencepiece_sa, simhash, token_counts, tokenstore, warc
 from gneiss.llm.common import shared_dir, table
 
 
@@ -60,6 +60,10 @@ def op11_decontamination(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), heads=True)
+
+
 def op13_hard_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -70,7 +74,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_quality_classifier, op3_token_counts, op4_nearest_neighbours, op5_simhash_dedup, op6_quality_rules, op7_token_files,
-        op8_warc, op9_language_id, op10_packing, op11_decontamination, op13_hard_negatives,
+        op8_warc, op9_language_id, op10_packing, op11_decontamination, op12_conversation_trie, op13_hard_negatives,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -102,6 +106,39 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
         FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
     """,
+    # DuckDB has no crc32: its table-free form, a step for each byte and bit.
+    "op12_conversation_trie": """
+        WITH RECURSIVE t AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (
+            SELECT c, list({'key': sha256(concat(strlen(role), ':', role, text)), 'bytes': strlen(text)} ORDER BY turn NULLS FIRST, role, text) AS s
+            FROM t GROUP BY c),
+        steps AS (
+            SELECT c, CAST(c AS VARCHAR) AS digits, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM own
+            UNION ALL
+            SELECT c, digits, i + 1, CASE WHEN i % 9 = 0 THEN xor(v, ascii(substr(digits, i // 9 + 1, 1)))
+                                          WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END
+            FROM steps WHERE i < 9 * length(digits)),
+        crc AS (SELECT c, CAST(xor(v, 4294967295) % 9 AS INTEGER) AS h FROM steps WHERE i = 9 * length(digits)),
+        rebuilt AS (
+            SELECT own.c, list_concat(list_slice(coalesce(b.s, []), 1, h), list_slice(own.s, h + 1, len(own.s))) AS s
+            FROM own JOIN crc USING (c) LEFT JOIN own AS b ON b.c = own.c - own.c % 5),
+        prefixes AS (SELECT c, len(s) AS n, d, s[d].bytes AS bytes, list_slice(s, 1, d) AS path FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+        placed AS (SELECT c, n, d, bytes, min(c) OVER (PARTITION BY d, path) AS node FROM prefixes),
+        nodes AS (
+            SELECT node, d, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * min(bytes) END AS saved,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+            FROM placed GROUP BY node, d),
+        parents AS (SELECT nodes.node, nodes.d, placed.node AS parent FROM nodes JOIN placed ON placed.c = nodes.node AND placed.d = nodes.d - 1),
+        kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM parents GROUP BY parent, d - 1),
+        own_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (node, d)),
+        sums AS (
+            SELECT p.node, p.d, sum(o.saved) AS saved_tokens, count(*) FILTER (o.n_children = 0) AS n_leaves
+            FROM own_nodes AS o JOIN placed AS p ON p.c = o.node AND p.d <= o.d GROUP BY p.node, p.d)
+        SELECT node AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children, n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+        FROM own_nodes JOIN sums USING (node, d) LEFT JOIN parents USING (node, d)
+    """,
     "op13_hard_negatives": """
         WITH e AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v

@@ -90,7 +90,7 @@ def test_report_on_the_tables_against_loops(spark):
     assert same_rows(decontamination.report(docs, items), expected)
 
 
-@pytest.mark.parametrize("name", ["op11_decontamination", "op13_hard_negatives"])
+@pytest.mark.parametrize("name", ["op11_decontamination", "op12_conversation_trie", "op13_hard_negatives"])
 def test_sql_twins(spark, name):
     db = duckdb.connect()
     for p in glob.glob(f"{DATA}/*.parquet"):
