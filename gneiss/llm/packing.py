@@ -1,7 +1,8 @@
 """Harmonic packing of tokenized documents into sequences of a fixed capacity.
 
 A document is cut into full sequences, then into halves, quarters and eighths of the capacity, and one rest. A piece of
-length n belongs to class k = floor(capacity / n) and a bin of class k takes k pieces. Pieces of a class are numbered
+length n belongs to class k = floor(capacity / n) and a bin of class k takes k pieces, so it is filled to k / (k + 1) at
+least; there are about twice the square root of the capacity classes. Pieces of a class are numbered
 through (partition counts, then a running sum over the small table of counts), so each worker fills its bins without
 seeing the others' pieces. What is left over of each class, fewer than k pieces, is a bounded set that is packed last by
 first fit.
@@ -23,8 +24,6 @@ from gneiss.llm.common import bounded_batches, settle
 from gneiss.llm.tokens import END_ID, decoded, default_path, encoder
 
 CAPACITY = 1024
-#: Shorter pieces than capacity / MAX_CLASS all belong to this class.
-MAX_CLASS = 64
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, class int, place long"
 
 
@@ -57,7 +56,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                 start = 0
                 for n in cuts(len(ids) // 4, capacity):
                     own = ids[4 * start : 4 * (start + n)]
-                    k = min(MAX_CLASS, capacity // n)
+                    k = capacity // n
                     rows.append((doc_id, start, n, zlib.crc32(own), len(ids) // 4, worker, k, seen.get(k, 0), *([own] * with_ids)))
                     seen[k] = seen.get(k, 0) + 1
                     start += n
