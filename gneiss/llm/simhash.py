@@ -5,7 +5,7 @@ band; the fingerprints of a band with equal values there form a shard. Each shar
 their Hamming distance to the parent) and only edges that the triangle inequality leaves open are followed. A shard's
 tree is built where its rows are shuffled to. The fingerprints of a shard over ``tree_rows`` are dealt to bands of the
 bits that the shard leaves free, by the same rule; only what is over ``tree_rows`` again, fingerprints that agree on some
-48 bits, is cut into chunks, and every pair of chunks (one gives the tree, the other the queries) is work of its own. So
+40 bits or more, is cut into chunks, and every pair of chunks (one gives the tree, the other the queries) is work of its own. So
 no task holds an unbounded group, and no fingerprint is copied for every other one.
 """
 
@@ -264,6 +264,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     keys = ["_none", "_id", "_copy"]
     row = F.struct(F.col("id").isNull().alias("_none"), F.coalesce("id", F.lit(0)).alias("_id"), F.col("copy").alias("_copy"))
     kept = settle(classes(own, row, radius, tree_rows).select("first.*").distinct())
-    id_ = F.col(id_col).cast("long")
-    rows = docs.withColumns({"_none": id_.isNull(), "_id": F.coalesce(id_, F.lit(0)), "_copy": text_hash(text_col)})
-    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # free of clashes with the keys
+    id_, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    number = F.col(id_).cast("long")
+    rows = docs.toDF(*names).withColumns({"_none": number.isNull(), "_id": F.coalesce(number, F.lit(0)), "_copy": text_hash(text)})
+    one = rows.join(kept, keys, "left_semi").dropDuplicates(keys)
+    return one.select(*(F.col(a).alias(b) for a, b in zip(names, docs.columns, strict=True)))
