@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from gneiss.llm.common import bounded_batches
 from gneiss.llm.tokens import decoded
 
-_CACHE_WORDS = 150_000
+#: Words kept in a worker and their letters at most, so that the cache is bounded in bytes.
+_CACHE_WORDS, _CACHE_LETTERS = 150_000, 64
 _STEP = 1 << 21
 
 
@@ -110,11 +111,14 @@ class Automaton:
         return np.where(node < 0, -1, total)
 
     def of(self, words: list[str]) -> list[int]:
-        """``counts`` with a bounded cache of words."""
+        """``counts`` with a bounded cache of words, which keeps no long runs."""
         missing = list(set(words).difference(self.cache))
         if missing:
             self.cache.update(zip(missing, self.counts(missing).tolist(), strict=True))
         out = list(map(self.cache.__getitem__, words))
+        for w in missing:
+            if len(w) > _CACHE_LETTERS:
+                del self.cache[w]
         if len(self.cache) > _CACHE_WORDS:
             self.cache.clear()
         return out
@@ -129,7 +133,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id_col, n_words, n_tokens, n_unknown) of each whole text.
 
     Words are runs without white space (Unicode's); a word without a piecewise match is one unknown token. A null text
-    counts as empty; ids may be null or repeat; other columns are ignored.
+    counts as empty; ids may be null or repeat; other columns are ignored; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     path = path or default_path()
