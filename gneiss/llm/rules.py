@@ -10,7 +10,7 @@ every first reference.
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,9 +21,11 @@ from gneiss.llm.common import settle
 SPACE = "[\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
-#: Reference languages: the most frequent values of lang, at most so many, each with so many common words, those with a
-#: letter that the most of its documents hold.
-MAX_LANGUAGES, COMMON_WORDS = 64, 12
+#: Each value of lang is a reference language with so many common words, those that the most of its documents hold. A
+#: common word has a letter and at most so many characters: a whole text of a script without spaces is not one.
+COMMON_WORDS, COMMON_CHARS = 12, 64
+#: References compared at once: so many cells of their word histograms make the constant arrays of one pass.
+REFERENCE_CELLS = 1 << 19
 N_CLASSES = 6
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -66,20 +68,21 @@ def repeated_words(df: DataFrame, words: str, out: str, window: int = 3) -> Data
     return df.withColumn(out, F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))).drop("_hash", "_sorted", "_at")
 
 
-def common_words(docs: DataFrame, text_col: str, lang_col: str, max_languages: int = MAX_LANGUAGES, per_language: int = COMMON_WORDS) -> dict[str, list[str]]:
-    """The words of each reference language that the most of its documents hold, ties by name: a bounded list.
+def common_words(docs: DataFrame, text_col: str, lang_col: str, per_language: int = COMMON_WORDS) -> dict[str, list[str]]:
+    """The words of each reference language that the most of its documents hold, ties by name: a few for each language.
 
     Counts are made over all documents and partly before they are shuffled; only each partition's first words of a
     language go on to the last ranking.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t")).where("lang is not null and t is not null")
-    frequent = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
-    languages = [r["lang"] for r in frequent.collect()]
-    words = rows.where(F.col("lang").isin(languages)).select("lang", F.explode(F.array_distinct(words_of(F.col("t")))).alias("word"))
+    words = rows.select("lang", F.explode(F.array_distinct(F.filter(words_of(F.col("t")), lambda x: F.length(x) <= COMMON_CHARS))).alias("word"))
     held = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).where(F.col("word").rlike("\\p{L}"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    found = held.withColumn("place", place).where(F.col("place") <= per_language).collect()
-    return {x: sorted(r["word"] for r in found if r["lang"] == x) for x in sorted(languages)}
+    found = held.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "word").collect()
+    languages = {r["lang"]: [] for r in rows.select("lang").distinct().collect()}
+    for r in found:
+        languages[r["lang"]].append(r["word"])
+    return {x: sorted(languages[x]) for x in sorted(languages)}
 
 
 def counted_words(df: DataFrame, words: str, wanted: list[str], out: str) -> DataFrame:
@@ -122,39 +125,69 @@ def document_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str |
     return df.select("id", "lang", *list(long)[:5], failed.alias("base_failed"), "n_chars", classes.alias("classes"), "hits")
 
 
-def references(counts: DataFrame, languages: list[str], n_wanted: int) -> list[tuple[list[float], list[float]]]:
-    """Shares of the character classes and of the wanted words (the rest last) of each language with a passing document."""
-    passing = counts.where(~F.col("base_failed") & F.col("lang").isin(languages))
+@dataclass
+class References:
+    """Shares of the character classes and of the wanted words (the rest last), a row for each language with a passing
+    document."""
+
+    classes: list[list[float]]
+    words: list[list[float]]
+
+    def parts(self, cells: int = REFERENCE_CELLS) -> list[References]:
+        """The references in groups of at most so many cells of word shares; one language at least."""
+        step = max(1, cells // max(1, len(self.words[0]) if self.words else 1))
+        return [References(self.classes[i : i + step], self.words[i : i + step]) for i in range(0, len(self.classes), step)]
+
+
+def references(counts: DataFrame, n_wanted: int) -> References:
+    """The references that the passing documents of each language make."""
+    passing = counts.where(~F.col("base_failed") & F.col("lang").isNotNull())
     sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(N_CLASSES)]
     found = {r["lang"]: r for r in passing.groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).collect()}
     words: dict[str, list[int]] = {x: [0] * n_wanted for x in found}
     hits = passing.select("lang", F.explode("hits").alias("h")).groupBy("lang", F.col("h.at").alias("at")).agg(F.sum("h.n").alias("n"))
     for r in hits.collect():  # a row for each language and wanted word at most
         words[r["lang"]][r["at"]] = r["n"]
-    out = []
+    out = References([], [])
     for x in sorted(found):
         classes = [found[x][f"c{i}"] for i in range(N_CLASSES)]
         hits_of = [*words[x], found[x]["n"] - sum(words[x])]
-        out.append(tuple([n / sum(v) for n in v] for v in (classes, hits_of)))
+        out.classes.append([n / sum(classes) for n in classes])
+        out.words.append([n / sum(hits_of) for n in hits_of])
     return out
 
 
+def constant(values: list[float]) -> Column:
+    """An array of numbers that the optimizer folds into one literal."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
 def _part(a: Column, b: Column) -> Column:
     return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
 
 
-def js_distance(shares: Column, reference: list[float]) -> Column:
-    """Square root of the Jensen-Shannon divergence in bits between an array of shares and fixed shares."""
-    terms = F.zip_with(shares, F.array(*map(F.lit, reference)), lambda a, b: _part(a, b) + _part(b, a))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2))
+def class_distances(shares: Column, refs: References) -> Column:
+    """Square root of the Jensen-Shannon divergence in bits between an array of class shares and each reference's."""
+    flat = constant([x for r in refs.classes for x in r])
+
+    def distance(i: Column) -> Column:
+        pairs = [(F.get(shares, F.lit(k)), F.get(flat, i * N_CLASSES + k)) for k in range(N_CLASSES)]
+        return F.sqrt(F.greatest(F.lit(0.0), sum((_part(a, b) + _part(b, a) for a, b in pairs), F.lit(0.0)) / 2))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(len(refs.classes) - 1)), distance)
 
 
-def js_distance_sparse(shares: Column, reference: list[float]) -> Column:
+def word_distances(shares: Column, refs: References) -> Column:
     """The same for an array of (at, share) of the places that are not zero; each place that is adds its reference share."""
-    fixed = F.lit([float(x) for x in reference])
+    width = len(refs.words[0])
+    flat = constant([x for r in refs.words for x in r])
     term = lambda a, b: _part(a, b) + _part(b, a) - b
-    terms = F.transform(shares, lambda x: term(x["share"], F.get(fixed, x["at"])))
-    return F.sqrt(F.greatest(F.lit(0.0), (F.lit(1.0) + F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)) / 2))
+
+    def distance(i: Column) -> Column:
+        total = F.aggregate(shares, F.lit(0.0), lambda s, x: s + term(x["share"], F.get(flat, i * width + x["at"])))
+        return F.sqrt(F.greatest(F.lit(0.0), (F.lit(1.0) + total) / 2))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(len(refs.words) - 1)), distance)
 
 
 def wordless_distance(reference: list[float]) -> float:
@@ -164,17 +197,13 @@ def wordless_distance(reference: list[float]) -> float:
     return math.sqrt(spread / 2)
 
 
-def with_distances(counts: DataFrame, refs: list[tuple[list[float], list[float]]], n_wanted: int) -> DataFrame:
-    """Adds class_distances and word_distances: arrays of a document's distances to each reference."""
+def with_shares(counts: DataFrame, n_wanted: int) -> DataFrame:
+    """Adds the histograms: _class, an array of shares, and _word, (at, share) of the wanted words found and of the rest."""
     hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["n"])
     rest = F.array(F.struct(F.lit(n_wanted).alias("at"), (F.col("n_words") - hit).alias("n")))
     share = lambda n, total: F.when(total > 0, n / F.greatest(total, F.lit(1))).otherwise(F.lit(0.0))
     words = F.transform(F.concat("hits", rest), lambda x: F.struct(x["at"].alias("at"), share(x["n"], F.col("n_words")).alias("share")))
-    df = counts.withColumn("_class", F.transform("classes", lambda x: share(x, F.col("n_chars")))).withColumn("_word", words)
-    none = F.array().cast("array<double>")
-    classes = F.array(*(js_distance(F.col("_class"), c) for c, _ in refs)) if refs else none
-    hits = F.array(*(js_distance_sparse(F.col("_word"), w) for _, w in refs)) if refs else none
-    return df.withColumn("class_distances", classes).withColumn("word_distances", hits).drop("_class", "_word")
+    return counts.withColumns({"_class": F.transform("classes", lambda x: share(x, F.col("n_chars"))), "_word": words})
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", max_class_distance: float = MAX_CLASS_DISTANCE, max_word_share: float = MAX_WORD_SHARE) -> DataFrame:
@@ -183,22 +212,32 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     A null text has no words. kept is false where base_failed; else it is true if for some reference language both
     distances are within their limits. Histograms of fewer than MIN_CHARS characters or MIN_WORDS_JUDGED words are not
     judged; with no reference (no lang column, no document with a lang passes the base rules, or an empty table, which
-    gives no rows) only the base rules judge. lang only groups the references, so a null lang is judged like any other;
-    a long text of a language that is none of the references holds few of their words and is not kept. Ids may be null
-    or repeat; other columns are ignored.
+    gives no rows) only the base rules judge. Every value of lang that a passing document has is a reference, however
+    many there are; the driver holds their shares, and a pass compares with as many of them as make arrays of a bounded
+    size. lang only groups the references, so a null lang is judged like any other. Ids may be null or repeat; other
+    columns are ignored.
     """
     common = common_words(docs, text_col, lang_col) if lang_col else {}
     wanted = sorted({w for words in common.values() for w in words})
-    counts = settle(document_counts(docs, id_col, text_col, lang_col, wanted))
-    first = with_distances(counts, references(counts, list(common), len(wanted)), len(wanted))
-    refs = references(first.where(F.coalesce(F.array_min("class_distances"), F.lit(1.0)) <= TRIM_DISTANCE), list(common), len(wanted))
-    df = with_distances(counts, refs, len(wanted))
-    near = []
-    for i, (_, words) in enumerate(refs):
-        c, w = F.get("class_distances", F.lit(i)), F.get("word_distances", F.lit(i))
-        as_classes = (F.col("n_chars") < MIN_CHARS) | (c <= max_class_distance + CLASS_NOISE / F.sqrt(F.greatest("n_chars", F.lit(1))))
-        near.append(as_classes & ((F.col("n_words") < MIN_WORDS_JUDGED) | (w <= max_word_share * wordless_distance(words))))
-    kept = ~F.col("base_failed") & (reduce(lambda a, b: a | b, near) if near else F.lit(True))
+    counts = document_counts(docs, id_col, text_col, lang_col, wanted)
+    counts = settle(with_shares(counts, len(wanted)))
+    first = references(counts, len(wanted))
+    near = counts.where(F.array_min(class_distances(F.col("_class"), first)) <= TRIM_DISTANCE) if first.classes else counts
+    refs = references(near, len(wanted))
+    df = counts.withColumns({"kept": F.lit(not refs.classes), "class_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")})
+    for i, part in enumerate(refs.parts()):
+        df = _compared(settle(df) if i else df, part, max_class_distance, max_word_share)  # a pass holds one group of references
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    least = (F.array_min(c).alias(c[:-1]) for c in ("class_distances", "word_distances"))
-    return df.select(F.col("id").alias(id_col), *base, kept.alias("kept"), *least)
+    return df.select(F.col("id").alias(id_col), *base, (~F.col("base_failed") & F.col("kept")).alias("kept"), "class_distance", "word_distance")
+
+
+def _compared(df: DataFrame, refs: References, max_class_distance: float, max_word_share: float) -> DataFrame:
+    """Brings kept, class_distance and word_distance up to date with some of the references."""
+    kept, limit = df.columns, constant([max_word_share * wordless_distance(w) for w in refs.words])
+    most = F.lit(max_class_distance) + CLASS_NOISE / F.sqrt(F.greatest("n_chars", F.lit(1)))
+    as_classes = lambda c: (F.col("n_chars") < MIN_CHARS) | (c <= most)
+    as_words = lambda w, i: (F.col("n_words") < MIN_WORDS_JUDGED) | (w <= F.get(limit, i))
+    df = df.withColumns({"_c": class_distances(F.col("_class"), refs), "_w": word_distances(F.col("_word"), refs)})
+    fits = F.zip_with(F.transform("_c", as_classes), F.transform("_w", as_words), lambda x, y: x & y)
+    df = df.withColumns({"kept": F.col("kept") | F.exists(fits, lambda x: x), "class_distance": F.least("class_distance", F.array_min("_c")), "word_distance": F.least("word_distance", F.array_min("_w"))})
+    return df.select(*kept)

@@ -129,7 +129,7 @@ def test_quality_rules_against_a_loop(spark, docs, texts, odd_docs):
     assert odd == Counter(plain_counts(r["text"]) for r in odd_docs.collect())
 
 
-def plain_verdicts(rows, languages=64, per_language=12):
+def plain_verdicts(rows, per_language=12):
     """(doc_id, kept) of (doc_id, text, lang) rows, by plain loops over the definitions."""
     def classes(t):
         kinds = [re.sub(p, "", t) for p in (r"[^\w\x20\x09-\x0D]|_", r"[A-Z\u00c0-\u00d6\u00d8-\u00de]", r"\d")]
@@ -142,9 +142,9 @@ def plain_verdicts(rows, languages=64, per_language=12):
         return np.sqrt(max(0.0, (half(p, q) + half(q, p)) / 2))
 
     docs = [(i, t or "", x) for i, t, x in rows]
-    often = sorted(Counter(x for _, t, x in rows if x is not None and t is not None).items(), key=lambda kv: (-kv[1], kv[0]))[:languages]
+    languages = {x for _, t, x in rows if x is not None and t is not None}
     wanted = set()
-    for x, _ in often:
+    for x in languages:
         held = Counter(w for _, t, y in docs if y == x for w in set(WORD.findall(t)) if re.search(r"[^\W\d_]", w))
         wanted |= {w for w, _ in sorted(held.items(), key=lambda kv: (-kv[1], kv[0].encode()))[:per_language]}
     wanted = sorted(wanted)
@@ -156,7 +156,7 @@ def plain_verdicts(rows, languages=64, per_language=12):
     share = lambda v: [n / sum(v) for n in v] if sum(v) else [0.0] * len(v)
 
     def summed(rows):
-        use = [r for r in rows if not r[2] and r[1] in dict(often)]
+        use = [r for r in rows if not r[2] and r[1] in languages]
         return [tuple(share([sum(v) for v in zip(*(r[k] for r in use if r[1] == x), strict=True)]) for k in (5, 6)) for x in sorted({r[1] for r in use})]
 
     first = summed(made)
@@ -193,13 +193,18 @@ def test_quality_rules_of_any_language(spark, no_docs):
 
 
 def test_js_distance(spark):
-    p, q = np.array([0.5, 0.5, 0.0]), np.array([0.25, 0.25, 0.5])
-    m = (p + q) / 2
-    kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, m, strict=True) if x)
-    found = spark.range(1).select(rules.js_distance(F.array(*map(F.lit, p.tolist())), q.tolist())).first()[0]
-    assert found == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2))
+    p, q, r = np.array([0.5, 0.5, 0.0, 0.0, 0.0, 0.0]), np.array([0.25, 0.25, 0.5, 0.0, 0.0, 0.0]), np.full(6, 1 / 6)
+    refs = rules.References([q.tolist(), r.tolist()], [q.tolist(), r.tolist()])
+
+    def plain(q):
+        m = (p + q) / 2
+        kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, m, strict=True) if x)
+        return np.sqrt((kl(p) + kl(q)) / 2)
+
     sparse = F.array(*(F.struct(F.lit(i).alias("at"), F.lit(float(x)).alias("share")) for i, x in enumerate(p) if x))
-    assert spark.range(1).select(rules.js_distance_sparse(sparse, q.tolist())).first()[0] == pytest.approx(found)
+    dense = F.array(*map(F.lit, p.tolist()))
+    for found in spark.range(1).select(rules.class_distances(dense, refs), rules.word_distances(sparse, refs)).first():
+        assert found == pytest.approx([plain(q), plain(r)])
     assert rules.wordless_distance([0.3, 0.7]) == pytest.approx(np.sqrt((0.3 + np.log2(1 / 0.85) + 0.7 * np.log2(0.7 / 0.85)) / 2))
 
 
