@@ -432,13 +432,6 @@ def test_language_sample_long_documents_and_rare_languages(spark, monkeypatch):
     assert Counter(seen[1][1]) == {"en": 600, "fr": 600}
 
 
-def test_languages_past_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
-    rows = [(i, {"aa": "bado bedu bido", "bb": "kota keti kumo", "cc": "kota keti kuma"}[x], x) for i, x in enumerate(["aa"] * 30 + ["bb"] * 20 + ["cc"] * 9)]
-    found = langid.detect(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
-    assert {(r["lang_pred"]) for r in found if r["doc_id"] >= 50} == {"bb"} and len(found) == len(rows)
-
-
 def test_forward_backward_against_enumeration():
     from itertools import product
 
@@ -454,11 +447,10 @@ def test_forward_backward_against_enumeration():
         for path, w in weights.items():
             for i, y in enumerate(path):
                 p[a + i, y] += w / sum(weights.values())
-    old, langid._CHUNK = langid._CHUNK, 3
-    try:
-        assert np.allclose(langid.forward_backward(e, first, t, s), p)
-    finally:
-        langid._CHUNK = old
+    for name, small in (("_CHUNK", 3), ("_CHUNKED", 2)):  # in chunks, and a sequence a lane
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(langid, name, small)
+            assert np.allclose(langid.forward_backward(e, first, t, s), p)
 
 
 def test_crf_gradient_against_differences():
@@ -476,7 +468,8 @@ def test_crf_gradient_against_differences():
         return total
 
     rng = np.random.default_rng(6)
-    data = langid.Chains(["aa bb aa cc", "bb dd", "ee aa", "cc cc dd bb", "aa"], ["x", "y", "z", "x", "y"], ["x", "y", "z"], 2)
+    docs = [(x.split(), y) for x, y in zip(["aa bb aa cc", "bb dd", "ee aa", "cc cc dd bb", "aa"], [0, 1, 2, 0, 1], strict=True)]
+    data = langid.Chains(docs, 3, 2)
     assert data.first.sum() == 3 and data.moved.sum() == (~data.first).sum()
     values = [rng.normal(size=(1 << langid.FEATURE_BITS, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)]
     found = data.gradient(*values)
