@@ -83,7 +83,7 @@ def masked(column: str, rule: str) -> Column:
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     a1, o1, a2, o2 = (F.radians(c) for c in (lat1, lon1, lat2, lon2))
     half = F.pow(F.sin((a2 - a1) / 2), 2) + F.cos(a1) * F.cos(a2) * F.pow(F.sin((o2 - o1) / 2), 2)
-    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(half))
+    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(half, F.lit(1.0))))
 
 
 def to_psi(value: Column, unit: Column) -> Column:

@@ -49,6 +49,50 @@ def landed_objects(listed: DataFrame, source: str = "source", verdict: str = "ve
     return check(by, "bronze", F.col(source), "landed_objects", F.col("_n"), F.col("_ok"), F.col("_held"))
 
 
+def latest_run(audit: DataFrame, stage: str, batch_id: str) -> DataFrame:
+    """One row (run_status, message, started): the state of a batch's newest run of a stage, NOT RUN without one.
+
+    audit: (stage, batch_id, entity, status, message, at); a run begins with the STARTED of entity ``*``.
+    """
+    own = audit.where((F.col("stage") == stage) & (F.col("batch_id") == batch_id))
+    begun = own.agg(F.max(F.when((F.col("entity") == "*") & (F.col("status") == "STARTED"), F.col("at"))).alias("started"))
+    ends = (F.col("entity") == "*") & F.col("status").isin("COMPLETED", "FAILED") & (F.col("at") >= F.col("started"))
+    end = own.crossJoin(F.broadcast(begun)).where(ends).agg(F.max_by(F.struct("status", "message"), "at").alias("e"))
+    both = begun.crossJoin(F.broadcast(end))  # one row each
+    state = F.when(F.col("started").isNull(), "NOT RUN").otherwise(F.coalesce("e.status", F.lit("RUNNING")))
+    return both.select(state.alias("run_status"), F.when(F.col("e.status") == "FAILED", F.col("e.message")).otherwise("").alias("message"), "started")
+
+
+def batch_status(audit: DataFrame, stage: str, batch_id: str) -> DataFrame:
+    """Whether the newest run of the stage has completed."""
+    run = latest_run(audit, stage, batch_id)
+    detail = F.concat(F.lit(f"last {stage} run "), "run_status", F.when(F.col("message") != "", F.concat(F.lit(": "), "message")).otherwise(""))
+    return check(run, stage, "*", "batch_status", F.lit(1), (F.col("run_status") == "COMPLETED").cast("int"), detail=detail)
+
+
+def load_status(audit: DataFrame, accepted: DataFrame, stage: str, batch_id: str, entity: str = "entity") -> DataFrame:
+    """Whether each entity of ``accepted`` (entity, n: rows held for the date) was loaded or skipped by the newest run."""
+    run = F.broadcast(latest_run(audit, stage, batch_id))
+    own = audit.where((F.col("stage") == stage) & (F.col("batch_id") == batch_id) & F.col("status").isin("COMMITTED", "SKIPPED"))
+    state = own.crossJoin(run).where(F.col("at") >= F.col("started")).groupBy(entity).agg(F.max_by("status", "at").alias("_state"))
+    both = accepted.join(state, entity, "left").crossJoin(run)
+    held = F.when(F.col("n") > 0, F.concat(F.lit("the table holds "), F.col("n").cast("string"), F.lit(" rows of an earlier run"))).otherwise("no rows for the date")
+    detail = F.when(F.col("_state") == "COMMITTED", "committed by the last run").when(F.col("_state") == "SKIPPED", "committed by an earlier attempt").otherwise(held)
+    return check(both, stage, F.col(entity), "load_status", F.lit(1), F.col("_state").isNotNull().cast("int"), detail=detail)
+
+
+def object_findings(objects: DataFrame, source: str = "source", verdict: str = "verdict", name: str = "file_name", most: int = 5) -> DataFrame:
+    """Per source the objects quarantined (none are expected) and, where there are any, the resends of bytes already here,
+    which explain themselves. ``verdict`` is VALID, DUPLICATE or the code of a rejection."""
+    bad = ~F.col(verdict).isin("VALID", "DUPLICATE")
+    reasons = F.array_sort(F.collect_set(F.when(bad, F.col(verdict))))  # as many as there are codes
+    by = objects.groupBy(source).agg(F.count_if(bad).alias("_bad"), F.count_if(F.col(verdict) == "DUPLICATE").alias("_again"), reasons.alias("_codes"))
+    none = F.lit("every object passed its format contract")
+    held = check(by, "bronze", F.col(source), "object_quarantine", F.lit(0), F.col("_bad"), detail=F.when(F.col("_bad") > 0, F.array_join(F.slice("_codes", 1, most), ", ")).otherwise(none))
+    again = by.where("_again > 0")
+    return union([held, check(again, "bronze", F.col(source), "object_duplicates", F.lit(0), F.col("_again"), -F.col("_again"), detail=F.lit("resent bytes are stored once"))])
+
+
 def record_parity(upstream: DataFrame, downstream: DataFrame, key: str, entity: str, amount: str | None = None) -> DataFrame:
     """Records, and a total, of a layer against the one before, where repeated keys of the one before explain a gap.
 
@@ -86,6 +130,38 @@ def minute_counts(control: DataFrame, landed: DataFrame, quarantined: DataFrame,
     return check(both, "stream", F.date_format("minute", "yyyy-MM-dd HH:mm"), "minute_counts", F.col("total"), F.col("landed") + F.col("held"), late=F.col("minute") > F.col("_newest") - F.expr(grace))
 
 
+def stream_records(control: DataFrame, landed: DataFrame, quarantined: DataFrame, table: str, key: str, keys: tuple[str, ...] = ("minute", "producer_run"), grace: str = "INTERVAL 10 MINUTES") -> DataFrame:
+    """A stream's landed and quarantined messages against its control counts, and its repeated ids (none are expected).
+
+    control: (keys, total). Missing messages are LATE if every minute that lacks any lies within the grace of the newest
+    one. An id counts once in its minute.
+    """
+    keys = list(keys)
+    expected = control.groupBy(*keys).agg(F.max("total").alias("total"))  # a control message may be repeated
+    ids = landed.groupBy(*keys, key).agg(F.count(F.lit(1)).alias("_c"))
+    got = ids.groupBy(*keys).agg(F.count(F.lit(1)).alias("_landed"), F.sum("_c").alias("_rows"))
+    held = quarantined.groupBy(*keys).agg(F.count(F.lit(1)).alias("_held"))
+    both = expected.join(got, keys, "left").join(held, keys, "left").fillna(0, ["_landed", "_rows", "_held"])
+    newest = F.broadcast(expected.agg(F.max(keys[0]).alias("_newest")))
+    both = both.crossJoin(newest)
+    short = F.col("_landed") + F.col("_held") < F.col("total")
+    recent = F.col(keys[0]) >= F.col("_newest") - F.expr(grace)
+    sums = both.agg(F.sum("total").alias("_n"), F.sum(F.col("_landed") + F.col("_held")).alias("_got"), F.sum("_rows").alias("_rows"), F.sum("_landed").alias("_ids"), F.count_if(short).alias("_short"), F.count_if(short & recent).alias("_recent"))
+    late = (F.col("_short") > 0) & (F.col("_short") == F.col("_recent"))
+    records = check(sums, "stream", table, "stream_records", F.col("_n"), F.col("_got"), late=late, detail=F.concat(F.col("_short").cast("string"), F.lit(" minute(s) short")))
+    return union([records, check(sums, "stream", table, "stream_duplicates", F.lit(0), F.col("_rows") - F.col("_ids"))])
+
+
+def window_records(readings: DataFrame, windows: DataFrame, lateness: str = "lateness_s", allowed_s: float = 600.0) -> DataFrame:
+    """Readings against what the one-minute windows hold (n); LATE if no more are missing than were sent too late."""
+    a = readings.agg(F.count(F.lit(1)).alias("_all"), F.count_if(F.col(lateness) > allowed_s).alias("_late"))
+    b = windows.where("window_size = '1 minute'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_in"))
+    one = a.crossJoin(F.broadcast(b))  # one row each
+    gap = F.col("_all") - F.col("_in")
+    detail = F.concat(F.col("_late").cast("string"), F.lit(" sent too late"))
+    return check(one, "stream", "sensor_window", "window_records", F.col("_all"), F.col("_in"), late=(gap > 0) & (gap <= F.col("_late")), detail=detail)
+
+
 def kpi_consistency(df: DataFrame, name: str, view: Column, consumer: Column, tolerance: float = 0.005) -> DataFrame:
     """A certified value against a consumer's, relative tolerance."""
     ok = F.abs(view - consumer) <= tolerance * F.greatest(F.lit(1.0), F.abs(view))

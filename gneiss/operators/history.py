@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.functions.columns import match_key
+
 
 def replay(base: DataFrame, events: DataFrame, key: str, fields: Sequence[str], op: str = "op", order: Sequence[str] = ("changed_at", "seq")) -> DataFrame:
     """State after insert (I), update (U) and delete (D) events: each field's last value, is_deleted, last change.
@@ -49,6 +52,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: S
     return joined.select(*keys, *(F.when(take, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in columns), change.alias("_change"))
 
 
+def first_seen_candidates(sources: Mapping[str, tuple[DataFrame, str, str, str]], until: str | None = None) -> DataFrame:
+    """(system, src_key, src_name, norm_key, lat, lon, first_seen): each name that a system uses for one of its objects,
+    with the first date it was seen and its mean place.
+
+    sources: per system (frame, key, name, date); a frame with lat and lon gives places. Rows without a name, or after the
+    date ``until``, are left out. All systems' rows are one union, reduced by partial minima and sums where they are read,
+    so every source is read once and a system's busiest name is a row per task.
+    """
+    parts = []
+    for system, (df, key, name, date) in sources.items():
+        place = [F.col(c).cast("double").alias(c) if c in df.columns else F.lit(None).cast("double").alias(c) for c in ("lat", "lon")]
+        parts.append(df.select(F.lit(system).alias("system"), F.col(key).cast("string").alias("src_key"), F.col(name).cast("string").alias("src_name"), F.to_date(date).alias("_date"), *place))
+    rows = reduce(DataFrame.unionByName, parts).where("src_name <> ''")
+    if until is not None:
+        rows = rows.where(F.col("_date") <= F.to_date(F.lit(until)))
+    out = rows.groupBy("system", "src_key", "src_name").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.min("_date").alias("first_seen"))
+    return out.withColumn("norm_key", match_key(F.col("src_name")))
+
+
 def resolve(candidates: DataFrame, register: DataFrame, exact: str, key: str, asset: str) -> DataFrame:
     """Rules in order: exact location 1.0, one register row with the key 0.95, several 0.5 for review, none 0.0."""
     exact_hits = register.groupBy(F.col(exact).alias("_exact")).agg(F.min(asset).alias("_asset_exact"))

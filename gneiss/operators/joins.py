@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.functions.columns import haversine_m
-
 #: A side may be broadcast on purpose only up to so many rows.
 BROADCAST_ROWS = 200_000
 
@@ -18,28 +16,6 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def nearest(points: DataFrame, sites: DataFrame, point_key: str, site_key: str, band_m: float = 500.0, cell_deg: float | None = None) -> DataFrame:
-    """(point_key, site_key, distance_m) of each point's nearest site, with in_band; both sides have lat and lon.
-
-    With a cell size both sides are cut into grid cells and a point meets only the sites of its own and the eight cells
-    around, so nothing is crossed; the cell must be as wide as the band, and points with no site there have none. Without
-    it the sites must be few: a counted broadcast, each point keeping one row by min_by.
-    """
-    s = sites.select(F.col(site_key), F.col("lat").alias("_slat"), F.col("lon").alias("_slon"))
-    if cell_deg is None:
-        if s.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-            raise ValueError("too many sites to broadcast; give a cell size")
-        pairs = points.crossJoin(F.broadcast(s))
-    else:
-        cell = lambda c: F.floor(F.col(c) / cell_deg)
-        around = F.explode(F.array(*(F.lit(k) for k in (-1, 0, 1))))
-        s = s.withColumn("_dx", around).withColumn("_dy", around).withColumns({"_cx": cell("_slat") + F.col("_dx"), "_cy": cell("_slon") + F.col("_dy")}).drop("_dx", "_dy")
-        pairs = points.withColumns({"_cx": cell("lat"), "_cy": cell("lon")}).join(s, ["_cx", "_cy"])
-    pairs = pairs.withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("_slat"), F.col("_slon")))
-    best = pairs.groupBy(point_key).agg(F.min(F.struct("distance_m", site_key)).alias("b"))
-    return best.select(point_key, F.col(f"b.{site_key}").alias(site_key), F.col("b.distance_m").alias("distance_m"), (F.col("b.distance_m") <= band_m).alias("in_band"))
-
-
 def match_by_key(candidates: DataFrame, register: DataFrame, key: str, value: str) -> DataFrame:
     """Adds n_hits and, where exactly one register row has the key, its value: MATCHED, AMBIGUOUS or NOT_IN_REGISTER."""
     groups = register.groupBy(key).agg(F.count(F.lit(1)).alias("n_hits"), F.min(value).alias(value))
@@ -72,6 +48,6 @@ def on_file_name(left: DataFrame, right: DataFrame, left_path: str, right_path:
 
 
 def on_bare_path(content: DataFrame, meta: DataFrame, path: str = "path") -> DataFrame:
-    """Join on paths without their scheme (file:/x, hdfs://x and /x agree)."""
-    bare = F.regexp_replace(F.col(path), "^[a-z0-9]+:/+", "/")
+    """Join on paths without their scheme and authority (file:/x, file:///x, hdfs://host/x and /x agree)."""
+    bare = F.regexp_replace(F.col(path), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     return content.withColumn("_bare", bare).drop(path).join(meta.withColumn("_bare", bare), "_bare").drop("_bare")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from gneiss.session import settle
 
+#: Rows of a segment of a series.
+SEGMENT_ROWS = 20_000
 _LOCAL_BITS = 33  # of monotonically_increasing_id: the row's number in its partition
 
 
@@ -38,6 +40,13 @@ def ranked_in(df: DataFrame, group: str, order: Sequence[Column], name: str = "r
     return placed.join(first, F.col(group).eqNullSafe(F.col("_group"))).withColumn(name, F.col("_place") - F.col("_first") + 1).drop("_place", "_group", "_first")
 
 
+def segmented(df: DataFrame, group: str, order: Sequence[Column], rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Adds _segment and _place (from 0): each group's order cut into segments of so many rows, so that a window over a
+    group and a segment is bounded whatever share of all rows the group has."""
+    placed = ranked_in(df, group, order, "_in_group").withColumn("_place", F.col("_in_group") - 1).drop("_in_group")
+    return placed.withColumn("_segment", F.floor(F.col("_place") / rows).cast("long"))
+
+
 def running_sum(df: DataFrame, order: Sequence[Column], value: Column, name: str) -> DataFrame:
     """Adds the sum of value over the rows before this one in the order, 0 for the first."""
     held = settle(df.withColumn("_v", value).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
@@ -48,10 +57,15 @@ def running_sum(df: DataFrame, order: Sequence[Column], value: Column, name: str
 
 
 def at_ranks(df: DataFrame, value: str, wanted: Sequence[int], descending: bool = False) -> dict[int, float]:
-    """The non-null values at the wanted places (from 1): as many numbers as are asked for come to the driver."""
+    """The non-null values at the wanted places (from 1): as many numbers as are asked for come to the driver.
+
+    Equal values are counted before they are dealt, so one that half the rows have is one row.
+    """
     column = F.col(value).desc() if descending else F.col(value).asc()
-    rows = ranked(df.select(value).where(F.col(value).isNotNull()), [column], "_place").where(F.col("_place").isin(sorted(set(wanted))))
-    return {r["_place"]: float(r[value]) for r in rows.collect()}
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_sum(counts, [column], F.col("_n"), "_before")
+    places = F.filter(F.array(*(F.lit(k).cast("long") for k in sorted(set(wanted)))), lambda k: (k > F.col("_before")) & (k <= F.col("_before") + F.col("_n")))
+    return {r["_place"]: float(r[value]) for r in placed.select(value, F.explode(places).alias("_place")).collect()}
 
 
 def quantiles(df: DataFrame, value: str, shares: Sequence[float]) -> list[float | None]:

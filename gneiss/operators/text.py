@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.operators.joins import small
+
 NUMBER = r"-?\d+(?:\.\d+)?"
+#: What looks like a number inside a name: up to six letters, a hyphen or an underscore, then a run with a digit in it.
+NAMED_NUMBER = r"\b\p{Alpha}{1,6}[_-][\w.-]*?\d[\w.-]*"
 TICKET_TYPES = ("Inspection", "Repair", "Sensor", "Monitor")
 PRIORITIES = ("High", "Medium", "Low")
 
@@ -39,34 +44,6 @@ def tags(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
-def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9][a-z0-9\-]+"), F.lit(0))
-
-
-def _terms(df: DataFrame, key: str, text: str) -> DataFrame:
-    t = F.col("_t")
-    pairs = F.when(F.size(t) > 1, F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, 2, F.size(t) - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.expr("cast(array() as array<string>)"))
-    return df.select(key, tokens(F.col(text)).alias("_t")).select(key, F.explode(F.concat(t, pairs)).alias("term"))
-
-
-def tfidf_search(df: DataFrame, key: str, text: str, question: str, k: int = 8) -> DataFrame:
-    """(key, similarity) of the k documents most alike to a question: 1- and 2-grams, log tf, smoothed idf, cosine.
-
-    Similarities are rounded to ten digits, so equal texts tie whatever the order of their sums.
-    Document norms need every term once (one partially aggregated shuffle); the dot product only the question's terms.
-    """
-    spark = df.sparkSession
-    tf = _terms(df, key, text).groupBy(key, "term").agg((F.log(F.count(F.lit(1))) + 1).alias("tf"))
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).crossJoin(F.broadcast(total)).select("term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("idf"))
-    weights = tf.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    q = _terms(spark.createDataFrame([(0, question)], "_q int, _text string"), "_q", "_text").groupBy("term").agg((F.log(F.count(F.lit(1))) + 1).alias("qtf")).join(idf, "term").select("term", (F.col("qtf") * F.col("idf")).alias("qw"))
-    qnorm = q.agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
-    scored = weights.join(F.broadcast(q), "term", "left").groupBy(key).agg(F.sum(F.col("w") * F.coalesce("qw", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    out = scored.where("dot > 0").crossJoin(F.broadcast(qnorm)).select(key, F.round(F.col("dot") / (F.col("norm") * F.col("qn")), 10).alias("similarity"))
-    return out.orderBy(F.desc("similarity"), key).limit(k)
-
-
 def snippet(text: Column, terms: Sequence[str], width: int = 320) -> Column:
     """The text around the first of the terms, line ends as blanks."""
     places = [F.instr(F.lower(text), t.lower()) for t in terms if len(t) > 2] or [F.lit(0)]
@@ -79,7 +56,7 @@ def snippet(text: Column, terms: Sequence[str], width: int = 320) -> Column:
 def numbers(text: Column) -> Column:
     """Numbers of a text as doubles, dates and ids taken out, thousands commas dropped."""
     bare = F.regexp_replace(text, r"\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2})?Z?)?", " ")
-    bare = F.regexp_replace(bare, r"\b[A-Za-z]{1,6}[-_][\w\-.]*\d[\w\-.]*", " ")
+    bare = F.regexp_replace(bare, NAMED_NUMBER, " ")
     bare = F.regexp_replace(bare, r"(?<=\d),(?=\d{3}\b)", "")
     return F.transform(F.regexp_extract_all(bare, F.lit(NUMBER), F.lit(0)), lambda x: x.try_cast("double"))
 
@@ -95,6 +72,48 @@ def ungrounded(output: Column, context: Column) -> Column:
     return F.filter(checked, lambda x: ~F.exists(pool, lambda c: F.abs(x - c) <= F.greatest(F.lit(0.06), 0.011 * F.abs(c))))
 
 
+CITATION = r"\[([^\[\]]+?) p\.\s*\d+\]"
+
+
+def grounding(df: DataFrame, key: str, output: str, context: str, dimension: DataFrame, tag: str, pattern: str, files: str | None = None, max_share: float = 0.25, min_numbers: int = 4) -> DataFrame:
+    """(key, rule, value, detail): what an output says that neither its context nor the dimension bears out.
+
+    UNKNOWN_TAG: its tags (matches of ``pattern``) that are neither in the context nor in the dimension's column ``tag``.
+    UNGROUNDED_NUMBER: the share of its checked numbers that no number of the context is near to, where it exceeds
+    ``max_share`` of at least ``min_numbers``. With ``files``, an array of the files it was given: NO_CITATION where it
+    cites none, FOREIGN_CITATION for cited ones that it was not given. Only tags that the context lacks meet the
+    dimension, which is broadcast after a count or else joined on the tag. Keys are unique.
+    """
+    rows = df.select(key, F.coalesce(F.col(output), F.lit("")).alias("_out"), F.coalesce(F.col(context), F.lit("")).alias("_ctx"), *([F.col(files).alias("_files")] if files else []))
+    told = rows.select(key, F.explode(F.array_except(tags(F.col("_out"), pattern), tags(F.col("_ctx"), pattern))).alias(tag))
+    unknown = told.join(small(dimension.select(tag).distinct()), tag, "left_anti").groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("value"), F.array_join(F.array_sort(F.collect_list(tag)), ", ").alias("detail"))
+    found = [unknown.select(key, F.lit("UNKNOWN_TAG").alias("rule"), "value", "detail")]
+    checked = F.size(F.filter(numbers(F.col("_out")), lambda x: (x != F.floor(x)) | (F.abs(x) >= 10)))
+    counts = rows.select(key, checked.alias("_n"), F.size(ungrounded(F.col("_out"), F.col("_ctx"))).alias("_bad"))
+    share = counts.where((F.col("_n") >= min_numbers) & (F.col("_bad") > max_share * F.col("_n")))
+    found.append(share.select(key, F.lit("UNGROUNDED_NUMBER").alias("rule"), F.round(F.col("_bad") / F.col("_n"), 3).alias("value"), F.concat(F.col("_bad").cast("string"), F.lit(" of "), F.col("_n").cast("string")).alias("detail")))
+    if files:
+        cited = F.array_distinct(F.regexp_extract_all("_out", F.lit(CITATION), F.lit(1)))
+        cites = rows.select(key, "_files", cited.alias("_cited"), F.array_sort(F.array_except(cited, F.coalesce("_files", F.array().cast("array<string>")))).alias("_foreign"))
+        none = cites.where((F.size("_files") > 0) & (F.size("_cited") == 0))
+        found.append(none.select(key, F.lit("NO_CITATION").alias("rule"), F.lit(0.0).alias("value"), F.lit("").alias("detail")))
+        foreign = cites.where(F.col("_files").isNotNull() & (F.size("_foreign") > 0))
+        found.append(foreign.select(key, F.lit("FOREIGN_CITATION").alias("rule"), F.size("_foreign").cast("double").alias("value"), F.array_join("_foreign", ", ").alias("detail")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def ticket_scope(drafts: DataFrame, assets: DataFrame, tag: str = "asset_tag", abstained: str = "is_abstained", forbidden: Sequence[str] = ()) -> DataFrame:
+    """Adds scope (KEPT or DROPPED) and flags to ticket drafts: a tag that is no asset's is dropped, an abstained asset
+    takes sensor tickets only, forbidden actions (patterns) are flagged. A tag's suffix .PV is left off."""
+    own = drafts.withColumn(tag, F.regexp_replace(tag, r"\.PV$", ""))
+    known = assets.groupBy(tag).agg(F.max(abstained).alias("_abstained"), F.lit(True).alias("_known"))
+    both = own.join(small(known), tag, "left")
+    told = F.lower(F.concat_ws(" ", "description", "evidence"))
+    codes = [F.when(F.col("_known") & F.col("_abstained") & (F.col("ticket_type") != "Sensor"), "ABSTAINED_ASSET"), *(F.when(F.col("_known") & told.rlike(f"(?i){p}"), F.lit("FORBIDDEN_ACTION")) for p in forbidden)]
+    flags = F.array_distinct(F.array_compact(F.array(*codes)))
+    return both.withColumns({"scope": F.when(F.col("_known"), "KEPT").otherwise("DROPPED"), "flags": flags}).drop("_abstained", "_known")
+
+
 def tickets(df: DataFrame, key: str, markdown: str) -> DataFrame:
     """A row per complete fenced ticket block: fields by label, types and priorities normalised, due days 1 to 180 (14)."""
     blocks = df.select(key, F.posexplode(F.regexp_extract_all(markdown, F.lit(r"(?is)```ticket\s*(.*?)```"), F.lit(1))).alias("ticket_no", "_b"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.operators import ranks
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nth: int = 1) -> DataFrame:
@@ -35,21 +36,28 @@ def scd2(daily: DataFrame, key: str, tracked: Sequence[str], as_of: str = "as_of
     return out.withColumns({"is_current": F.col("valid_to").isNull(), "asset_sk": F.concat_ws("#", F.col(key).cast("string"), F.col("version").cast("string"))}).drop("_sig", "_before", as_of)
 
 
-def rolling_zscore(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, rows: int = 24, threshold: float = 3.0, min_change: float = 0.1, judged: Column | None = None, counted: Column | None = None) -> DataFrame:
+def rolling_zscore(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int = 24, threshold: float = 3.0, min_change: float = 0.1, judged: Column | None = None, counted: Column | None = None, segment_rows: int = ranks.SEGMENT_ROWS) -> DataFrame:
     """Rows whose value deviates from the ``rows`` rows before them (the row itself left out).
 
     ``counted`` rows make the reference, at least half as many as ``rows`` are needed; only ``judged`` rows are reported.
-    A reference that hardly varies (below 1e-6, or 1e-3 of its mean) judges nothing.
+    A reference that hardly varies (below 1e-6, or 1e-3 of its mean) judges nothing. ``order`` tells all rows of a key
+    apart. A key's series is cut into segments, each with the ``rows`` last rows of the one before it, so that no window
+    holds a whole series.
     """
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-rows, -1)
+    keep = df.columns
+    placed = ranks.segmented(df, key, [F.col(c) for c in order], segment_rows)
+    after = (F.floor((F.col("_place") + rows) / segment_rows)).cast("long")  # the segments that have the row in reach
+    own = placed.withColumn("_in", F.explode(F.sequence("_segment", after)))
+    w = Window.partitionBy(key, "_in").orderBy("_place").rowsBetween(-rows, -1)
     use = F.when(counted if counted is not None else F.lit(True), F.col(value))
-    stats = df.withColumns({"_n": F.count(use).over(w), "baseline": F.avg(use).over(w), "_sd": F.stddev_pop(use).over(w), "_seen": F.count(F.lit(1)).over(w)})
+    stats = own.withColumns({"_n": F.count(use).over(w), "baseline": F.avg(use).over(w), "_sd": F.stddev_pop(use).over(w), "_seen": F.count(F.lit(1)).over(w)})
     steady = (F.col("_sd") < 1e-6) | ((F.col("baseline") != 0) & (F.col("_sd") / F.abs("baseline") < 1e-3))
     change = F.abs(F.col(value) - F.col("baseline"))
-    hit = (F.col("_seen") == rows) & (F.col("_n") >= rows // 2) & ~steady & (change >= threshold * F.col("_sd")) & (change >= min_change * F.greatest(F.abs("baseline"), F.lit(1e-9)))
+    hit = (F.col("_in") == F.col("_segment")) & (F.col("_seen") == rows) & (F.col("_n") >= rows // 2) & ~steady
+    hit = hit & (change >= threshold * F.col("_sd")) & (change >= min_change * F.greatest(F.abs("baseline"), F.lit(1e-9)))
     if judged is not None:
         hit = hit & judged
-    return stats.where(hit).withColumn("zscore", (F.col(value) - F.col("baseline")) / F.col("_sd")).drop("_n", "_sd", "_seen")
+    return stats.where(hit).withColumn("zscore", (F.col(value) - F.col("baseline")) / F.col("_sd")).select(*keep, "baseline", "zscore")
 
 
 def largest(df: DataFrame, keys: Sequence[str], by: Column, ties: Sequence[str]) -> DataFrame:

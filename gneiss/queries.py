@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gneiss.functions import columns as C
 from gneiss.functions import objects
-from gneiss.operators import aggregates, checks, history, joins, ranks, text, windows
+from gneiss.operators import aggregates, checks, history, joins, ranks, search, spatial, text, windows
 from gneiss.plans import contracts, kpi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,9 +118,13 @@ def duplicate_in_batch(spark, d):
     return o.where("n_same > 1")
 
 
-@query("SELECT n_nationkey, sha256(concat_ws(chr(1), n_nationkey::VARCHAR, n_name, n_regionkey::VARCHAR)) AS record_hash FROM nation")
+@query(f"""
+    SELECT n_nationkey, sha256(concat_ws(chr({ord(C.SEPARATOR)}), n_nationkey::VARCHAR, coalesce(CASE WHEN n_nationkey % 3 > 0 THEN n_name END, {"||".join(f"chr({ord(x)})" for x in C.NULL_TEXT)}), n_regionkey::VARCHAR)) AS record_hash
+    FROM nation
+""")
 def record_hash(spark, d):
-    return table(spark, d, "nation").select("n_nationkey", C.record_hash(["n_nationkey", "n_name", "n_regionkey"]).alias("record_hash"))
+    rows = table(spark, d, "nation").withColumn("n_name", F.when(F.col("n_nationkey") % 3 > 0, F.col("n_name")))
+    return rows.select("n_nationkey", C.record_hash(["n_nationkey", "n_name", "n_regionkey"]).alias("record_hash"))
 
 
 _NAMES = """SELECT p_partkey, CASE WHEN p_size < 10 THEN 'PI-REF-U' || p_size || '-P-' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || 'A.PV'
@@ -250,7 +254,35 @@ def nearest_site(spark, d):
     place = lambda k, a, b: {"lat": (F.col(k).cast("long") * a % 17000) / 100.0 - 85, "lon": (F.col(k).cast("long") * b % 36000) / 100.0 - 180}
     points = table(spark, d, "customer").select("c_custkey").withColumns(place("c_custkey", 7919, 104729))
     sites = table(spark, d, "nation").select("n_nationkey").withColumns(place("n_nationkey", 3571, 15485))
-    return joins.nearest(points, sites, "c_custkey", "n_nationkey", band_m=500_000.0).withColumn("distance_m", F.round("distance_m", 2))
+    return spatial.nearest(points, sites, "c_custkey", "n_nationkey", band_m=500_000.0).withColumn("distance_m", F.round("distance_m", 2))
+
+
+@query("""
+    WITH p AS (
+        SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 80 + o_orderkey % 1000 / 100.0::DOUBLE WHEN 1 THEN -89.5 ELSE o_orderkey * 7919 % 17000 / 100.0::DOUBLE - 85 END AS lat,
+               CASE WHEN o_orderkey % 4 = 2 THEN 180 - o_orderkey % 7 / 1000.0::DOUBLE ELSE o_orderkey * 104729 % 36000 / 100.0::DOUBLE - 180 END AS lon
+        FROM orders WHERE o_orderkey % 8 > 3),
+    s AS (
+        SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 79 + c_custkey % 100 / 10.0::DOUBLE ELSE c_custkey * 3571 % 17000 / 100.0::DOUBLE - 85 END AS lat,
+               CASE WHEN c_custkey % 3 = 1 THEN -180 + c_custkey % 11 / 1000.0::DOUBLE ELSE c_custkey * 15485 % 36000 / 100.0::DOUBLE - 180 END AS lon
+        FROM customer WHERE c_custkey % 20 = 1),
+    d AS (
+        SELECT o_orderkey, c_custkey, 12742000.0::DOUBLE * asin(sqrt(least(1, pow(sin(radians(s.lat - p.lat) / 2), 2)
+               + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2)))) AS m
+        FROM p, s)
+    SELECT o_orderkey, round(min(m), 1) AS distance_m, min(m) <= 50000 AS in_band FROM d GROUP BY o_orderkey
+""")
+def nearest_rings(spark, d):
+    """Orders at places near the poles, on both sides of 180 degrees and everywhere, against sites as odd, in rings of cells."""
+    o, c = F.col("o_orderkey"), F.col("c_custkey")
+    lat = F.when(o % 4 == 0, 80 + o % 1000 / 100.0).when(o % 4 == 1, -89.5).otherwise(o * 7919 % 17000 / 100.0 - 85)
+    lon = F.when(o % 4 == 2, 180 - o % 7 / 1000.0).otherwise(o * 104729 % 36000 / 100.0 - 180)
+    points = table(spark, d, "orders").where(o % 8 > 3).select("o_orderkey", lat.alias("lat"), lon.alias("lon"))
+    lat = F.when(c % 3 == 0, 79 + c % 100 / 10.0).otherwise(c * 3571 % 17000 / 100.0 - 85)
+    lon = F.when(c % 3 == 1, -180 + c % 11 / 1000.0).otherwise(c * 15485 % 36000 / 100.0 - 180)
+    sites = table(spark, d, "customer").where(c % 20 == 1).select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+    found = spatial.nearest(points, sites, "o_orderkey", "c_custkey", 50_000.0, crossed_sites=0)
+    return found.select("o_orderkey", F.round("distance_m", 1).alias("distance_m"), "in_band")
 
 
 _ENTITY = """WITH r AS (SELECT n_nationkey, n_name AS loc, 'K' || CASE WHEN n_regionkey < 2 THEN n_nationkey ELSE 100 + n_regionkey END AS key FROM nation),
@@ -346,7 +378,7 @@ def trailing_counts(spark, d):
     WHERE n = 24 AND NOT (sd < 1e-6 OR (baseline <> 0 AND sd / abs(baseline) < 1e-3)) AND abs(value - baseline) >= 3.0 * sd AND abs(value - baseline) >= 0.1 * greatest(abs(baseline), 1e-9)
 """)
 def rolling_zscore(spark, d):
-    z = windows.rolling_zscore(table(spark, d, "events").select("event_id", "event_type", "ts", "value"), ["event_type"], ["ts", "event_id"], "value")
+    z = windows.rolling_zscore(table(spark, d, "events").select("event_id", "event_type", "ts", "value"), "event_type", ["ts", "event_id"], "value")
     return z.select("event_id", "event_type", *(F.round(c, 8).alias(c) for c in ("value", "baseline", "zscore")))
 
 
@@ -543,7 +575,7 @@ def tag_extract(spark, d):
     SELECT doc_id, round(dot / (norm * qn), 8) AS similarity FROM s, n WHERE dot > 0 ORDER BY round(dot / (norm * qn), 10) DESC, doc_id LIMIT 10
 """)
 def tfidf_search(spark, d):
-    return text.tfidf_search(table(spark, d, "documents"), "doc_id", "text", "there and the", 10).withColumn("similarity", F.round("similarity", 8))
+    return search.tfidf_search(table(spark, d, "documents"), "doc_id", "text", "there and the", 10).withColumn("similarity", F.round("similarity", 8))
 
 
 @query(r"""
@@ -679,3 +711,87 @@ def object_hints(spark, d):
     hint = objects.asset_hint(F.col("source"), F.col("file_name"), {"doc": r"^F_(\d+)\.bin$"}, {"line": "FIELD"}, F.col("side"))
     out = objects.with_capture_time(o).withColumn("h", hint)
     return out.select("o_orderkey", "h.hint", "h.basis", F.col("captured_at").cast("timestamp_ntz").alias("captured_at"))
+
+
+_CONVERSED = """
+    WITH c AS (
+        SELECT conv_id, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user') AS ctx, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'assistant')
+               || CASE WHEN conv_id % 6 = 0 THEN ' [a.pdf p.1] [b.pdf p. 2]' ELSE '' END || ' with 10.5 and 20 and 33.25 and 999' AS out
+        FROM conversations GROUP BY conv_id),
+    g AS (SELECT conv_id, coalesce(ctx, '') || CASE WHEN conv_id % 2 = 0 THEN ' 10.5 and 20 and 33.25' ELSE '' END AS ctx, coalesce(out, '') AS out FROM c)"""
+
+
+@query(_CONVERSED + r"""
+    , known AS (SELECT DISTINCT unnest(regexp_extract_all(ctx, '[A-Z][a-z]{2,6}')) AS tag FROM g WHERE conv_id % 3 = 0),
+    t AS (SELECT DISTINCT conv_id, unnest(regexp_extract_all(out, '[A-Z][a-z]{2,6}')) AS tag FROM g), x AS (SELECT DISTINCT conv_id, unnest(regexp_extract_all(ctx, '[A-Z][a-z]{2,6}')) AS tag FROM g),
+    u AS (SELECT conv_id, tag FROM t ANTI JOIN x USING (conv_id, tag) ANTI JOIN known USING (tag))
+    SELECT conv_id, 'UNKNOWN_TAG' AS rule, count(*)::DOUBLE AS value, string_agg(tag, ', ' ORDER BY tag) AS detail FROM u GROUP BY conv_id
+    UNION ALL SELECT conv_id, 'UNGROUNDED_NUMBER', 1.0, '4 of 4' FROM g WHERE conv_id % 2 = 1 AND out <> ''
+    UNION ALL SELECT conv_id, 'NO_CITATION', 0.0, '' FROM g WHERE conv_id % 3 = 0 AND (conv_id % 6 <> 0 OR out = '')
+    UNION ALL SELECT conv_id, 'FOREIGN_CITATION', 1.0, 'b.pdf' FROM g WHERE conv_id % 6 = 0 AND out <> ''
+""")
+def grounding_findings(spark, d):
+    """Answers held against what was asked, a dimension of known names, the numbers given and the files at hand."""
+    c = table(spark, d, "conversations")
+    side = lambda role: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("role") == role, F.struct("turn", "text")))), lambda x: x["text"]), " ")
+    rows = c.groupBy("conv_id").agg(side("user").alias("ctx"), side("assistant").alias("out"))
+    k = F.col("conv_id")
+    cites = F.when(k % 6 == 0, " [a.pdf p.1] [b.pdf p. 2]").otherwise("")
+    told = F.when(F.col("out") != "", F.concat("out", cites, F.lit(" with 10.5 and 20 and 33.25 and 999"))).otherwise("")
+    rows = rows.select("conv_id", F.concat("ctx", F.when(k % 2 == 0, " 10.5 and 20 and 33.25").otherwise("")).alias("ctx"), told.alias("out"), F.when(k % 3 == 0, F.array(F.lit("a.pdf"))).alias("files"))
+    pattern = r"[A-Z][a-z]{2,6}"
+    known = rows.where(k % 3 == 0).select(F.explode(text.tags(F.col("ctx"), pattern)).alias("tag"))
+    return text.grounding(rows, "conv_id", "out", "ctx", known, "tag", pattern, "files", max_share=0.26)
+
+
+@query("""
+    WITH s AS (
+        SELECT 'order' AS system, o_custkey AS k, o_orderpriority AS name, CAST(o_orderdate AS DATE) AS day, NULL::DOUBLE AS lat, NULL::DOUBLE AS lon FROM orders
+        UNION ALL SELECT 'status', o_custkey, 'pi-' || o_orderstatus || '01.PV', CAST(o_orderdate AS DATE), NULL, NULL FROM orders
+        UNION ALL SELECT 'shipment', l_suppkey, l_returnflag, CAST(l_shipdate AS DATE), l_quantity, l_tax * 100 FROM lineitem
+        UNION ALL SELECT 'line', l_suppkey, nullif(l_linestatus, 'F'), CAST(l_shipdate AS DATE), NULL, NULL FROM lineitem
+        UNION ALL SELECT 'event', user_id, event_type, CAST(ts AS DATE), NULL, NULL FROM events
+        UNION ALL SELECT 'visit', user_id, CASE WHEN value > 50 THEN 'PL-02-SEG-001' END, CAST(ts AS DATE), NULL, NULL FROM events
+        UNION ALL SELECT 'part', l_partkey, '', CAST(l_shipdate AS DATE), NULL, NULL FROM lineitem)
+    SELECT system, CAST(k AS VARCHAR) AS src_key, name AS src_name, min(day) AS first_seen, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
+    FROM s WHERE name <> '' AND (system NOT IN ('order', 'status', 'shipment', 'line') OR day <= DATE '1998-01-01') GROUP BY ALL
+""")
+def first_seen_names(spark, d):
+    """The names that seven systems use, each with its first date: one union, reduced where it is read."""
+    o, l, e = (table(spark, d, t) for t in ("orders", "lineitem", "events"))
+    old = F.to_date(F.lit("1998-01-01"))
+    o, l = o.where(F.to_date("o_orderdate") <= old), l.where(F.to_date("l_shipdate") <= old)
+    sources = {
+        "order": (o, "o_custkey", "o_orderpriority", "o_orderdate"),
+        "status": (o.withColumn("name", F.concat(F.lit("pi-"), "o_orderstatus", F.lit("01.PV"))), "o_custkey", "name", "o_orderdate"),
+        "shipment": (l.withColumns({"lat": F.col("l_quantity"), "lon": F.col("l_tax") * 100}), "l_suppkey", "l_returnflag", "l_shipdate"),
+        "line": (l.withColumn("name", F.nullif("l_linestatus", F.lit("F"))), "l_suppkey", "name", "l_shipdate"),
+        "event": (e, "user_id", "event_type", "ts"),
+        "visit": (e.withColumn("name", F.when(F.col("value") > 50, "PL-02-SEG-001")), "user_id", "name", "ts"),
+        "part": (l.withColumn("name", F.lit("")), "l_partkey", "name", "l_shipdate"),
+    }
+    found = history.first_seen_candidates(sources)
+    return found.select("system", "src_key", "src_name", "first_seen", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1")
+def largest_order(spark, d):
+    """The row of the largest value of each key."""
+    return windows.largest(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], F.col("o_totalprice"), ["o_orderkey"])
+
+
+@query("""
+    SELECT user_id, event_id, value FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) = 1) ORDER BY value DESC, event_id LIMIT 8
+""")
+def action_plan(spark, d):
+    """The most urgent finding of each object, the eight most urgent objects."""
+    return text.plan(table(spark, d, "events").select("user_id", "event_id", "value"), "user_id", [F.desc("value"), F.col("event_id")])
+
+
+@query("""
+    SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'none' WHEN p_retailprice / 50000 >= 0.02 OR p_size % 7 >= 3 THEN 'severe' ELSE 'surface' END AS severity FROM part
+""")
+def frame_severities(spark, d):
+    """Severity of a frame by its area and its boxes."""
+    p = table(spark, d, "part")
+    return p.select("p_partkey", C.frame_severity(F.col("p_retailprice") / 50000, F.col("p_size") % 7).alias("severity"))

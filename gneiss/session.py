@@ -39,6 +39,13 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512, size: str = "16m") -> None:
+    """Bound the Arrow batches handed to Python in rows and bytes, as texts and objects may be large. Plans read the
+    settings when they run, so they stay on the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """df computed once, its lineage cut by a reliable checkpoint."""
     shared_folder(df.sparkSession)
