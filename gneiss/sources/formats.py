@@ -5,12 +5,16 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
+from types import MappingProxyType
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from gneiss.session import bounded_batches
+
 
 class BadObject(ValueError):
     """A file that cannot be used; the message is its reason code."""
@@ -26,7 +30,12 @@ def las(data: bytes) -> Iterator[dict]:
         if line[0] == "~":
             section = line[1:2].upper()
         elif section == "A":
-            values = [float(x) for x in line.split()]
+            if not curves:
+                raise BadObject("LAS_MISSING_SECTION")
+            try:
+                values = [float(x) for x in line.split()]
+            except ValueError as e:
+                raise BadObject("LAS_BAD_DATA") from e
             if len(values) != len(curves):
                 raise BadObject("LAS_BAD_DATA")
             rows.append(values)
@@ -114,6 +123,12 @@ def png_gray(data: bytes) -> np.ndarray:
     return out[1:, 1:].astype(np.uint8)
 
 
+def png(data: bytes) -> Iterator[dict]:
+    """An image's size, mean gray and share of dark pixels; ``png_gray`` gives the pixels."""
+    image = png_gray(data)
+    yield {"kind": "drawing_image", "facts": {"width": image.shape[1], "height": image.shape[0], "mean_gray": float(image.mean()), "dark_share": float((image < 128).mean())}}
+
+
 def avi(data: bytes) -> Iterator[dict]:
     """Motion-JPEG AVI: a row per frame whose bytes differ from the frame before."""
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
@@ -183,7 +198,44 @@ def pdf(data: bytes) -> Iterator[dict]:
         raise BadObject("PDF_NO_PAGES")
 
 
-FORMATS = {"las": las, "sgy": segy, "segy": segy, "avi": avi, "json": sidecar, "pdf": pdf}
+FORMATS = {"las": las, "png": png, "sgy": segy, "segy": segy, "avi": avi, "json": sidecar, "pdf": pdf}
+
+
+#: Rows of a kind that a sound file has at least, and the verdict on one that has fewer.
+LEAST = {"pdf": ("doc_page", "PDF_NO_PAGES"), "sgy": ("seismic_trace_header", "SEGY_NO_TRACES"), "segy": ("seismic_trace_header", "SEGY_NO_TRACES"), "avi": ("video_keyframe", "VIDEO_TOO_SHORT")}
+
+
+def verdict(name: str, data: bytes, min_bytes: int = 1, least: Mapping[str, int] = MappingProxyType({})) -> str:
+    """OK, or the code of what a file's bytes lack for the format of its name; any failure of a parser is one."""
+    kind = name.rpartition(".")[2].lower()
+    if kind not in FORMATS:
+        return "UNKNOWN_FORMAT"
+    if len(data) < min_bytes:
+        return "TOO_SMALL"
+    try:
+        kinds = Counter(r["kind"] for r in FORMATS[kind](data))
+    except BadObject as e:
+        return str(e)
+    except Exception:  # noqa: BLE001  a broken file must not end the job
+        return "UNREADABLE"
+    counted, code = LEAST.get(kind, ("", ""))
+    return code if counted and kinds[counted] < least.get(kind, 1) else "OK"
+
+
+def verdicts(objects: DataFrame, min_bytes: int = 1, least: dict[str, int] | None = None) -> DataFrame:
+    """(file_name, format_verdict) of binary objects: their bytes read by their format's parser on the executors.
+
+    ``least``: rows (pages, traces, keyframes) that a format's file has at least, 1 unless given. A null content is TOO_SMALL.
+    """
+    bounded_batches(objects.sparkSession)
+    limits = dict(least or {})
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [verdict(n, bytes(c or b""), min_bytes, limits) for n, c in zip(part["file_name"], part["content"], strict=True)]
+            yield pd.DataFrame({"file_name": part["file_name"], "format_verdict": found})
+
+    return objects.select("file_name", "content").mapInPandas(run, "file_name string, format_verdict string")
 
 
 def extract(objects: DataFrame) -> DataFrame:
@@ -204,4 +256,5 @@ def extract(objects: DataFrame) -> DataFrame:
                     rows.append((name, "extract_error", json.dumps({"code": f"{type(e).__name__}: {e}"[:200]})))
             yield pd.DataFrame(rows, columns=["file_name", "kind", "facts"])
 
+    bounded_batches(objects.sparkSession)
     return objects.select("file_name", "content").mapInPandas(run, "file_name string, kind string, facts string")

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gneiss.operators.joins import BROADCAST_ROWS
 from gneiss.plans.contracts import Contract
+from gneiss.sources.dumps import read_dump
 
 STREAM_SCHEMA = "key string, timestamp long, value string, topic string"
 
@@ -43,45 +42,6 @@ def _with_source(df: DataFrame) -> DataFrame:
     return df.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/\\]+)$", 1).alias("_source_file"), "*")
 
 
-_TUPLE = re.compile(r"""\s*(?:NULL|'((?:[^'\\]|\\.|'')*)'|([^,()]+?))\s*([,)])""", re.S | re.I)
-_ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0", "Z": "\x1a"}
-
-
-def dump_rows(text: str, table: str, columns: Sequence[str]) -> Iterator[list[str | None]]:
-    """The rows of a table's INSERT statements, columns picked by the names in its CREATE TABLE."""
-    create = re.search(rf"CREATE TABLE `?{re.escape(table)}`?\s*\((.*?)\)\s*(?:ENGINE|;|$)", text, re.S | re.I)
-    order = re.findall(r"^\s*`(\w+)`", create[1], re.M) if create else list(columns)
-    place = [order.index(c) if c in order else None for c in columns]
-    for start in re.finditer(rf"INSERT INTO `?{re.escape(table)}`?[^(]*?VALUES\s*", text, re.I):
-        at = start.end()
-        while at < len(text) and text[at] == "(":
-            at, values = at + 1, []
-            while m := _TUPLE.match(text, at):
-                quoted = m[1]
-                value = re.sub(r"\\(.)|''", lambda e: _ESCAPES.get(e[1], e[1]) if e[1] else "'", quoted, flags=re.S) if quoted is not None else m[2]
-                values.append(None if quoted is None and (value is None or value.upper() == "NULL") else value)
-                at = m.end()
-                if m[3] == ")":
-                    break
-            yield [values[p] if p is not None and p < len(values) else None for p in place]
-            more = re.compile(r"\s*,\s*").match(text, at)
-            if not more:
-                break
-            at = more.end()
-
-
-def read_dump(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:
-    """SQL dumps, a file at a time on executors: (_source_file, _source_row, columns as strings)."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = [(name, i, *values) for name, text in zip(part["_source_file"], part["value"], strict=True) for i, values in enumerate(dump_rows(text, table, columns), 1)]
-            yield pd.DataFrame(rows, columns=["_source_file", "_source_row", *columns])
-
-    schema = "_source_file string, _source_row long, " + ", ".join(f"`{c}` string" for c in columns)
-    return _with_source(spark.read.text(path, wholetext=True)).mapInPandas(run, schema)
-
-
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(_source_file, _source_row, _first, value): numbered lines, empty ones left out, and the first line of their file.
 
@@ -158,12 +118,17 @@ def binary_objects(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("path", F.regexp_extract("path", r"([^/\\]+)$", 1).alias("file_name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), "content")
 
 
-def manifest_checks(listed: DataFrame, objects: DataFrame) -> DataFrame:
-    """(name, verdict) for listed files against landed ones: MISSING_FILE, SIZE_MISMATCH, SHA_MISMATCH, UNKNOWN_FORMAT, OK."""
+def manifest_checks(listed: DataFrame, objects: DataFrame, formats: DataFrame | None = None) -> DataFrame:
+    """Adds the verdict on each listed file: MISSING_FILE, UNKNOWN_FORMAT, SIZE_MISMATCH, SHA_MISMATCH or, with the
+    ``formats.verdicts`` of the objects, what its bytes lack; else OK."""
     found = objects.select(F.col("file_name").alias("name"), F.col("size").alias("_size"), F.col("sha256").alias("_sha"))
     known = F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)).isin("pdf", "png", "sgy", "segy", "las", "avi", "json")
-    verdict = F.when(F.col("_sha").isNull(), "MISSING_FILE").when(~known, "UNKNOWN_FORMAT").when(F.col("size") != F.col("_size"), "SIZE_MISMATCH").when(F.col("sha256") != F.col("_sha"), "SHA_MISMATCH").otherwise("OK")
-    return listed.join(found, "name", "left").withColumn("verdict", verdict).drop("_size", "_sha")
+    if formats is not None:
+        found = found.join(formats.select(F.col("file_name").alias("name"), F.col("format_verdict").alias("_format")), "name", "left")
+    else:
+        found = found.withColumn("_format", F.lit("OK"))
+    verdict = F.when(F.col("_sha").isNull(), "MISSING_FILE").when(~known, "UNKNOWN_FORMAT").when(F.col("size") != F.col("_size"), "SIZE_MISMATCH").when(F.col("sha256") != F.col("_sha"), "SHA_MISMATCH").otherwise(F.coalesce("_format", F.lit("OK")))
+    return listed.join(found, "name", "left").withColumn("verdict", verdict).drop("_size", "_sha", "_format")
 
 
 def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 24) -> DataFrame:

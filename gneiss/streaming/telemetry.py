@@ -12,8 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gneiss.functions.columns import to_psi
+from gneiss.operators import ranks
 from gneiss.operators.aggregates import window_stats
 from gneiss.plans.contracts import Contract, parse_stream
+from gneiss.session import settle
+from gneiss.sources import batches
 
 WATERMARK = "10 minutes"
 SIZES = ("1 minute", "15 minutes")
@@ -62,38 +65,23 @@ def daily(window_rows: DataFrame, key: str) -> DataFrame:
 
 
 def stream_windows(stream: DataFrame, key: str, size: str, path: str, checkpoint: str, event: str = "event_ts", watermark: str = WATERMARK, **options) -> StreamingQuery:
-    """Update-mode windows written batch by batch, each batch to a folder of its own that a replay overwrites.
+    """Update-mode windows kept as one row each in a table of days: every batch is folded into the days it touches.
 
-    Read the result with ``read_windows``: the newest batch wins for each key and window, so nothing is rewritten.
+    A window's newest row wins and a replayed batch changes nothing (see ``batches.fold``), so a day has as many files
+    after any number of batches. Read the result with ``read_windows``.
     """
     found = windows(stream.withWatermark(event, watermark), key, size, event, **options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/_b={batch_id:012d}")
+        rows = batch.withColumns({"_batch": F.lit(batch_id).cast("long"), "day": F.date_format("window_start", "yyyy-MM-dd")})
+        batches.fold(rows, path, [key, "window_size", "window_start", "day"], "_batch", "day", f"b{batch_id:012d}")
 
     return found.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_windows(spark, path: str, key: str) -> DataFrame:
-    rows = spark.read.parquet(f"{path}/_b=*")
-    rest = [c for c in rows.columns if c not in (key, "window_size", "window_start", "_batch")]
-    newest = rows.groupBy(key, "window_size", "window_start").agg(F.max_by(F.struct(*rest), "_batch").alias("r"))
-    return newest.select(key, "window_size", "window_start", "r.*")
-
-
-def multi_sink(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], object]], query_id: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: each sink's rows are appended once under the key of query and batch, the batch held once."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            for select, table in sinks.values():
-                table.append_once(select(held), f"{query_id}:{batch_id}")
-        finally:
-            with contextlib.suppress(Exception):
-                held.unpersist()
-
-    return run
+def read_windows(spark, path: str) -> DataFrame:
+    """The windows that ``stream_windows`` keeps."""
+    return spark.read.parquet(path).drop("_batch", "day")
 
 
 def batch_folders(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], str]]) -> Callable[[DataFrame, int], None]:
@@ -108,8 +96,7 @@ def batch_folders(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], st
         try:
             for select, path in sinks.values():
                 folder = f"{path}/_b={batch_id:012d}"
-                done = batch.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-                if not done.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(done):
+                if not batches.finished(batch.sparkSession, folder):
                     select(held).write.mode("overwrite").parquet(folder)
         finally:
             with contextlib.suppress(Exception):
@@ -139,12 +126,55 @@ def route_alarms(batch: DataFrame, priorities: tuple[str, ...] = ("1", "2")) ->
     return {"priority": valid.where(F.col("priority").isin(*priorities)), "all": valid, "quarantine": batch.where(F.size("reject_reasons") > 0)}
 
 
+def stream_router(stream: DataFrame, contract: Contract, path: str, checkpoint: str, interval: str = "10 seconds", priorities: tuple[str, ...] = ("1", "2"), sent: str = "timestamp") -> StreamingQuery:
+    """A running stream of alarm messages to three destinations under a path, by a processing-time trigger.
+
+    Each destination has a folder for each batch and in it one for each five minutes of sending; a batch that comes again
+    after a restart leaves what is finished and writes the rest anew.
+    """
+    bucket = F.date_format(F.timestamp_millis(F.floor(F.col(sent) / 300_000) * 300_000), "yyyyMMddHHmm")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            for name, rows in route_alarms(held, priorities).items():
+                folder = f"{path}/{name}/_b={batch_id:012d}"
+                if not batches.finished(batch.sparkSession, folder):
+                    rows.withColumn("bucket", bucket).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").json(folder)
+        finally:
+            with contextlib.suppress(Exception):
+                held.unpersist()
+
+    parsed = parse_stream(stream, contract).writeStream.foreachBatch(run)
+    return parsed.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
+def await_and_stop(query: StreamingQuery) -> None:
+    """Wait until all that has arrived is processed, then stop the stream; its failure is raised here."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def routed(spark, path: str, name: str, schema: str) -> DataFrame:
+    """What one destination holds, with the five-minute bucket; schema as DDL."""
+    return spark.read.schema(f"{schema}, bucket string").option("basePath", f"{path}/{name}").json(f"{path}/{name}/_b=*")
+
+
 def control_counts(stream: DataFrame, event: str, keys: tuple[str, ...], delay: str = WATERMARK) -> DataFrame:
     """Messages per minute and key; on a stream each minute is released once it is older than the delay."""
     counted = stream.withWatermark(event, delay) if stream.isStreaming else stream
     return counted.groupBy(F.window(event, "1 minute").alias("_w"), *keys).agg(F.count(F.lit(1)).alias("total")).select(F.col("_w.start").alias("minute"), *keys, "total")
 
 
+def stream_control_counts(stream: DataFrame, event: str, keys: tuple[str, ...], path: str, checkpoint: str, delay: str = WATERMARK) -> StreamingQuery:
+    """Control counts as a stream in append mode: a minute is written once, when the watermark has passed its end."""
+    sink = batch_folders({"counts": (lambda b: b, path)})
+    counted = control_counts(stream, event, keys, delay).writeStream.outputMode("append").foreachBatch(sink)
+    return counted.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 # -- alarms: raise at HI and HIHI, clear below 85 % of HI
 CLEAR_SHARE = 0.85
 
@@ -162,19 +192,34 @@ def alarm_step(active: str | None, value: float, hi: float, hihi: float) -> tupl
 _ALARM = "{key} {kind}, event_ts {time}, seq long, alarm_type string, state string, value double"
 
 
-def alarms(readings: DataFrame, key: str, event: str, value: str, seq: str, hi: float, hihi: float) -> DataFrame:
-    """Alarm events of each key's readings in event order, by window functions alone.
+def alarms(readings: DataFrame, key: str, event: str, value: str, seq: str, hi: float, hihi: float, segment_rows: int = ranks.SEGMENT_ROWS) -> DataFrame:
+    """Alarm events of each key's readings in event order, by a segmented scan.
 
     A clearing reading begins a new stretch of its key. The level of a reading is the highest one reached in its stretch,
-    so an alarm is raised where the level rises, and cleared where a stretch begins after one with a level.
+    so an alarm is raised where the level rises, and cleared where a stretch begins after one with a level. What a
+    segment of the series does to the level is two values (the highest since its last clearing, and whether it has one),
+    so a scan over a row for each segment gives the level at which each begins, and no window holds a whole series.
     """
     rows = readings.select(key, F.col(event).alias("event_ts"), F.col(seq).cast("long").alias("seq"), F.col(value).cast("double").alias("value"))
-    w = Window.partitionBy(key).orderBy("event_ts", "seq")
     clears = F.col("value") < hi * CLEAR_SHARE
-    rows = rows.withColumn("_stretch", F.count(F.when(clears, 1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     level = F.when(F.col("value") >= hihi, 2).when(F.col("value") >= hi, 1).otherwise(0)
-    inside = Window.partitionBy(key, "_stretch").orderBy("event_ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_level", F.max(level).over(inside)).withColumn("_before", F.coalesce(F.lag("_level").over(w), F.lit(0)))
+    rows = settle(ranks.segmented(rows, key, [F.col("event_ts"), F.col("seq")], segment_rows))
+    at = F.max(F.when(clears, F.col("_place")))
+    last = rows.groupBy(key, "_segment").agg(at.alias("_cleared"))
+    # The highest level of a segment after its last clearing, by a second look at its rows.
+    tails = rows.join(last.select(F.col(key).alias("_k"), F.col("_segment").alias("_s"), "_cleared"), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_segment") == F.col("_s")))
+    sums = tails.groupBy(key, "_segment").agg(F.max(F.when(F.col("_place") >= F.coalesce("_cleared", F.lit(-1)), level)).alias("_high"), F.any_value("_cleared").isNotNull().alias("_clears"))
+    order = Window.partitionBy(key).orderBy("_segment")
+    runs = sums.withColumn("_run", F.count(F.when(F.col("_clears"), 1)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    reached = F.max("_high").over(Window.partitionBy(key, "_run").orderBy("_segment").rowsBetween(Window.unboundedPreceding, 0))
+    starts = runs.withColumn("_reached", reached).withColumn("_start", F.coalesce(F.lag("_reached").over(order), F.lit(0)))
+    starts = starts.select(F.col(key).alias("_k"), F.col("_segment").alias("_s"), "_start")
+    rows = rows.join(starts, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_segment") == F.col("_s"))).drop("_k", "_s")
+    w = Window.partitionBy(key, "_segment").orderBy("_place")
+    rows = rows.withColumn("_stretch", F.count(F.when(clears, 1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = F.max(level).over(Window.partitionBy(key, "_segment", "_stretch").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_level", F.greatest(inside, F.when(F.col("_stretch") == 0, F.col("_start")).otherwise(0)))
+    rows = rows.withColumn("_before", F.coalesce(F.lag("_level").over(w), F.col("_start")))
     name = lambda c: F.when(c == 2, "HIHI").otherwise("HI")
     found = rows.where(F.when(clears, F.col("_before") > 0).otherwise(F.col("_level") > F.col("_before")))
     kind, state = F.when(clears, name(F.col("_before"))).otherwise(name(F.col("_level"))), F.when(clears, "CLEARED").otherwise("ACTIVE")

@@ -8,9 +8,10 @@ import pytest
 from core_data import DATA
 
 from gneiss import queries as batch
+from gneiss.sources import queries as source
 from gneiss.streaming import queries as stream
 
-ALL, SQL = batch.QUERIES | stream.QUERIES, batch.ORACLE_SQL | stream.ORACLE_SQL
+ALL, SQL = batch.QUERIES | source.QUERIES | stream.QUERIES, batch.ORACLE_SQL | source.ORACLE_SQL | stream.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")

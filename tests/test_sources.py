@@ -1,5 +1,7 @@
+import io
 import json
 import os
+import random
 import struct
 import zlib
 
@@ -8,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gneiss.plans import contracts
-from gneiss.sources import formats, readers
-from gneiss.sources.store import Audit, Table, committed_since_complete
+from gneiss.sources import batches, dumps, formats, readers
+from gneiss.sources.batches import Audit, committed_since_complete
 
 DUMP = """CREATE TABLE `equi` (
   `equnr` varchar(18) NOT NULL,
@@ -27,6 +29,64 @@ def test_dump(spark, tmp_path):
     assert [(r["equnr"], r["eqktx"], r["press"], r["absent"]) for r in rows] == [("E1", "O'Brien, 'x' (a)", "12.5", None), ("E2", None, None, None), ("E3", "line\nend", "-3", None)]
 
 
+def dump_value(rnd):
+    """(as written in a dump, as read) of a value."""
+    kind = rnd.random()
+    if kind < 0.3:
+        return ("NULL", None) if kind < 0.15 else (str(n := rnd.randint(-99, 99)), str(n))
+    bits = ["a", "'", "\\", ",", "(", ")", ";", "\n", "--", " ", "#", "/*", "*/", '"', "`", "INSERT INTO `t` VALUES (1);", "é"]
+    s = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 8)))
+    slashed = s.replace("\\", "\\\\")
+    if '"' not in s and kind > 0.9:
+        return f'"{slashed}"', s
+    return "'" + (slashed.replace("'", "''") if kind > 0.6 else slashed.replace("'", "\\'").replace("\n", "\\n")) + "'", s
+
+
+def dump_of(rnd):
+    """A dump of table t with comments, other statements and column lists, and the rows it holds."""
+    out = ["-- dump; it's a \"test\"\n/*!40101 SET x='y;' */;\n/* c ' */ # it's\nCREATE TABLE `t` (\n `a` int DEFAULT 'x,y',\n `b` decimal(9,1),\n PRIMARY KEY (`a`,`b`)\n) ENGINE=x;\nINSERT INTO `u` VALUES (1,2);\n"]
+    rows = []
+    for _ in range(rnd.randint(0, 6)):
+        pairs = [(dump_value(rnd), dump_value(rnd)) for _ in range(rnd.randint(1, 4))]
+        rows += [(a[1], b[1]) for a, b in pairs]
+        head = rnd.choice(["INSERT INTO `t` VALUES ", "insert ignore into db.t\nvalues\n", "-- x'\nINSERT INTO t (`a`, b) VALUES "])
+        out.append(head + rnd.choice([",", ",\n", " , "]).join(f"({a[0]},{b[0]})" for a, b in pairs) + rnd.choice([";\n", ";", " ;\n"]))
+    return "".join(out), rows
+
+
+@pytest.mark.parametrize("range_bytes", [1, 7, 40, 1 << 20])
+def test_dump_ranges_in_any_place(range_bytes):
+    rnd = random.Random(range_bytes)
+    for _ in range(60):
+        text, expected = dump_of(rnd)
+        data, state, found, creates = text.encode(), "", [], []
+        for at in range(0, len(data), range_bytes):
+            f = io.BytesIO(data)
+            begin, end = (dumps._from_mark(f, min(len(data), x), len(data)) for x in (at, at + range_bytes))
+            for s in dumps.statements(f, begin, end, state, len(data)) if end > begin else ():
+                s = s[dumps._LEADING.match(s).end() :]
+                rows = dumps.insert_rows(s, "t")
+                found += map(tuple, rows[1]) if rows else ()
+                creates += [c for c in [dumps.create_columns(s, "t")] if c]
+            state = dumps.after(data[begin:end], state) if end > begin else state
+        assert (found, creates, state) == (expected, [["a", "b"]], "")
+
+
+def test_dump_in_many_tasks(spark, tmp_path):
+    rnd, expected = random.Random(9), []
+    for name in ("a.sql", "b.sql"):
+        text, rows = dump_of(rnd)
+        while len(rows) < 6:
+            text, rows = dump_of(rnd)
+        (tmp_path / name).write_text(text)
+        expected += [(name, i, b, a, None) for i, (a, b) in enumerate(rows, 1)]
+    found = dumps.read_dump(spark, str(tmp_path), "t", ["b", "a", "absent"], range_bytes=50)
+    assert found.rdd.getNumPartitions() > 4 and sorted(map(tuple, found.collect()), key=lambda r: r[:2]) == expected
+    assert dumps.read_dump(spark, str(tmp_path), "nothing", ["a"]).count() == 0
+    (tmp_path / "c.txt").write_text("")
+    assert dumps.read_dump(spark, str(tmp_path / "c.txt"), "t", ["a"]).count() == 0
+
+
 def test_psv_and_trailer(spark, tmp_path):
     (tmp_path / "w.psv").write_text("aufnr|cost|extra\n1|2.5|x\n2||y\nT|3|2.50\n")
     rows = readers.read_psv(spark, str(tmp_path / "w.psv"), ["cost", "aufnr", "none"]).orderBy("aufnr").collect()
@@ -68,41 +128,45 @@ def test_stream_contract(spark):
     assert [r["reject_reasons"] for r in rows] == [[], ["tag:PATTERN", "value:NOT_NUMBER"], ["value:MALFORMED_JSON"], ["value:MALFORMED_JSON"], ["value:MALFORMED_JSON"]]
 
 
-def test_store(spark, tmp_path):
-    t = Table(spark, f"file://{tmp_path}/t", ["d"])
+def test_batches_replace_themselves(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
     row = lambda *x: spark.createDataFrame([*x], "k int, v string, d string")
-    assert t.append_once(row((1, "a", "x"), (2, "b", "y")), "q:0") and not t.append_once(row((9, "z", "x")), "q:0")
-    t.overwrite_partitions(row((3, "c", "x")), {"batch": "B1"})
-    assert sorted(r["k"] for r in t.read().collect()) == [2, 3] and sorted(r["k"] for r in t.read(1).collect()) == [1, 2]
-    t.replace_where(row().limit(0) if False else spark.createDataFrame([], "k int, v string, d string"), "d = 'x'")
-    assert [r["k"] for r in t.read().collect()] == [2]
-    assert t.upsert(row((2, "b", "y"), (4, "e", "y")), ["k"], ["v", "d"]) == {"inserted": 1, "updated": 0, "untouched": 1}
-    before = len(t.commits())
-    assert t.upsert(row((2, "b", "y")), ["k"], ["v", "d"])["untouched"] == 2 and len(t.commits()) == before
-    assert sorted(r["k"] for r in t.read_as_of_batch("B1").collect()) == [2, 3]
-    t.rollback(1)
-    assert sorted(r["k"] for r in t.read().collect()) == [1, 2]
-    assert t.history().orderBy("version").select("operation").first()[0] == "append"
-
-
-def test_store_keeps_untouched_partitions(spark, tmp_path):
-    t = Table(spark, f"file://{tmp_path}/t", ["d"])
-    row = lambda *x: spark.createDataFrame([*x], "k int, d string")
-    t.append(row((1, "2024-01-01"), (2, "a b%20c/é"), (3, None)))
-    assert {r["k"]: r["d"] for r in t.read().collect()} == {1: "2024-01-01", 2: "a b%20c/é", 3: None}
-    first = t._newest()["parts"]
-    t.overwrite_partitions(row((4, "2024-01-01"), (5, "new")))
-    second = t._newest()["parts"]
-    assert len(first) == 3 and len(set(first) & set(second)) == 2 and len(second) == 4
-    assert sorted(r["k"] for r in t.read().collect()) == [2, 3, 4, 5]
-    t.replace_where(row((6, "late")), "k in (2, 5)")
-    third = t._newest()["parts"]
-    assert len(set(second) & set(third)) == 2 and sorted(r["k"] for r in t.read().collect()) == [3, 4, 6]
-    t.append(spark.createDataFrame([(7, "x", "late")], "k int, extra string, d string"))
-    assert {r["k"]: r["extra"] for r in t.read().collect()} == {3: None, 4: None, 6: None, 7: "x"}
-    assert t.files().agg({"rows": "sum"}).first()[0] == 4 and t.files(1).agg({"rows": "sum"}).first()[0] == 3
-    t.replace_where(row((0, "x")).where("false"), "true")
-    assert t.read().count() == 0 and t.files().count() == 0 and t.read(1).count() == 3
+    batches.replace_batch(row((1, "a", "x"), (2, "b", "y")), path, "B1", ["d"])
+    batches.replace_batch(row((1, "c", "x")), path, "B2", ["d"])
+    batches.replace_batch(row((1, "d", "z"), (3, "e", "z")), path, "B2", ["d"])  # again, with another partition
+    found = sorted((r["batch_key"], r["k"], r["v"]) for r in batches.read_batches(spark, path).collect())
+    assert found == [("B1", 1, "a"), ("B1", 2, "b"), ("B2", 1, "d"), ("B2", 3, "e")]
+    assert sorted((r["k"], r["v"]) for r in batches.as_of_batch(spark, path, ["k"], "B1").collect()) == [(1, "a"), (2, "b")]
+    batches.replace_batch(row((0, "", "")).where("false"), path, "B1", ["d"])
+    assert {r["batch_key"] for r in batches.read_batches(spark, path).collect()} == {"B2"}
+
+
+def test_fold_and_its_repeats(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/t"
+    row = lambda *x: spark.createDataFrame([*x], "k int, v string, n long, d string")
+    read = lambda: sorted((r["k"], r["v"], r["d"]) for r in spark.read.parquet(path).collect())
+    batches.fold(row((1, "a", 1, "x"), (2, "b", 1, "y"), (3, "c", 1, "y")), path, ["k", "d"], "n", "d", "r1")
+    for _ in range(3):
+        batches.fold(row((2, "B", 2, "y"), (4, "D", 2, "z")), path, ["k", "d"], "n", "d", "r2")
+        assert read() == [(1, "a", "x"), (2, "B", "y"), (3, "c", "y"), (4, "D", "z")]
+    assert len(list((tmp_path / "t" / "d=y").glob("*.parquet"))) == 1 and [x.name for x in (tmp_path / "t" / "_stage").iterdir()] == ["r2"]
+    # A run that dies while partitions are replaced: some are gone, and the repeat brings all back from its stage.
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    own = DataFrameWriter.parquet
+
+    def dies(self, place, *rest, **options):
+        if "_stage" not in place:
+            raise RuntimeError("lost")
+        return own(self, place, *rest, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", dies)
+    with pytest.raises(RuntimeError):
+        batches.fold(row((3, "C", 3, "y")), path, ["k", "d"], "n", "d", "r3")
+    monkeypatch.setattr(DataFrameWriter, "parquet", own)
+    batches.remove(spark, f"{path}/d=y")
+    batches.fold(row((3, "C", 3, "y")), path, ["k", "d"], "n", "d", "r3")
+    assert read() == [(1, "a", "x"), (2, "B", "y"), (3, "C", "y"), (4, "D", "z")]
 
 
 def test_lines_of_split_files(spark, tmp_path):
@@ -122,16 +186,16 @@ def test_lines_of_split_files(spark, tmp_path):
 
 
 def test_audit(spark, tmp_path):
-    loads, lineage = Table(spark, f"file://{tmp_path}/l"), Table(spark, f"file://{tmp_path}/s")
-    a = Audit(loads, lineage, "bronze", "B1")
+    a = Audit(spark, f"file://{tmp_path}/audit", "bronze", "B1")
     for entity, status in (("e1", "COMMITTED"), ("*", "COMPLETED"), ("e2", "COMMITTED")):
         a.load(entity, status)
     a.transform("s", "join", ["a", "b"], "c")
     a.flush()
-    assert [r["entity"] for r in committed_since_complete(loads.read(), "B1").collect()] == ["e2"]
-    contracts.require_completed(loads.read(), "bronze", "B1")
+    assert [r["entity"] for r in committed_since_complete(a.loads(), "B1").collect()] == ["e2"]
+    assert batches.read_batches(spark, f"file://{tmp_path}/audit/lineage").first()["sources"] == ["a", "b"]
+    contracts.require_completed(a.loads(), "bronze", "B1")
     with pytest.raises(RuntimeError):
-        contracts.require_completed(loads.read(), "silver", "B1")
+        contracts.require_completed(a.loads(), "silver", "B1")
 
 
 def test_formats(spark):
@@ -185,22 +249,72 @@ def test_text_operators(spark):
     assert df.select(text.snippet(F.col("o"), ["psi"], 20)).first()[0].count("psi") == 1
 
 
-def test_gps_override_and_nearest_cells(spark):
-    from gneiss.operators import history, joins
+def test_gps_override_and_nearest(spark):
+    from gneiss.operators import history, spatial
 
-    points = spark.createDataFrame([("p1", 10.0, 10.0), ("p2", 50.0, 50.0)], "p string, lat double, lon double")
-    sites = spark.createDataFrame([("s1", 10.001, 10.0), ("s2", 10.003, 10.0)], "s string, lat double, lon double")
-    near = joins.nearest(points, sites, "p", "s", 500.0, cell_deg=0.01)
-    assert [(r["p"], r["s"], r["in_band"]) for r in near.collect()] == [("p1", "s1", True)]
+    points = spark.createDataFrame([("p1", 10.0, 10.0), ("p2", 50.0, 50.0), ("p3", None, 1.0)], "p string, lat double, lon double")
+    sites = spark.createDataFrame([("s1", 10.001, 10.0), ("s2", 10.003, 10.0), ("s0", None, None)], "s string, lat double, lon double")
+    near = spatial.nearest(points, sites, "p", "s", 500.0, crossed_sites=0)
+    assert sorted((r["p"], r["s"], r["in_band"]) for r in near.collect()) == [("p1", "s1", True), ("p2", "s2", False)]
     resolved = spark.createDataFrame([("p1", "s2", "NORMALISED_TAG", 0.95, "MATCHED"), ("p2", None, "NOT_IN_REGISTER", 0.0, "REVIEW")], "p string, s string, rule string, score double, match_status string")
     out = history.gps_override(resolved, near, "p", "s", F.lit(True)).collect()
     assert sorted((r["p"], r["s"], r["match_status"]) for r in out if r["p"] == "p1") == [("p1", "s1", "MATCHED"), ("p1", "s2", "REJECTED")]
 
 
-def test_stream_alarms_and_multi_sink(spark, tmp_path):
+def test_nearest_rings_against_crossing(spark):
+    """Poles, both sides of 180 degrees, copies, ties, a far cluster; first cells far too small and too large."""
+    from gneiss.operators import spatial
+
+    rnd = random.Random(4)
+    odd = [(90.0, 0.0), (90.0, 77.0), (-90.0, 5.0), (0.0, 180.0), (0.0, -180.0), (10.0, 179.9999), (10.0, -179.9999), (80.0, 179.99), (80.0, -179.99), (0.0, 0.0)]
+    places = odd + [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(60)] + [(45 + rnd.random() / 1e4, 45 + rnd.random() / 1e4) for _ in range(60)]
+    points = spark.createDataFrame([(i, *x) for i, x in enumerate(places)], "p int, lat double, lon double")
+    sites = spark.createDataFrame([(i, *x) for i, x in enumerate(rnd.sample(places, 40) * 2 + [(45.0, 45.0), (-10.0, 179.9)])], "s int, lat double, lon double")
+    rows = lambda df: sorted((r["p"], r["s"], round(r["distance_m"], 3)) for r in df.collect())
+    crossed = rows(spatial.nearest(points, sites, "p", "s", crossed_sites=10_000))
+    assert len(crossed) == len(places)
+    for side in (None, 0.01, 2.0):
+        assert rows(spatial.nearest(points, sites, "p", "s", crossed_sites=0, first_side=side)) == crossed
+    assert spatial.nearest(points, sites.where("s < 0"), "p", "s").count() == 0 and spatial.nearest(points.where("p < 0"), sites, "p", "s", crossed_sites=0).count() == 0
+
+
+def test_long_series_in_segments(spark):
+    """Rolling scores and alarms of one long series, cut in many segments, equal those of one window and of a loop."""
+    from gneiss.operators import windows
+    from gneiss.streaming import telemetry
+
+    rnd = random.Random(1)
+    rows = [(k, i, float(rnd.choice([50, 90, 86, 84, 120, 130, 260, 251, 249]))) for k in ("a", "b") for i in range(400 if k == "a" else 30)]
+    df = spark.createDataFrame(rows, "k string, t long, v double").withColumn("s", F.col("t")).repartition(6)
+    active, expected = {}, []
+    for k, t, v in rows:
+        active[k], event = telemetry.alarm_step(active.get(k), v, 100.0, 250.0)
+        expected += [(k, t, *event)] if event else []
+    for n in (1, 7, 1000):
+        found = telemetry.alarms(df, "k", "t", "v", "s", 100.0, 250.0, segment_rows=n)
+        assert sorted((r["k"], r["event_ts"], r["alarm_type"], r["state"]) for r in found.collect()) == sorted(expected)
+    scores = lambda n: sorted((r["k"], r["t"], r["baseline"], r["zscore"]) for r in windows.rolling_zscore(df, "k", ["t"], "v", rows=5, threshold=1.0, segment_rows=n).collect())
+    assert len(scores(1000)) > 20 and scores(3) == scores(7) == scores(1000)
+
+
+def test_search_index(spark, tmp_path):
+    from gneiss.operators import search
+
+    docs = spark.createDataFrame([(1, "The pump house pump"), (2, "a valve-7 by the pump house"), (3, None), (4, "nothing else here"), (5, "the pump house pump")], "k int, text string")
+    one, many = f"file://{tmp_path}/one", f"file://{tmp_path}/many"
+    search.build_index(docs.coalesce(1), "k", "text", one)
+    search.build_index(docs.repartition(3), "k", "text", many, segment_postings=2)
+    found = [[tuple(r) for r in search.search(spark, f, "pump House, the unknown", 3).collect()] for f in (one, many)]
+    assert found[0] == found[1] and [k for k, _ in found[0]] == [1, 5, 2] and found[0][0][1] == found[0][1][1]
+    assert search.search(spark, one, "unknown words").count() == 0
+    search.build_index(docs.where("false"), "k", "text", f"file://{tmp_path}/none")
+    assert search.search(spark, f"file://{tmp_path}/none", "pump").count() == 0
+
+
+def test_stream_alarms_and_batch_folders(spark, tmp_path):
     from gneiss.streaming import telemetry
 
-    t = Table(spark, f"file://{tmp_path}/alarms")
+    path = f"file://{tmp_path}/alarms"
     src = tmp_path / "in"
     src.mkdir()
     for i, v in enumerate((120.0, 260.0, 50.0)):
@@ -208,6 +322,6 @@ def test_stream_alarms_and_multi_sink(spark, tmp_path):
         os.utime(src / f"{i}.json", (1_760_000_000 + i, 1_760_000_000 + i))  # files come in the order of their times
     stream = spark.readStream.schema("tag string, ts timestamp, value double, seq long").option("maxFilesPerTrigger", 1).json(str(src))
     events = telemetry.stream_alarms(stream, "tag", "ts", "value", "seq", 100.0, 250.0)
-    sink = telemetry.multi_sink({"alarms": (lambda b: b.select("tag", "seq", "alarm_type", "state"), t)}, "q")
+    sink = telemetry.batch_folders({"alarms": (lambda b: b.select("tag", "seq", "alarm_type", "state"), path)})
     events.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
-    assert sorted((r["seq"], r["alarm_type"], r["state"]) for r in t.read().collect()) == [(0, "HI", "ACTIVE"), (1, "HIHI", "ACTIVE"), (2, "HIHI", "CLEARED")]
+    assert sorted((r["seq"], r["alarm_type"], r["state"]) for r in spark.read.parquet(f"{path}/_b=*").collect()) == [(0, "HI", "ACTIVE"), (1, "HIHI", "ACTIVE"), (2, "HIHI", "CLEARED")]
