@@ -170,8 +170,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(0.0)
     share = min(_SAMPLE_BUCKETS, max(1, int(_SAMPLE_BUCKETS * sample_rows / count)))
     sample = usable.where(F.pmod(F.xxhash64("_id"), F.lit(_SAMPLE_BUCKETS)) < share)
-    rows = with_statistics(docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id"), "_text")
-    rows = rows.dropDuplicates(["_id", "_y"]).select("_id", "_y", *(f"_{s}" for s in STATISTICS)).orderBy("_id", "_y").collect()
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_hash"))
+    rows = with_statistics(texts.join(F.broadcast(sample), "_id"), "_text")
+    # Of an id's several texts always the same one, so that a task that runs again changes nothing.
+    own = F.min_by(F.struct(*(f"_{s}" for s in STATISTICS)), "_hash").alias("_s")
+    rows = rows.groupBy("_id", "_y").agg(own).select("_id", "_y", "_s.*").orderBy("_id", "_y").collect()
     x = np.array([r[2:] for r in rows], dtype=np.float64).reshape(len(rows), len(STATISTICS))
     return fit(x, np.array([r["_y"] for r in rows], dtype=np.float64))
 
@@ -186,6 +189,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     A null text is scored as an empty one. held_out is null for a null id, which is scored all the same. Repeated rows
     each give a row; without any usable label every score is one half. Other columns, whatever their names, are ignored.
+    An empty table gives no rows. Of a labelled id's several texts the one of the smallest hash is learned.
     """
     model = train(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -64,6 +64,8 @@ class Codec:
         self.chars = {self.pieces[i]: i for i in usable if len(self.pieces[i]) == 1}
         self.long = [i for i in usable if len(self.pieces[i]) > 1]
         scores = np.array([model.get_score(i) for i in self.long])
+        if (scores != np.round(scores)).any():  # merge ranks are whole numbers, the log probabilities of other models are not
+            raise ValueError(f"{path} is not a byte-pair model")
         self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
         self.sizes = np.array([len(self.pieces[i]) for i in self.long], dtype=np.int64)
         self.width = int(self.sizes.max(initial=1))
@@ -258,7 +260,8 @@ def codec(path: str) -> Codec:
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
     """(id_col, n_pieces, ids binary, ids_crc32, text_crc32): ids of each whole text and the crc32 of the decoded ids.
 
-    A null text counts as empty and has no ids. Ids may be null or repeat; other columns are ignored. The mark U+2581 in
+    A null text counts as empty and has no ids. Ids may be null or repeat; other columns are ignored; an
+    empty table gives no rows. The mark U+2581 in
     a text reads as a space, as in the file's own encoder. with_ids=False leaves the ids null.
     """
     bounded_batches(docs.sparkSession)

@@ -23,8 +23,8 @@ from gneiss.llm.tokens import END_ID, decoded, default_path, encoder
 
 MAGIC = b"GNTOKEN1"
 SAMPLE = 512
-#: A partition starts another file after so many ids.
-FILE_IDS = 16_000_000
+#: A partition starts another file after so many ids or documents.
+FILE_IDS, FILE_DOCUMENTS = 16_000_000, 1_000_000
 _BATCH_BYTES = 8_000_000
 _MANIFEST = "part int, piece int, path string, n_docs long, n_ids long"
 
@@ -116,7 +116,7 @@ def _open(folder: str):
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, file_ids: int = FILE_IDS) -> DataFrame:
     """Write all documents in ascending id order (nulls first, equal ids by the text's hash); returns the settled manifest.
 
-    Partitions are ranges of ids. A file is written under a name of its own and then renamed to one that its place
+    A null text has the end id alone; an empty table writes no file. Partitions are ranges of ids. A file is written under a name of its own and then renamed to one that its place
     gives, so a repeated task replaces the same file with the same bytes.
     """
     bounded_batches(docs.sparkSession)
@@ -144,7 +144,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                 doc_ids.append(doc_id)
                 ids.append(x + end)
                 held += len(x) // 4 + 1
-                if held >= file_ids:
+                if held >= file_ids or len(ids) >= FILE_DOCUMENTS:
                     yield flush()
         if ids:
             yield flush()

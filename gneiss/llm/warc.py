@@ -66,7 +66,7 @@ def _damaged(strict: bool, what: str) -> None:
         raise ValueError(what)
 
 
-def records(source, wanted, with_payload: bool, strict: bool = True) -> Iterator[tuple[dict[str, str], bytes | None]]:
+def records(source, wanted, with_payload: bool, strict: bool = True, size: int | None = None) -> Iterator[tuple[dict[str, str], bytes | None]]:
     """(headers, payload) of the records whose headers ``wanted`` accepts; other blocks are passed over undecoded.
 
     Header names are matched whatever their case. A damaged record (no version line where one is due, no valid length,
@@ -86,25 +86,32 @@ def records(source, wanted, with_payload: bool, strict: bool = True) -> Iterator
         if not (length.isascii() and length.isdigit()):
             _damaged(strict, f"a WARC record has the length {length!r}")
             continue
-        left = int(length)
-        if wanted(headers):
+        keep = wanted(headers)
+        block = source.read(int(length)) if keep and with_payload else None
+        read = _passed(source, int(length), size) if block is None else len(block)
+        if read < int(length):
+            _damaged(strict, f"a WARC record of {length} bytes ends after {read}")
+            return
+        if keep:
             payload = None
-            if with_payload:
-                block, left = source.read(left), 0
-                if len(block) < int(length):
-                    _damaged(strict, f"a WARC record of {length} bytes ends after {len(block)}")
-                    return
+            if block is not None:
                 if headers.get("WARC-Type") == "response" and headers.get("Content-Type", "").startswith("application/http"):
                     payload = block.partition(b"\r\n\r\n")[2]
                 elif headers.get("WARC-Type") != "revisit":
                     payload = block
             yield headers, payload
-        if left:
-            if source.seekable() and not isinstance(source, gzip.GzipFile):
-                source.seek(left, io.SEEK_CUR)
-            else:
-                while left:
-                    left -= len(source.read(min(left, _SKIP))) or left
+
+
+def _passed(source, length: int, size: int | None) -> int:
+    """Pass over so many bytes, in a plain file of a known size without reading them; how many there were."""
+    if size is not None:
+        there = min(length, size - source.tell())
+        source.seek(there, io.SEEK_CUR)
+        return there
+    left = length
+    while left and (part := source.read(min(left, _SKIP))):
+        left -= len(part)
+    return length - left
 
 
 @dataclass
@@ -159,8 +166,9 @@ class WarcReader(DataSourceReader):
         store, _ = _open(self.folder)
         rows, held = [], 0
         with store.open_input_file(partition.path) as raw:
-            source = gzip.GzipFile(fileobj=raw) if partition.path.endswith(".gz") else io.BufferedReader(raw, 1 << 16)
-            for headers, payload in self._records(source):
+            packed = partition.path.endswith(".gz")
+            source = gzip.GzipFile(fileobj=raw) if packed else io.BufferedReader(raw, 1 << 16)
+            for headers, payload in self._records(source, None if packed else raw.size()):
                 values = {c: _number(headers.get(h)) if c in _NUMBERS else headers.get(h) for c, h in HEADER_COLUMNS.items()}
                 rows.append(values | {"content_length": int(headers.get("Content-Length", 0)), "headers": list(headers.items()), "payload": payload})
                 held += len(payload or b"") + 500
@@ -170,9 +178,9 @@ class WarcReader(DataSourceReader):
         if rows:
             yield self._batch(rows)
 
-    def _records(self, source) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    def _records(self, source, size: int | None) -> Iterator[tuple[dict[str, str], bytes | None]]:
         try:
-            yield from records(source, self.wanted, self.with_payload, self.strict)
+            yield from records(source, self.wanted, self.with_payload, self.strict, size)
         except (EOFError, zlib.error, gzip.BadGzipFile):  # the rest of a compressed file cannot be read
             if self.strict:
                 raise

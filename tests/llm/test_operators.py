@@ -384,6 +384,10 @@ def test_warc_of_other_writers_and_damage(spark, tmp_path):
     with pytest.raises(Exception, match="WARC|EOF|end-of-stream"):
         warc.read_warc(spark, f"file://{tmp_path}").collect()
     found = spark.read.format("warc").option("mode", "DROPMALFORMED").load(f"file://{tmp_path}").collect()
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "d.warc").write_bytes(good[0] + good[2][:-60])
+    with pytest.raises(Exception, match="ends after"):  # seen without reading the block
+        spark.read.format("warc").option("payload", "false").load(f"file://{tmp_path}/d").collect()
     assert sorted((r["page_id"] if r["page_id"] is not None else -1, r["target_uri"]) for r in found if len(r["payload"]) == 120) == [(-1, "http://1"), (0, "http://0"), (2, "http://2")]
 
 
@@ -400,7 +404,7 @@ def test_warc_skips_unwanted_blocks(tmp_path):
             Source.read_bytes += len(out)
             return out
 
-    found = list(warc.records(Source(data), lambda h: h["X-Page-ID"] == "1", True))
+    found = list(warc.records(Source(data), lambda h: h["X-Page-ID"] == "1", True, size=len(data)))
     assert [p for _, p in found] == [b"x" * 50] and Source.read_bytes < 200
 
 
