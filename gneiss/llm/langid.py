@@ -95,9 +95,9 @@ class Model:
             ends = np.cumsum(sizes)
             step = max(1, 4 * _CELLS // k)
             for lo in range(0, len(trigrams), step):  # a run of letters may be very long
-                owner = np.searchsorted(ends, np.arange(lo, min(lo + step, len(trigrams))), "right")
-                own, begin = np.unique(owner, return_index=True)
-                sums[own] += np.add.reduceat(self.weights[trigrams[lo : lo + step]], begin, axis=0)
+                first, last = np.searchsorted(ends, [lo, min(lo + step, len(trigrams)) - 1], "right")
+                begin = np.maximum((ends - sizes)[first : last + 1] - lo, 0)
+                sums[first : last + 1] += np.add.reduceat(self.weights[trigrams[lo : lo + step]], begin, axis=0)
             self.cache.update(zip(missing, sums, strict=True))
         out = np.array([self.cache[w] for w in words], dtype=np.float64).reshape(len(words), k)
         for w in missing:
@@ -352,14 +352,17 @@ def predict_texts(model: Model | None, texts: list[str]) -> tuple[list[str], lis
     """Language and score of each text. Texts of like length are labelled together, a bounded group at a time."""
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     words = [words_of(t) for t in texts]
-    held: list[int] = []
     order = sorted((i for i, w in enumerate(words) if w), key=lambda i: len(words[i])) if model else []
+    even = model is not None and len(model.labels) <= _CHUNKED  # chunks are as long as each other, else lanes as the longest text
+    held: list[int] = []
+    places = 0
     for i, after in zip(order, [*order[1:], None], strict=True):
         held.append(i)
-        if after is None or (len(held) + 1) * len(words[after]) * len(model.labels) > _CELLS:
+        places += len(words[i])
+        if after is None or (places + len(words[after]) if even else (len(held) + 1) * len(words[after])) * len(model.labels) > _CELLS:
             for j, row in zip(held, model.means([words[j] for j in held]), strict=True):
                 langs[j], scores[j] = model.labels[row.argmax()], float(min(1.0, row.max()))
-            held = []
+            held, places = [], 0
     return langs, scores
 
 
