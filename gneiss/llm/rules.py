@@ -75,7 +75,7 @@ def common_words(docs: DataFrame, text_col: str, lang_col: str, per_language: in
     language go on to the last ranking.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t")).where("lang is not null and t is not null")
-    words = rows.select("lang", F.explode(F.array_distinct(F.filter(words_of(F.col("t")), lambda x: F.length(x) <= COMMON_CHARS))).alias("word"))
+    words = rows.select("lang", F.explode(F.array_distinct(words_of(F.col("t")))).alias("word")).where(F.length("word") <= COMMON_CHARS)
     held = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).where(F.col("word").rlike("\\p{L}"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     found = held.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "word").collect()
