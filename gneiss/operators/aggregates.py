@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.operators import ranks
+from gneiss.session import settle
 
 
 def slope_per_hour(seconds: Column, value: Column) -> Column:
@@ -68,6 +69,7 @@ def ood_distance(df: DataFrame, key: str, vector: str, quantile: float = 0.995)
     stats = by.agg(F.sort_array(F.collect_list(F.struct("i", "m", "s"))).alias("_stats"))  # a place for each component
     square = F.zip_with(vector, "_stats", lambda x, s: F.pow((x.cast("double") - s["m"]) / s["s"], 2))
     z = df.crossJoin(F.broadcast(stats)).select(key, (F.aggregate(square, F.lit(0.0), lambda a, x: a + x) / F.size(vector)).alias("distance"))
+    z = settle(z)  # read twice, and two numbers a row
     limit = ranks.quantiles(z, "distance", [quantile])[0]
     return z.select(key, "distance", (F.col("distance") > F.lit(limit)).alias("is_ood"))
 

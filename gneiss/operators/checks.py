@@ -13,14 +13,20 @@ from gneiss.functions.columns import recon_status
 CHECK_COLUMNS = ["layer", "entity", "check_name", "expected", "actual", "explained_by", "status", "detail"]
 
 
-def check(df: DataFrame, layer: str, entity: Column | str, name: str, expected: Column, actual: Column, explained: Column | None = None, late: Column | None = None, detail: Column | None = None) -> DataFrame:
+def check(
+    df: DataFrame, layer: str, entity: Column | str, name: str, expected: Column, actual: Column, explained: Column | None = None, late: Column | None = None,
+    detail: Column | None = None,
+) -> DataFrame:
     """Check rows of a frame that has expected and actual values; ``late`` sets the status LATE over a mismatch."""
     status = recon_status(expected, actual, explained)
     if late is not None:
         status = F.when(late & (status == "MISMATCH"), "LATE").otherwise(status)
     entity = F.lit(entity) if isinstance(entity, str) else entity
     d = lambda c: (c if c is not None else F.lit(None)).cast("double")
-    return df.select(F.lit(layer).alias("layer"), entity.alias("entity"), F.lit(name).alias("check_name"), d(expected).alias("expected"), d(actual).alias("actual"), d(explained).alias("explained_by"), status.alias("status"), (detail if detail is not None else F.lit("")).alias("detail"))
+    return df.select(
+        F.lit(layer).alias("layer"), entity.alias("entity"), F.lit(name).alias("check_name"), d(expected).alias("expected"), d(actual).alias("actual"),
+        d(explained).alias("explained_by"), status.alias("status"), (detail if detail is not None else F.lit("")).alias("detail"),
+    )
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -130,7 +136,10 @@ def minute_counts(control: DataFrame, landed: DataFrame, quarantined: DataFrame,
     return check(both, "stream", F.date_format("minute", "yyyy-MM-dd HH:mm"), "minute_counts", F.col("total"), F.col("landed") + F.col("held"), late=F.col("minute") > F.col("_newest") - F.expr(grace))
 
 
-def stream_records(control: DataFrame, landed: DataFrame, quarantined: DataFrame, table: str, key: str, keys: tuple[str, ...] = ("minute", "producer_run"), grace: str = "INTERVAL 10 MINUTES") -> DataFrame:
+def stream_records(
+    control: DataFrame, landed: DataFrame, quarantined: DataFrame, table: str, key: str, keys: tuple[str, ...] = ("minute", "producer_run"),
+    grace: str = "INTERVAL 10 MINUTES",
+) -> DataFrame:
     """A stream's landed and quarantined messages against its control counts, and its repeated ids (none are expected).
 
     control: (keys, total). Missing messages are LATE if every minute that lacks any lies within the grace of the newest
@@ -146,7 +155,10 @@ def stream_records(control: DataFrame, landed: DataFrame, quarantined: DataFrame
     both = both.crossJoin(newest)
     short = F.col("_landed") + F.col("_held") < F.col("total")
     recent = F.col(keys[0]) >= F.col("_newest") - F.expr(grace)
-    sums = both.agg(F.sum("total").alias("_n"), F.sum(F.col("_landed") + F.col("_held")).alias("_got"), F.sum("_rows").alias("_rows"), F.sum("_landed").alias("_ids"), F.count_if(short).alias("_short"), F.count_if(short & recent).alias("_recent"))
+    sums = both.agg(
+        F.sum("total").alias("_n"), F.sum(F.col("_landed") + F.col("_held")).alias("_got"), F.sum("_rows").alias("_rows"), F.sum("_landed").alias("_ids"),
+        F.count_if(short).alias("_short"), F.count_if(short & recent).alias("_recent"),
+    )
     late = (F.col("_short") > 0) & (F.col("_short") == F.col("_recent"))
     records = check(sums, "stream", table, "stream_records", F.col("_n"), F.col("_got"), late=late, detail=F.concat(F.col("_short").cast("string"), F.lit(" minute(s) short")))
     return union([records, check(sums, "stream", table, "stream_duplicates", F.lit(0), F.col("_rows") - F.col("_ids"))])
@@ -174,7 +186,9 @@ def gate(metrics: DataFrame, limits: Mapping[str, tuple[str, float]], champion:
     rows = [(m, m, op, v) for m, op, v in wanted] + ([("auroc_vs_champion", "auroc", ">=", champion - regression)] if champion is not None else [])
     table = F.array(*(F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value"), F.lit(op).alias("comparison"), F.lit(v).alias("limit_value")) for n, c, op, v in rows))
     out = metrics.select(F.explode(table).alias("g")).select("g.*")
-    passed = F.when(F.col("comparison") == ">=", F.col("value") >= F.col("limit_value")).when(F.col("comparison") == "<=", F.col("value") <= F.col("limit_value")).otherwise(F.col("value") == F.col("limit_value"))
+    passed = F.when(
+        F.col("comparison") == ">=", F.col("value") >= F.col("limit_value"),
+    ).when(F.col("comparison") == "<=", F.col("value") <= F.col("limit_value")).otherwise(F.col("value") == F.col("limit_value"))
     return out.withColumn("passed", passed)
 
 

@@ -52,6 +52,27 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: S
     return joined.select(*keys, *(F.when(take, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in columns), change.alias("_change"))
 
 
+def daily_snapshots(changes: DataFrame, key: str, fields: Sequence[str], at: str, seq: str, first: str, last: str, op: str = "op") -> DataFrame:
+    """(day, key, fields): the register as it stood at the end of each day from first to last (dates as text).
+
+    changes hold op (I, U, D), the fields (null where a change leaves one as it was), a time and a number that orders
+    changes of one time. A field's value is the newest one given since the object was last inserted. A key is in a day's
+    snapshot from its insert on, unless deleted. Changes are reduced to one state for each key and day of change before
+    days are filled, so only the snapshots themselves are as many rows as keys times days.
+    """
+    order = Window.partitionBy(key).orderBy(at, seq)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    lives = F.count(F.when(F.col(op) == "I", 1)).over(upto)
+    rows = changes.withColumn("_life", lives)
+    inside = Window.partitionBy(key, "_life").orderBy(at, seq).rowsBetween(Window.unboundedPreceding, 0)
+    states = rows.select(key, "_life", F.to_date(at).alias("_from"), F.struct(at, seq).alias("_at"), (F.col(op) == "D").alias("_gone"), *(F.last(f, True).over(inside).alias(f) for f in fields))
+    by_day = states.groupBy(key, "_from").agg(F.max_by(F.struct("_life", "_gone", *fields), "_at").alias("s"))
+    until = F.lead("_from").over(Window.partitionBy(key).orderBy("_from"))
+    spans = by_day.withColumn("_to", F.coalesce(F.date_sub(until, 1), F.to_date(F.lit(last)))).where("not s._gone and s._life > 0")
+    a, b = F.greatest("_from", F.to_date(F.lit(first))), F.least("_to", F.to_date(F.lit(last)))
+    return spans.where(a <= b).select(F.explode(F.sequence(a, b)).alias("day"), key, *(F.col(f"s.{f}").alias(f) for f in fields))
+
+
 def first_seen_candidates(sources: Mapping[str, tuple[DataFrame, str, str, str]], until: str | None = None) -> DataFrame:
     """(system, src_key, src_name, norm_key, lat, lon, first_seen): each name that a system uses for one of its objects,
     with the first date it was seen and its mean place.

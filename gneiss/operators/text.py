@@ -44,6 +44,12 @@ def tags(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
+def block(text: Column, heading: str, end: str = r"\n[ \t]*\n") -> Column:
+    """What follows a heading up to a blank line (or another end) or the text's end; null without the heading."""
+    found = F.regexp_extract(text, rf"(?s){heading}[^\n]*\n(.*?)(?:{end}|\z)", 1)
+    return F.when(text.rlike(heading), found)
+
+
 def snippet(text: Column, terms: Sequence[str], width: int = 320) -> Column:
     """The text around the first of the terms, line ends as blanks."""
     places = [F.instr(F.lower(text), t.lower()) for t in terms if len(t) > 2] or [F.lit(0)]
@@ -86,7 +92,9 @@ def grounding(df: DataFrame, key: str, output: str, context: str, dimension: Dat
     """
     rows = df.select(key, F.coalesce(F.col(output), F.lit("")).alias("_out"), F.coalesce(F.col(context), F.lit("")).alias("_ctx"), *([F.col(files).alias("_files")] if files else []))
     told = rows.select(key, F.explode(F.array_except(tags(F.col("_out"), pattern), tags(F.col("_ctx"), pattern))).alias(tag))
-    unknown = told.join(small(dimension.select(tag).distinct()), tag, "left_anti").groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("value"), F.array_join(F.array_sort(F.collect_list(tag)), ", ").alias("detail"))
+    unknown = told.join(small(dimension.select(tag).distinct()), tag, "left_anti").groupBy(key).agg(
+        F.count(F.lit(1)).cast("double").alias("value"), F.array_join(F.array_sort(F.collect_list(tag)), ", ").alias("detail"),
+    )
     found = [unknown.select(key, F.lit("UNKNOWN_TAG").alias("rule"), "value", "detail")]
     checked = F.size(F.filter(numbers(F.col("_out")), lambda x: (x != F.floor(x)) | (F.abs(x) >= 10)))
     counts = rows.select(key, checked.alias("_n"), F.size(ungrounded(F.col("_out"), F.col("_ctx"))).alias("_bad"))
@@ -121,7 +129,12 @@ def tickets(df: DataFrame, key: str, markdown: str) -> DataFrame:
     plain = lambda c: F.lower(F.regexp_replace(c, r"^[`\"'<>\s]+|[`\"'<>\s]+$", ""))
     pick = lambda c, allowed: F.coalesce(*(F.when(plain(c) == a.lower(), a) for a in allowed))
     due = F.regexp_replace(get("due_in_days"), "[^0-9]", "").try_cast("bigint")
-    out = blocks.select(key, "ticket_no", F.regexp_replace(get("asset_tag|tag|asset"), "^[`<>]+|[`<>]+$", "").alias("asset_tag"), pick(get("ticket_type|type"), TICKET_TYPES).alias("ticket_type"), F.coalesce(pick(get("priority"), PRIORITIES), F.lit("Medium")).alias("priority"), F.least(F.greatest(F.coalesce(due, F.lit(14)), F.lit(1)), F.lit(180)).cast("int").alias("due_in_days"), get("description").alias("description"), get("evidence").alias("evidence"))
+    out = blocks.select(
+        key, "ticket_no", F.regexp_replace(get("asset_tag|tag|asset"), "^[`<>]+|[`<>]+$", "").alias("asset_tag"),
+        pick(get("ticket_type|type"), TICKET_TYPES).alias("ticket_type"), F.coalesce(pick(get("priority"), PRIORITIES), F.lit("Medium")).alias("priority"),
+        F.least(F.greatest(F.coalesce(due, F.lit(14)), F.lit(1)), F.lit(180)).cast("int").alias("due_in_days"), get("description").alias("description"),
+        get("evidence").alias("evidence"),
+    )
     return out.where("asset_tag <> '' and description <> '' and ticket_type is not null")
 
 

@@ -36,7 +36,10 @@ def scd2(daily: DataFrame, key: str, tracked: Sequence[str], as_of: str = "as_of
     return out.withColumns({"is_current": F.col("valid_to").isNull(), "asset_sk": F.concat_ws("#", F.col(key).cast("string"), F.col("version").cast("string"))}).drop("_sig", "_before", as_of)
 
 
-def rolling_zscore(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int = 24, threshold: float = 3.0, min_change: float = 0.1, judged: Column | None = None, counted: Column | None = None, segment_rows: int = ranks.SEGMENT_ROWS) -> DataFrame:
+def rolling_zscore(
+    df: DataFrame, key: str, order: Sequence[str], value: str, rows: int = 24, threshold: float = 3.0, min_change: float = 0.1, judged: Column | None = None,
+    counted: Column | None = None, segment_rows: int = ranks.SEGMENT_ROWS,
+) -> DataFrame:
     """Rows whose value deviates from the ``rows`` rows before them (the row itself left out).
 
     ``counted`` rows make the reference, at least half as many as ``rows`` are needed; only ``judged`` rows are reported.

@@ -108,7 +108,10 @@ def parse_stream(df: DataFrame, contract: Contract, value_col: str = "value") ->
     m = F.from_json(F.col(value_col), schema, {"columnNameOfCorruptRecord": "_corrupt"})
     rest = [c for c in df.columns if c != value_col]
     rows = df.select(*rest, F.col(value_col).alias("payload"), m.alias("m"))
-    rows = rows.select(*rest, "payload", *(F.col("m")[n].alias(n) for n in contract.names), F.col("m")["producer_run"].alias("producer_run"), (F.col("payload").isNull() | F.col("m")["_corrupt"].isNotNull() | ~F.col("payload").rlike(r"^\s*\{")).alias("_bad"))
+    rows = rows.select(
+        *rest, "payload", *(F.col("m")[n].alias(n) for n in contract.names), F.col("m")["producer_run"].alias("producer_run"),
+        (F.col("payload").isNull() | F.col("m")["_corrupt"].isNotNull() | ~F.col("payload").rlike(r"^\s*\{")).alias("_bad"),
+    )
     reject, _ = checks(contract, all_reject=True)
     found = F.when(F.col("_bad"), F.array(F.lit("value:MALFORMED_JSON"))).otherwise(reasons(reject))
     return rows.withColumn("reject_reasons", found).select(*rest, "payload", *typed_columns(contract), "producer_run", "reject_reasons")

@@ -40,7 +40,10 @@ def date_dim(dates: DataFrame, column: str) -> DataFrame:
     """The calendar from the first to the last date: keys, ISO week, day of week (1 Sunday)."""
     span = dates.agg(F.min(column).cast("date").alias("a"), F.max(column).cast("date").alias("b"))
     d = span.where("a is not null").select(F.explode(F.sequence("a", "b")).alias("day"))
-    return d.select("day", F.date_format("day", "yyyyMMdd").cast("int").alias("date_key"), F.year("day").alias("year"), F.month("day").alias("month"), F.weekofyear("day").alias("iso_week"), F.dayofweek("day").alias("day_of_week"))
+    return d.select(
+        "day", F.date_format("day", "yyyyMMdd").cast("int").alias("date_key"), F.year("day").alias("year"), F.month("day").alias("month"),
+        F.weekofyear("day").alias("iso_week"), F.dayofweek("day").alias("day_of_week"),
+    )
 
 
 def dated_parameters(spark, date: str, definitions: dict) -> DataFrame:

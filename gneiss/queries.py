@@ -70,10 +70,15 @@ def risk_worklist(spark, d):
     c = c.withColumn("criticality", F.when(seg.isin("MACHINERY", "AUTOMOBILE"), "A").when(seg == "BUILDING", "B").otherwise("C"))
     overdue = (F.datediff("newest", "od") - 30).cast("double")
     cui, coating = F.when(F.col("o_orderstatus") == "F", "YES"), F.when(F.col("o_orderpriority") == "1-URGENT", "POOR")
-    c = c.withColumn("score", C.rule_score(F.col("wl"), F.col("previous_wl"), F.col("breaches"), F.col("corrective"), overdue, cui, coating, F.col("criticality"))).withColumn("is_abstained", F.col("c_acctbal") < -900)
+    c = c.withColumn(
+        "score", C.rule_score(F.col("wl"), F.col("previous_wl"), F.col("breaches"), F.col("corrective"), overdue, cui, coating, F.col("criticality")),
+    ).withColumn("is_abstained", F.col("c_acctbal") < -900)
     e = kpi.with_is_latest(kpi.exposure(c, spark.createDataFrame(WEIGHTS, "parameter string, value double"), score="score"), "od")
     e = ranks.ranked(e, [F.desc("exposure"), F.desc("score"), F.col("o_custkey")], "risk_rank")
-    return e.select(F.col("o_custkey").alias("c_custkey"), "criticality", F.round("score", 6).alias("rule_score"), C.risk_band(F.col("score")).alias("risk_band"), "is_abstained", F.round("exposure", 6).alias("exposure"), F.col("risk_rank").cast("long"), "is_latest")
+    return e.select(
+        F.col("o_custkey").alias("c_custkey"), "criticality", F.round("score", 6).alias("rule_score"), C.risk_band(F.col("score")).alias("risk_band"),
+        "is_abstained", F.round("exposure", 6).alias("exposure"), F.col("risk_rank").cast("long"), "is_latest",
+    )
 
 
 EVENTS = contracts.Contract("events", ("event_id",), (
@@ -175,7 +180,9 @@ def unit_normalise(spark, d):
 """)
 def typed_multi_format_date(spark, d):
     o = table(spark, d, "orders")
-    txt = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd.MM.yyyy")).when(F.col("o_orderstatus") == "O", F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd"))).when(F.col("o_orderpriority") == "5-LOW", "").otherwise("n/a")
+    txt = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd.MM.yyyy")).when(
+        F.col("o_orderstatus") == "O", F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd")),
+    ).when(F.col("o_orderpriority") == "5-LOW", "").otherwise("n/a")
     return o.select("o_orderkey", C.typed(txt, "date").alias("parsed"))
 
 
@@ -184,7 +191,10 @@ def typed_multi_format_date(spark, d):
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber DESC, l_extendedprice DESC, l_suppkey DESC) = 1
 """)
 def latest_wins(spark, d):
-    return windows.latest(table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_suppkey"), ["l_orderkey", "l_partkey"], [F.desc("l_linenumber"), F.desc("l_extendedprice"), F.desc("l_suppkey")])
+    return windows.latest(
+        table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_suppkey"), ["l_orderkey", "l_partkey"],
+        [F.desc("l_linenumber"), F.desc("l_extendedprice"), F.desc("l_suppkey")],
+    )
 
 
 @query("""
@@ -192,14 +202,19 @@ def latest_wins(spark, d):
                CASE WHEN event_type = 'purchase' THEN CAST(value AS VARCHAR) END AS bal, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events),
     i AS (SELECT user_id, max(seq) AS since FROM e WHERE op = 'I' GROUP BY user_id),
     l AS (SELECT e.*, since FROM e LEFT JOIN i USING (user_id) WHERE since IS NULL OR seq >= since),
-    g AS (SELECT user_id, arg_max(seg, seq) FILTER (op <> 'D' AND seg IS NOT NULL) AS seg, arg_max(bal, seq) FILTER (op <> 'D' AND bal IS NOT NULL) AS bal, bool_or(op = 'D') AS gone, bool_or(op = 'I') AS new, max(ts) AS last_changed_at, count(*) AS n_events FROM l GROUP BY user_id)
+    g AS (SELECT user_id, arg_max(seg, seq) FILTER (op <> 'D' AND seg IS NOT NULL) AS seg, arg_max(bal, seq) FILTER (op <> 'D' AND bal IS NOT NULL) AS bal, bool_or(op = 'D') AS gone, bool_or(op = 'I') AS new, max(ts) AS last_changed_at, count(*) AS n_events
+    FROM l GROUP BY user_id)
     SELECT coalesce(c_custkey, user_id) AS id, coalesce(g.seg, CASE WHEN NOT coalesce(g.new, false) THEN c_mktsegment END) AS segment, coalesce(g.bal, CASE WHEN NOT coalesce(g.new, false) THEN CAST(c_acctbal AS VARCHAR) END) AS balance,
            coalesce(gone, false) AS is_deleted, last_changed_at, coalesce(n_events, 0) AS n_events FROM customer FULL JOIN g ON c_custkey = user_id
 """)
 def cdc_replay(spark, d):
     e = table(spark, d, "events")
     op = C.lookup(F.col("event_type"), {"signup": "I", "error": "D"}, "U")
-    e = e.select(F.col("user_id").alias("id"), op.alias("op"), F.when(F.col("event_type").isin("click", "view", "signup"), F.col("event_type")).alias("segment"), F.when(F.col("event_type") == "purchase", F.col("value").cast("string")).alias("balance"), F.col("ts").alias("changed_at"), F.col("event_id").alias("seq"))
+    e = e.select(
+        F.col("user_id").alias("id"), op.alias("op"), F.when(F.col("event_type").isin("click", "view", "signup"), F.col("event_type")).alias("segment"),
+        F.when(F.col("event_type") == "purchase", F.col("value").cast("string")).alias("balance"), F.col("ts").alias("changed_at"),
+        F.col("event_id").alias("seq"),
+    )
     base = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").cast("string").alias("balance"))
     return history.replay(base, e, "id", ["segment", "balance"])
 
@@ -214,7 +229,8 @@ def cdc_change_log(spark, d):
 
 
 @query("""
-    WITH t AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal >= 0), s AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_acctbal < 5000),
+    WITH t AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal >= 0),
+    s AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_acctbal < 5000),
     j AS (SELECT CASE WHEN t.c_custkey IS NULL THEN 'inserted' WHEN s.c_custkey IS NOT NULL AND (t.c_mktsegment IS DISTINCT FROM s.c_mktsegment OR t.c_acctbal IS DISTINCT FROM s.c_acctbal) THEN 'updated' ELSE 'untouched' END AS change,
           CASE WHEN t.c_custkey IS NULL OR (s.c_custkey IS NOT NULL) THEN s.c_acctbal ELSE t.c_acctbal END AS bal FROM t FULL JOIN s ON t.c_custkey = s.c_custkey)
     SELECT change, count(*) AS n, CAST(sum(CAST(bal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM j GROUP BY change
@@ -229,7 +245,8 @@ def upsert_guarded(spark, d):
 @query("""
     WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(event_type, row(ts, event_id)) AS status FROM events GROUP BY ALL),
     c AS (SELECT *, lag(status) OVER (PARTITION BY user_id ORDER BY d) AS before FROM daily QUALIFY before IS DISTINCT FROM status)
-    SELECT user_id, status, d AS valid_from, lead(d) OVER w AS valid_to, row_number() OVER w AS version, valid_to IS NULL AS is_current, user_id || '#' || version AS asset_sk FROM c WINDOW w AS (PARTITION BY user_id ORDER BY d)
+    SELECT user_id, status, d AS valid_from, lead(d) OVER w AS valid_to, row_number() OVER w AS version, valid_to IS NULL AS is_current, user_id || '#' || version AS asset_sk
+    FROM c WINDOW w AS (PARTITION BY user_id ORDER BY d)
 """)
 def scd2_dim(spark, d):
     daily = table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("as_of_date")).agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("status"))
@@ -294,9 +311,15 @@ _ENTITY = """WITH r AS (SELECT n_nationkey, n_name AS loc, 'K' || CASE WHEN n_re
 
 def _resolved(spark, d):
     n, s = table(spark, d, "nation"), table(spark, d, "supplier")
-    register = n.select("n_nationkey", F.col("n_name").alias("loc"), F.concat(F.lit("K"), F.when(F.col("n_regionkey") < 2, F.col("n_nationkey")).otherwise(100 + F.col("n_regionkey")).cast("string")).alias("key"))
+    register = n.select(
+        "n_nationkey", F.col("n_name").alias("loc"),
+        F.concat(F.lit("K"), F.when(F.col("n_regionkey") < 2, F.col("n_nationkey")).otherwise(100 + F.col("n_regionkey")).cast("string")).alias("key"),
+    )
     key = F.when(F.col("s_acctbal") > 8000, F.lit(999)).when(F.col("s_nationkey") < 12, F.col("s_nationkey")).otherwise(100 + F.col("s_nationkey") % 5)
-    found = s.select("s_suppkey", F.when(F.col("s_acctbal") < 0, F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"))).otherwise(F.col("s_name")).alias("loc"), F.concat(F.lit("K"), key.cast("string")).alias("key"))
+    found = s.select(
+        "s_suppkey", F.when(F.col("s_acctbal") < 0, F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"))).otherwise(F.col("s_name")).alias("loc"),
+        F.concat(F.lit("K"), key.cast("string")).alias("key"),
+    )
     return history.resolve(found, register, "loc", "key", "n_nationkey")
 
 
@@ -337,7 +360,11 @@ def param_pivot(spark, d):
 """)
 def rollup_facility(spark, d):
     c = table(spark, d, "customer")
-    by = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_assets"), F.count_if(F.col("c_acctbal") < 0).alias("n_negative"), F.count_if(F.col("c_mktsegment") == "BUILDING").alias("n_building"), F.min("c_acctbal").alias("min_balance"), F.max("c_acctbal").alias("max_balance"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"))
+    by = c.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n_assets"), F.count_if(F.col("c_acctbal") < 0).alias("n_negative"),
+        F.count_if(F.col("c_mktsegment") == "BUILDING").alias("n_building"), F.min("c_acctbal").alias("min_balance"), F.max("c_acctbal").alias("max_balance"),
+        F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"),
+    )
     return by.join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "n_assets", "n_negative", "n_building", "min_balance", "max_balance", "balance")
 
 
@@ -358,7 +385,9 @@ def coverage_ratio(spark, d):
 """)
 def time_to_review(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
-    return kpi.time_to_review(o, "o_orderpriority", "o_totalprice", "o_orderdate", "o_orderkey", 0.5, "o_totalprice >= 400000").select("o_orderkey", "o_orderpriority", "ordering", F.col("position").cast("long"), "review_h")
+    return kpi.time_to_review(
+        o, "o_orderpriority", "o_totalprice", "o_orderdate", "o_orderkey", 0.5, "o_totalprice >= 400000",
+    ).select("o_orderkey", "o_orderpriority", "ordering", F.col("position").cast("long"), "review_h")
 
 
 @query("""
@@ -373,7 +402,8 @@ def trailing_counts(spark, d):
 
 
 @query("""
-    WITH w AS (SELECT *, avg(value) OVER w AS baseline, stddev_pop(value) OVER w AS sd, count(*) OVER w AS n FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
+    WITH w AS (SELECT *, avg(value) OVER w AS baseline, stddev_pop(value) OVER w AS sd, count(*) OVER w AS n
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
     SELECT event_id, event_type, round(value, 8) AS value, round(baseline, 8) AS baseline, round((value - baseline) / sd, 8) AS zscore FROM w
     WHERE n = 24 AND NOT (sd < 1e-6 OR (baseline <> 0 AND sd / abs(baseline) < 1e-3)) AND abs(value - baseline) >= 3.0 * sd AND abs(value - baseline) >= 0.1 * greatest(abs(baseline), 1e-9)
 """)
@@ -384,21 +414,29 @@ def rolling_zscore(spark, d):
 
 @query("""
     WITH l AS (SELECT l_orderkey, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s FROM lineitem GROUP BY l_orderkey),
-    o AS (SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS expected, CAST(sum(s) AS DOUBLE) AS actual, CAST(sum(CASE WHEN s IS NULL THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS explained FROM orders LEFT JOIN l ON o_orderkey = l_orderkey GROUP BY o_orderpriority)
+    o AS (SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS expected, CAST(sum(s) AS DOUBLE) AS actual, CAST(sum(CASE WHEN s IS NULL THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS explained
+    FROM orders LEFT JOIN l ON o_orderkey = l_orderkey GROUP BY o_orderpriority)
     SELECT 'gold' AS layer, o_orderpriority AS entity, 'control_total' AS check_name, expected, actual, explained AS explained_by, CASE WHEN abs(expected - actual) <= 0.005 THEN 'MATCHED' WHEN abs(expected - actual - coalesce(explained, 0)) <= 0.005 THEN 'EXPLAINED' ELSE 'MISMATCH' END AS status, '' AS detail FROM o
-    UNION ALL SELECT 'gold', o_orderpriority, 'order_count', count(*)::DOUBLE, count(n)::DOUBLE, count(*) FILTER (n IS NULL)::DOUBLE, CASE WHEN count(*) = count(n) THEN 'MATCHED' ELSE 'EXPLAINED' END, '' FROM orders LEFT JOIN l ON o_orderkey = l_orderkey GROUP BY o_orderpriority
+   
+    UNION ALL SELECT 'gold', o_orderpriority, 'order_count', count(*)::DOUBLE, count(n)::DOUBLE, count(*) FILTER (n IS NULL)::DOUBLE, CASE WHEN count(*) = count(n) THEN 'MATCHED' ELSE 'EXPLAINED' END, ''
+    FROM orders LEFT JOIN l ON o_orderkey = l_orderkey GROUP BY o_orderpriority
 """)
 def recon_status(spark, d):
     lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("s"))
     both = table(spark, d, "orders").withColumn("price", F.col("o_totalprice").cast("decimal(18,2)")).join(lines, "o_orderkey", "left")
-    by = both.groupBy("o_orderpriority").agg(F.sum("price").cast("double").alias("expected"), F.sum("s").cast("double").alias("actual"), F.sum(F.when(F.col("s").isNull(), F.col("price"))).cast("double").alias("explained"), F.count(F.lit(1)).alias("all"), F.count("n").alias("some"))
+    by = both.groupBy("o_orderpriority").agg(
+        F.sum("price").cast("double").alias("expected"), F.sum("s").cast("double").alias("actual"),
+        F.sum(F.when(F.col("s").isNull(), F.col("price"))).cast("double").alias("explained"), F.count(F.lit(1)).alias("all"), F.count("n").alias("some"),
+    )
     total = checks.check(by, "gold", F.col("o_orderpriority"), "control_total", F.col("expected"), F.col("actual"), F.col("explained"))
     count = checks.check(by, "gold", F.col("o_orderpriority"), "order_count", F.col("all").cast("double"), F.col("some").cast("double"), (F.col("all") - F.col("some")).cast("double"))
     return checks.union([total, count])
 
 
 @query("""
-    WITH v AS (SELECT c_nationkey, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS s FROM customer GROUP BY c_nationkey), a AS (SELECT CAST(sum(s) AS DOUBLE) AS certified FROM v), b AS (SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS consumer FROM customer)
+    WITH v AS (SELECT c_nationkey, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS s FROM customer GROUP BY c_nationkey),
+    a AS (SELECT CAST(sum(s) AS DOUBLE) AS certified FROM v),
+    b AS (SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS consumer FROM customer)
     SELECT 'balance' AS comparison, certified, consumer, CASE WHEN abs(certified - consumer) <= 0.005 * greatest(1.0, abs(certified)) THEN 'MATCHED' ELSE 'MISMATCH' END AS status FROM a, b
 """)
 def kpi_consistency(spark, d):
@@ -418,7 +456,11 @@ def metric_query(spark, d):
 
 @query("""
     SELECT k, 'left' AS side FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
-    UNION ALL SELECT k, 'right' FROM (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0) WHERE k NOT IN (SELECT c_custkey FROM customer)
+   
+    UNION ALL SELECT k, 'right'
+    FROM (SELECT o_custkey AS k
+    FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT c_custkey
+    FROM customer WHERE c_acctbal > 0) WHERE k NOT IN (SELECT c_custkey FROM customer)
 """)
 def set_difference(spark, d):
     return joins.both_differences(table(spark, d, "customer").select(F.col("c_custkey").alias("k")), table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")))
@@ -446,7 +488,8 @@ def sha_dedup(spark, d):
 
 
 @query("""
-    SELECT p_brand, s_nationkey, count(*) AS n_pairs FROM part JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY p_brand, s_nationkey
+    SELECT p_brand, s_nationkey, count(*) AS n_pairs
+    FROM part JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY p_brand, s_nationkey
 """)
 def bridge_join(spark, d):
     pairs = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"))
@@ -455,7 +498,8 @@ def bridge_join(spark, d):
 
 
 @query("""
-    WITH c AS (SELECT DISTINCT conv_id FROM conversations), l AS (SELECT conv_id, turn, length(text) AS n_chars FROM conversations WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, length(text) DESC) = 1)
+    WITH c AS (SELECT DISTINCT conv_id FROM conversations),
+    l AS (SELECT conv_id, turn, length(text) AS n_chars FROM conversations WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, length(text) DESC) = 1)
     SELECT conv_id, turn, CAST(n_chars AS INTEGER) AS n_chars FROM c LEFT JOIN l USING (conv_id)
 """)
 def latest_review(spark, d):
@@ -468,7 +512,8 @@ def latest_review(spark, d):
     WITH r AS (SELECT l_extendedprice AS v FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'), c AS (SELECT l_extendedprice AS v FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'),
     e AS (SELECT quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM r), b AS (SELECT unnest(range(10)) AS bin),
     rr AS (SELECT len(list_filter(q, lambda x: x < v)) AS bin, count(*) AS n FROM r, e GROUP BY 1), cc AS (SELECT len(list_filter(q, lambda x: x < v)) AS bin, count(*) AS n FROM c, e GROUP BY 1),
-    s AS (SELECT greatest(coalesce(rr.n, 0)::DOUBLE / (SELECT count(*) FROM r), 1e-4) AS p, greatest(coalesce(cc.n, 0)::DOUBLE / (SELECT count(*) FROM c), 1e-4) AS q FROM b LEFT JOIN rr USING (bin) LEFT JOIN cc USING (bin)),
+    s AS (SELECT greatest(coalesce(rr.n, 0)::DOUBLE / (SELECT count(*) FROM r), 1e-4) AS p, greatest(coalesce(cc.n, 0)::DOUBLE / (SELECT count(*) FROM c), 1e-4) AS q
+    FROM b LEFT JOIN rr USING (bin) LEFT JOIN cc USING (bin)),
     t AS (SELECT sum((q - p) * ln(q / p)) AS psi FROM s)
     SELECT round(psi, 8) AS psi, CASE WHEN psi >= 0.25 THEN 'ALERT' WHEN psi >= 0.1 THEN 'WARN' ELSE 'OK' END AS status FROM t
 """)
@@ -480,7 +525,8 @@ def psi_drift(spark, d):
 
 
 @query("""
-    WITH p AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), s AS (SELECT i, avg(x) AS m, greatest(stddev_pop(x), 1e-6) AS s FROM p GROUP BY i),
+    WITH p AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    s AS (SELECT i, avg(x) AS m, greatest(stddev_pop(x), 1e-6) AS s FROM p GROUP BY i),
     z AS (SELECT vec_id, avg(pow((x - m) / s, 2)) AS distance FROM p JOIN s USING (i) GROUP BY vec_id)
     SELECT vec_id, round(distance, 6) AS distance, distance > (SELECT quantile_cont(distance, 0.995) FROM z) AS is_ood FROM z
 """)
@@ -497,8 +543,11 @@ def _scored(spark, d):
 
 
 @query(f"""
-    WITH d AS ({_SCORED}), g AS (SELECT p, count(*) AS n, sum(y) AS pos FROM d GROUP BY p), w AS (SELECT n, pos, pos * (coalesce(sum(n - pos) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (n - pos) / 2) AS won FROM g),
-    a AS (SELECT sum(won)::DOUBLE / (sum(pos) * sum(n - pos))::DOUBLE AS auroc FROM w), t AS (SELECT min(p) AS threshold FROM (SELECT p, row_number() OVER (ORDER BY p DESC) AS r, count(*) OVER () AS c FROM d WHERE y = 1) WHERE r <= ceil(0.9::DOUBLE * c))
+    WITH d AS ({_SCORED}),
+    g AS (SELECT p, count(*) AS n, sum(y) AS pos FROM d GROUP BY p),
+    w AS (SELECT n, pos, pos * (coalesce(sum(n - pos) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (n - pos) / 2) AS won FROM g),
+    a AS (SELECT sum(won)::DOUBLE / (sum(pos) * sum(n - pos))::DOUBLE AS auroc FROM w),
+    t AS (SELECT min(p) AS threshold FROM (SELECT p, row_number() OVER (ORDER BY p DESC) AS r, count(*) OVER () AS c FROM d WHERE y = 1) WHERE r <= ceil(0.9::DOUBLE * c))
     SELECT round(auroc, 8) AS auroc, round(threshold, 8) AS threshold, count(*) FILTER (y = 1 AND p >= threshold) AS tp, count(*) FILTER (y = 1 AND p < threshold) AS fn, count(*) FILTER (y <> 1 AND p >= threshold) AS fp, count(*) FILTER (y <> 1 AND p < threshold) AS tn, round(avg(pow(p - y, 2)), 8) AS brier FROM d, a, t GROUP BY ALL
 """)
 def auroc_threshold(spark, d):
@@ -522,7 +571,9 @@ def policy_bands(spark, d):
 
 @query("""
     WITH m AS (SELECT avg(l_discount) AS discount, count(*) FILTER (l_returnflag = 'R')::DOUBLE / count(*) AS returned, max(l_quantity) AS quantity FROM lineitem)
-    SELECT 'discount' AS metric, round(discount, 8) AS value, '<=' AS comparison, 0.06::DOUBLE AS limit_value, discount <= 0.06 AS passed FROM m UNION ALL SELECT 'returned', round(returned, 8), '>=', 0.5::DOUBLE, returned >= 0.5 FROM m UNION ALL SELECT 'quantity', quantity, '<=', 50.0::DOUBLE, quantity <= 50 FROM m
+    SELECT 'discount' AS metric, round(discount, 8) AS value, '<=' AS comparison, 0.06::DOUBLE AS limit_value, discount <= 0.06 AS passed FROM m
+    UNION ALL SELECT 'returned', round(returned, 8), '>=', 0.5::DOUBLE, returned >= 0.5 FROM m
+    UNION ALL SELECT 'quantity', quantity, '<=', 50.0::DOUBLE, quantity <= 50 FROM m
 """)
 def gate_checks(spark, d):
     m = table(spark, d, "lineitem").agg(F.avg("l_discount").alias("discount"), (F.count_if(F.col("l_returnflag") == "R") / F.count(F.lit(1))).alias("returned"), F.max("l_quantity").alias("quantity"))
@@ -558,7 +609,9 @@ def field_extract(spark, d):
 
 
 @query(r"""
-    WITH m AS (SELECT doc_id, regexp_extract_all(text, '[A-Z][a-z]+tion') AS a FROM documents), u AS (SELECT doc_id, unnest(a) AS t, generate_subscripts(a, 1) AS i FROM m), f AS (SELECT doc_id, t, min(i) AS i FROM u GROUP BY doc_id, t)
+    WITH m AS (SELECT doc_id, regexp_extract_all(text, '[A-Z][a-z]+tion') AS a FROM documents),
+    u AS (SELECT doc_id, unnest(a) AS t, generate_subscripts(a, 1) AS i FROM m),
+    f AS (SELECT doc_id, t, min(i) AS i FROM u GROUP BY doc_id, t)
     SELECT doc_id, CAST(count(*) AS INTEGER) AS n_tags, string_agg(t, '|' ORDER BY i) AS tags FROM f GROUP BY doc_id
 """)
 def tag_extract(spark, d):
@@ -568,7 +621,8 @@ def tag_extract(spark, d):
 
 @query(r"""
     WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9][a-z0-9\-]+') AS t FROM documents), q AS (SELECT ['there', 'and', 'there and', 'the', 'and the'] AS terms),
-    x AS (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, greatest(len(t), 1)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM t), tf AS (SELECT doc_id, term, ln(count(*)) + 1 AS tf FROM x GROUP BY ALL),
+    x AS (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, greatest(len(t), 1)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM t),
+    tf AS (SELECT doc_id, term, ln(count(*)) + 1 AS tf FROM x GROUP BY ALL),
     df AS (SELECT term, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term), w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN df USING (term)),
     qq AS (SELECT term, idf AS qw FROM df WHERE list_contains((SELECT terms FROM q), term)), n AS (SELECT sqrt(sum(qw * qw)) AS qn FROM qq),
     s AS (SELECT doc_id, sum(w * coalesce(qw, 0)) AS dot, sqrt(sum(w * w)) AS norm FROM w LEFT JOIN qq USING (term) GROUP BY doc_id)
@@ -579,7 +633,8 @@ def tfidf_search(spark, d):
 
 
 @query(r"""
-    WITH c AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user') AS ctx, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'assistant') AS out FROM conversations GROUP BY conv_id),
+    WITH c AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user') AS ctx, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'assistant') AS out
+    FROM conversations GROUP BY conv_id),
     b AS (SELECT conv_id, list_transform(regexp_extract_all(regexp_replace(regexp_replace(coalesce(ctx, ''), '\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2})?Z?)?', ' ', 'g'), '\b[A-Za-z]{1,6}[-_][\w\-.]*\d[\w\-.]*', ' ', 'g'), '-?\d+(?:\.\d+)?'), lambda x: x::DOUBLE) AS base,
           list_transform(regexp_extract_all(regexp_replace(regexp_replace(coalesce(out, ''), '\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2})?Z?)?', ' ', 'g'), '\b[A-Za-z]{1,6}[-_][\w\-.]*\d[\w\-.]*', ' ', 'g'), '-?\d+(?:\.\d+)?'), lambda x: x::DOUBLE) AS o FROM c),
     p AS (SELECT conv_id, list_filter(o, lambda x: x <> floor(x) OR abs(x) >= 10) AS checked, list_concat(base, list_transform(base, lambda x: round(x, 1)), list_transform(list_filter(base, lambda x: abs(x) < 1), lambda x: round(x * 100, 1))) AS pool FROM b)
@@ -594,7 +649,8 @@ def grounding_numbers(spark, d):
 
 
 @query("""
-    WITH s AS (SELECT lang, source, list_sort(list_distinct(list(CAST(n_chars // 1000 AS VARCHAR)))) AS items FROM documents GROUP BY ALL), l AS (SELECT *, lag(items) OVER (PARTITION BY lang ORDER BY source) AS b FROM s)
+    WITH s AS (SELECT lang, source, list_sort(list_distinct(list(CAST(n_chars // 1000 AS VARCHAR)))) AS items FROM documents GROUP BY ALL),
+    l AS (SELECT *, lag(items) OVER (PARTITION BY lang ORDER BY source) AS b FROM s)
     SELECT lang, source, array_to_string(items, ',') AS items, array_to_string(list_sort(list_filter(items, lambda x: NOT list_contains(coalesce(b, []), x))), ',') AS added, array_to_string(list_sort(list_filter(coalesce(b, []), lambda x: NOT list_contains(items, x))), ',') AS removed FROM l
 """)
 def revision_diff(spark, d):
@@ -618,7 +674,8 @@ def top_by_rank(spark, d):
 
 @query("""
     WITH b AS (SELECT p_brand || '-' || (p_size % 3) AS brand, p_partkey FROM part), g AS (SELECT brand, count(*) AS n, min(p_partkey) AS p_partkey FROM b GROUP BY brand)
-    SELECT s_suppkey, 'Brand#' || s_suppkey || '-0' AS brand, coalesce(n, 0) AS n_hits, CASE WHEN n = 1 THEN 'MATCHED' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'NOT_IN_REGISTER' END AS match_status, CASE WHEN n = 1 THEN p_partkey END AS p_partkey FROM supplier LEFT JOIN g ON brand = 'Brand#' || s_suppkey || '-0'
+    SELECT s_suppkey, 'Brand#' || s_suppkey || '-0' AS brand, coalesce(n, 0) AS n_hits, CASE WHEN n = 1 THEN 'MATCHED' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'NOT_IN_REGISTER' END AS match_status, CASE WHEN n = 1 THEN p_partkey END AS p_partkey
+    FROM supplier LEFT JOIN g ON brand = 'Brand#' || s_suppkey || '-0'
 """)
 def key_cardinality(spark, d):
     register = table(spark, d, "part").select(F.concat("p_brand", F.lit("-"), (F.col("p_size") % 3).cast("string")).alias("brand"), "p_partkey")
@@ -627,7 +684,9 @@ def key_cardinality(spark, d):
 
 
 @query("""
-    WITH e AS (SELECT event_type, CAST(value AS DECIMAL(18,2)) AS v, len({reasons}) = 0 AS good FROM events), g AS (SELECT event_type, count(*)::DOUBLE AS n, CAST(sum(v) AS DOUBLE) AS s, coalesce(CAST(sum(v) FILTER (good) AS DOUBLE), 0) AS got, coalesce(CAST(sum(v) FILTER (NOT good) AS DOUBLE), 0) AS held FROM e GROUP BY event_type)
+    WITH e AS (SELECT event_type, CAST(value AS DECIMAL(18,2)) AS v, len({reasons}) = 0 AS good FROM events),
+    g AS (SELECT event_type, count(*)::DOUBLE AS n, CAST(sum(v) AS DOUBLE) AS s, coalesce(CAST(sum(v) FILTER (good) AS DOUBLE), 0) AS got, coalesce(CAST(sum(v) FILTER (NOT good) AS DOUBLE), 0) AS held
+    FROM e GROUP BY event_type)
     SELECT 'bronze' AS layer, event_type AS entity, 'landed_records' AS check_name, n AS expected, n AS actual, NULL::DOUBLE AS explained_by, 'MATCHED' AS status, '' AS detail FROM g
     UNION ALL SELECT 'bronze', event_type, 'control_total', s, got, held, CASE WHEN abs(s - got) <= 0.005 THEN 'MATCHED' ELSE 'EXPLAINED' END, '' FROM g
 """.replace("{reasons}", _REASONS))
@@ -641,7 +700,9 @@ def bronze_checks(spark, d):
 
 
 @query("""
-    WITH b AS (SELECT o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders), u AS (SELECT count(*)::DOUBLE AS n, count(DISTINCT o_custkey)::DOUBLE AS k FROM b), t AS (SELECT CAST(sum(m) AS DOUBLE) AS s FROM (SELECT max(v) AS m FROM b GROUP BY o_custkey)),
+    WITH b AS (SELECT o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders),
+    u AS (SELECT count(*)::DOUBLE AS n, count(DISTINCT o_custkey)::DOUBLE AS k FROM b),
+    t AS (SELECT CAST(sum(m) AS DOUBLE) AS s FROM (SELECT max(v) AS m FROM b GROUP BY o_custkey)),
     d AS (SELECT lang, count(*)::DOUBLE AS n, count(*) FILTER (n_chars >= 200)::DOUBLE AS got, count(*) FILTER (n_chars < 200 AND n_chars % 3 > 0)::DOUBLE AS failed FROM documents GROUP BY lang)
     SELECT 'silver' AS layer, 'orders' AS entity, 'record_count' AS check_name, n AS expected, k AS actual, n - k AS explained_by, CASE WHEN n = k THEN 'MATCHED' ELSE 'EXPLAINED' END AS status, '' AS detail FROM u
     UNION ALL SELECT 'silver', 'orders', 'total', s, s, NULL, 'MATCHED', '' FROM t
@@ -657,7 +718,8 @@ def silver_checks(spark, d):
 
 
 @query("""
-    WITH p AS (SELECT max(CASE WHEN n_name = 'NATION_1' THEN n_regionkey END) AS "NATION_1", max(CASE WHEN n_name = 'NATION_2' THEN n_regionkey END) AS "NATION_2", n_regionkey AS grp FROM nation GROUP BY n_regionkey),
+    WITH p AS (SELECT max(CASE WHEN n_name = 'NATION_1' THEN n_regionkey END) AS "NATION_1", max(CASE WHEN n_name = 'NATION_2' THEN n_regionkey END) AS "NATION_2", n_regionkey AS grp
+    FROM nation GROUP BY n_regionkey),
     r AS (SELECT c_nationkey % 5 AS grp, max(c_acctbal) AS top FROM customer WHERE c_nationkey % 5 < 4 GROUP BY 1)
     SELECT s_suppkey, p."NATION_1", p."NATION_2", top FROM supplier JOIN p ON s_nationkey % 5 = p.grp LEFT JOIN r ON s_nationkey % 5 = r.grp
 """)
@@ -702,7 +764,10 @@ def mean_position(spark, d):
 def object_hints(spark, d):
     """Asset hints by side file, constant or name pattern; capture times by side file, stem or date."""
     k = F.col("o_orderkey") % 4
-    o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("business_date"), F.when(k == 0, "doc").when(k == 1, "clip").when(k == 2, "line").otherwise("other").alias("source"))
+    o = table(spark, d, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("business_date"),
+        F.when(k == 0, "doc").when(k == 1, "clip").when(k == 2, "line").otherwise("other").alias("source"),
+    )
     o = o.withColumns({
         "file_name": F.concat(F.lit("F_"), (F.col("o_orderkey") % 50).cast("string"), F.when(k == 1, ".json").otherwise(".bin")),
         "side": F.when((k == 1) & (F.col("o_orderkey") % 3 == 0), F.concat(F.lit("SIDE-"), (F.col("o_orderkey") % 9).cast("string"))),
@@ -738,7 +803,10 @@ def grounding_findings(spark, d):
     k = F.col("conv_id")
     cites = F.when(k % 6 == 0, " [a.pdf p.1] [b.pdf p. 2]").otherwise("")
     told = F.when(F.col("out") != "", F.concat("out", cites, F.lit(" with 10.5 and 20 and 33.25 and 999"))).otherwise("")
-    rows = rows.select("conv_id", F.concat("ctx", F.when(k % 2 == 0, " 10.5 and 20 and 33.25").otherwise("")).alias("ctx"), told.alias("out"), F.when(k % 3 == 0, F.array(F.lit("a.pdf"))).alias("files"))
+    rows = rows.select(
+        "conv_id", F.concat("ctx", F.when(k % 2 == 0, " 10.5 and 20 and 33.25").otherwise("")).alias("ctx"), told.alias("out"),
+        F.when(k % 3 == 0, F.array(F.lit("a.pdf"))).alias("files"),
+    )
     pattern = r"[A-Z][a-z]{2,6}"
     known = rows.where(k % 3 == 0).select(F.explode(text.tags(F.col("ctx"), pattern)).alias("tag"))
     return text.grounding(rows, "conv_id", "out", "ctx", known, "tag", pattern, "files", max_share=0.26)
@@ -795,3 +863,28 @@ def frame_severities(spark, d):
     """Severity of a frame by its area and its boxes."""
     p = table(spark, d, "part")
     return p.select("p_partkey", C.frame_severity(F.col("p_retailprice") / 50000, F.col("p_size") % 7).alias("severity"))
+
+
+@query("""
+    WITH c AS (
+        SELECT o_custkey AS k, CASE WHEN o_orderkey % 17 = 0 THEN 'D' WHEN row_number() OVER w = 1 OR o_orderkey % 13 = 0 THEN 'I' ELSE 'U' END AS op,
+               CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS priority, o_orderdate AS changed_at, o_orderkey AS seq
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+    l AS (SELECT *, count(*) FILTER (op = 'I') OVER (PARTITION BY k ORDER BY changed_at, seq ROWS UNBOUNDED PRECEDING) AS life FROM c),
+    s AS (
+        SELECT k, life, op, CAST(changed_at AS DATE) AS d, changed_at, seq, last_value(status IGNORE NULLS) OVER w AS status, last_value(priority IGNORE NULLS) OVER w AS priority
+        FROM l WINDOW w AS (PARTITION BY k, life ORDER BY changed_at, seq ROWS UNBOUNDED PRECEDING)),
+    days AS (SELECT CAST(unnest(generate_series(DATE '1996-03-01', DATE '1996-03-20', INTERVAL 1 DAY)) AS DATE) AS day),
+    n AS (SELECT day, s.* FROM days JOIN s ON s.d <= day QUALIFY row_number() OVER (PARTITION BY day, k ORDER BY changed_at DESC, seq DESC) = 1)
+    SELECT day, k, status, priority FROM n WHERE op <> 'D' AND life > 0
+""")
+def register_snapshots(spark, d):
+    """Orders as changes of customers: the register at the end of each of twenty days."""
+    o = table(spark, d, "orders")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    op = F.when(F.col("o_orderkey") % 17 == 0, "D").when((F.row_number().over(w) == 1) | (F.col("o_orderkey") % 13 == 0), "I").otherwise("U")
+    changes = o.select(
+        F.col("o_custkey").alias("k"), op.alias("op"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("priority"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("seq"),
+    )
+    return history.daily_snapshots(changes, "k", ["status", "priority"], "at", "seq", "1996-03-01", "1996-03-20")

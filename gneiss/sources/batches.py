@@ -129,3 +129,9 @@ def committed_since_complete(audit: DataFrame, batch_id: str) -> DataFrame:
     own = audit.where(F.col("batch_id") == batch_id)
     done = own.where("status = 'COMPLETED'").agg(F.coalesce(F.max("at"), F.lit(0.0)).alias("_done"))
     return own.where("status = 'COMMITTED'").crossJoin(F.broadcast(done)).where("at > _done").select("entity").distinct()
+
+
+def publish(spark: SparkSession, path: str, rows: Sequence[dict], schema: str, batch: str) -> None:
+    """Write a few result rows (dicts by column; a missing column is null) as a batch that a repeated call replaces."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    replace_batch(spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema), path, batch)

@@ -79,7 +79,10 @@ def segy(data: bytes) -> Iterator[dict]:
         ys.append(y * factor)
         yield {"kind": "seismic_trace_header", "facts": {"trace": struct.unpack(">i", h[0:4])[0], "x": xs[-1], "y": ys[-1]}}
     text = data[:3200].decode("cp037", "replace")
-    yield {"kind": "seismic_survey", "facts": {"title": text[:80].strip(), "traces": count, "samples": samples, "interval_us": interval, "min_x": min(xs), "max_x": max(xs), "min_y": min(ys), "max_y": max(ys)}}
+    yield {
+        "kind": "seismic_survey",
+        "facts": {"title": text[:80].strip(), "traces": count, "samples": samples, "interval_us": interval, "min_x": min(xs), "max_x": max(xs), "min_y": min(ys), "max_y": max(ys)}
+    }
 
 
 def png_gray(data: bytes) -> np.ndarray:

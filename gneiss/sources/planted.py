@@ -5,6 +5,8 @@ What a row becomes is arithmetic on its key, so every verdict's count follows fr
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,9 +56,26 @@ def landed(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return listed, made.where(fault(F.col("_k")) != "MISSING").drop("_k")
 
 
-def send_delay_ms(key: Column, late: float = 0.05, very_late: float = 0.001) -> Column:
-    """Milliseconds between a reading and its sending: under two seconds, up to a minute for the share ``late``, from
-    eleven to thirty minutes for the share ``very_late``; so messages do not come in the order of their events."""
-    u = F.pmod(F.xxhash64(F.lit("delay"), key), F.lit(1_000_000)) / 1_000_000
-    v = F.pmod(F.xxhash64(F.lit("length"), key), F.lit(1_000_000)) / 1_000_000
-    return F.when(u < very_late, 660_000 + v * 1_140_000).when(u < very_late + late, 2_000 + v * 58_000).otherwise(v * 2_000).cast("long")
+#: Fixed values of the late producer: share of the messages, least and most seconds between reading and sending.
+DELAYS = ((0.001, 900, 1800), (0.01, 120, 480), (0.02, 1, 4))
+
+
+def _even(key: Column, factor: int) -> Column:
+    """A number from 0 to 1 that looks drawn, by arithmetic on the key alone."""
+    return (key.cast("long") * factor + 12345) % 2147483647 / 2147483647
+
+
+def send_delay_ms(key: Column, delays: Sequence[tuple[float, int, int]] = DELAYS) -> Column:
+    """Milliseconds between a reading and its sending: none for most, so messages come almost in the order of events;
+    ``delays`` are shares of late ones and their range of seconds, the first shares first."""
+    u, v = _even(key, 48271), _even(key, 69621)
+    out, upto = F, 0.0
+    for share, least, most in delays:
+        upto += share
+        out = out.when(u < upto, F.floor(1000 * (least + v * (most - least))))
+    return out.otherwise(F.lit(0)).cast("long")
+
+
+def sent_messages(readings: DataFrame, key: str, event: str, delays: Sequence[tuple[float, int, int]] = DELAYS) -> DataFrame:
+    """Adds sent_ms, the time of sending in milliseconds; whoever reads in that order meets late readings."""
+    return readings.withColumn("sent_ms", F.unix_millis(F.col(event).cast("timestamp")) + send_delay_ms(F.col(key), delays))

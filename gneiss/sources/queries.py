@@ -89,7 +89,10 @@ def object_checks(spark, d):
     customers = spark.read.parquet(f"{d}/customer.parquet")
     listed, objects = planted.landed(customers, "c_custkey")
     number = F.regexp_extract("file_name", r"\d+", 0).cast("long")
-    seen = windows.first_seen(objects.select("file_name", "sha256", number.alias("number"), (number % planted.FAULT_KEYS == 7).alias("resent")), "sha256", [F.col("resent"), F.col("number")], "file_name")
+    seen = windows.first_seen(
+        objects.select("file_name", "sha256", number.alias("number"), (number % planted.FAULT_KEYS == 7).alias("resent")), "sha256",
+        [F.col("resent"), F.col("number")], "file_name",
+    )
     found = seen.join(formats.verdicts(objects, min_bytes=2), "file_name").join(listed.select(F.col("name").alias("file_name"), "source"), "file_name")
     verdict = F.when(F.col("is_duplicate"), "DUPLICATE").when(F.col("format_verdict") == "OK", "VALID").otherwise(F.col("format_verdict"))
     return checks.object_findings(found.withColumn("verdict", verdict))
@@ -106,7 +109,10 @@ def object_checks(spark, d):
 def run_checks(spark, d):
     """Two runs of a batch over the nations, the second one failed: its state and what it loaded of each."""
     n = spark.read.parquet(f"{d}/nation.parquet")
-    row = lambda rows, entity, status, at, message: rows.select(F.lit("bronze").alias("stage"), F.lit("B1").alias("batch_id"), entity.alias("entity"), status.alias("status"), F.lit(message).alias("message"), at.cast("double").alias("at"))
+    row = lambda rows, entity, status, at, message: rows.select(
+        F.lit("bronze").alias("stage"), F.lit("B1").alias("batch_id"), entity.alias("entity"), status.alias("status"), F.lit(message).alias("message"),
+        at.cast("double").alias("at"),
+    )
     one, k = n.where("n_nationkey = 0"), F.col("n_nationkey")
     every = F.lit("*")
     audit = checks.union([
@@ -130,7 +136,9 @@ def path_joins(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.concat(F.lit("hdfs://host:8020/land/"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("path"))
     c = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", F.concat(F.lit("file:/land/"), F.col("c_custkey").cast("string"), F.lit(".pdf")).alias("path"))
     by_path = joins.on_bare_path(o, c).select("o_orderkey", "c_custkey", F.lit(True).alias("by_path"))
-    by_name = joins.on_file_name(o.withColumnRenamed("path", "left_path"), c.withColumnRenamed("path", "right_path"), "left_path", "right_path").select("o_orderkey", "c_custkey", F.lit(True).alias("by_name"))
+    by_name = joins.on_file_name(
+        o.withColumnRenamed("path", "left_path"), c.withColumnRenamed("path", "right_path"), "left_path", "right_path",
+    ).select("o_orderkey", "c_custkey", F.lit(True).alias("by_name"))
     return by_path.join(by_name, ["o_orderkey", "c_custkey"], "full").fillna(False, ["by_path", "by_name"])
 
 
@@ -140,8 +148,56 @@ def path_joins(spark, d):
 def stream_file_sink(spark, d):
     """Messages written as JSON lines in a folder per topic and hour of sending, and read back."""
     e = spark.read.parquet(f"{d}/events.parquet")
-    messages = e.where(F.col("ts").isNotNull()).select(F.col("event_id").cast("string").alias("key"), F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"), F.to_json(F.struct("event_id")).alias("value"), F.col("event_type").alias("topic"))
+    messages = e.where(F.col("ts").isNotNull()).select(
+        F.col("event_id").cast("string").alias("key"), F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.to_json(F.struct("event_id")).alias("value"), F.col("event_type").alias("topic"),
+    )
     folder = workspace(spark, "messages")
     readers.write_stream_files(messages.repartition("topic"), folder)
     found = spark.read.schema("key string, timestamp long, value string, topic string, hour string").json(folder)
     return found.groupBy("topic", "hour").agg(F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("value", "$.event_id").cast("long")).alias("ids"))
+
+
+@query("""
+    WITH m AS (
+        SELECT event_id, ts, (event_id * 48271 + 12345) % 2147483647 / 2147483647.0::DOUBLE AS u, (event_id * 69621 + 12345) % 2147483647 / 2147483647.0::DOUBLE AS v FROM events),
+    s AS (
+        SELECT *, CASE WHEN u < 0.001 THEN 'very late' WHEN u < 0.001 + 0.01 THEN 'late' WHEN u < 0.001 + 0.01 + 0.02 THEN 'slow' ELSE 'at once' END AS class,
+               CASE WHEN u < 0.001 THEN floor(1000 * (900 + v * 900)) WHEN u < 0.001 + 0.01 THEN floor(1000 * (120 + v * 360)) WHEN u < 0.001 + 0.01 + 0.02 THEN floor(1000 * (1 + v * 3)) ELSE 0 END AS delay FROM m)
+    SELECT class, count(*) AS n, CAST(sum(delay) AS BIGINT) AS delay_ms, count(*) FILTER (delay > 600000) AS past_watermark FROM s GROUP BY class
+""")
+def late_producer(spark, d):
+    """Events with send times of the late producer: how many are sent at once, slowly, late and past the watermark."""
+    e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts")
+    sent = planted.sent_messages(e, "event_id", "ts").withColumn("delay", F.col("sent_ms") - F.unix_millis(F.col("ts").cast("timestamp")))
+    kind = F.when(F.col("delay") >= 900_000, "very late").when(F.col("delay") >= 120_000, "late").when(F.col("delay") > 0, "slow").otherwise("at once")
+    return sent.groupBy(kind.alias("class")).agg(F.count(F.lit(1)).alias("n"), F.sum("delay").alias("delay_ms"), F.count_if(F.col("delay") > 600_000).alias("past_watermark"))
+
+
+@query("""
+    WITH e AS (
+        SELECT event_id, date_trunc('minute', ts) AS minute, event_type AS run, event_type = 'purchase' AND value > 300 AS lost, value > 300 AS big, event_id % 40 = 0 AS twice, event_id % 100 = 0 AS late FROM events),
+    c AS (SELECT minute, run, count(*) AS total, count(*) FILTER (NOT lost) AS got FROM e GROUP BY ALL),
+    s AS (SELECT sum(total) AS n, sum(got) AS got, count(*) FILTER (got < total) AS short, count(*) FILTER (got < total AND minute >= (SELECT max(minute) FROM c) - INTERVAL 10 MINUTE) AS recent FROM c),
+    w AS (SELECT count(*) AS n, count(*) FILTER (late) AS late FROM e)
+    SELECT 'stream' AS layer, 'reading' AS entity, 'stream_records' AS check_name, n::DOUBLE AS expected, got::DOUBLE AS actual, NULL::DOUBLE AS explained_by,
+           CASE WHEN n = got THEN 'MATCHED' WHEN short = recent THEN 'LATE' ELSE 'MISMATCH' END AS status, short || ' minute(s) short' AS detail FROM s
+    UNION ALL SELECT 'stream', 'reading', 'stream_duplicates', 0, count(*), NULL, CASE WHEN count(*) = 0 THEN 'MATCHED' ELSE 'MISMATCH' END, '' FROM e WHERE twice AND NOT big
+    UNION ALL SELECT 'stream', 'sensor_window', 'window_records', n, n - late, NULL, CASE WHEN late = 0 THEN 'MATCHED' ELSE 'LATE' END, late || ' sent too late' FROM w
+""")
+def stream_checks(spark, d):
+    """Landed messages, a fortieth of them twice, against control counts; and readings against the windows that hold
+    those sent in time."""
+    from gneiss.streaming import telemetry
+
+    e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "value", "ts", "event_type", F.date_trunc("minute", "ts").alias("minute"), F.col("event_type").alias("producer_run"))
+    big = F.col("value") > 300
+    control = e.groupBy("minute", "producer_run").agg(F.count(F.lit(1)).alias("total"))
+    landed = e.where(~big)
+    found = checks.stream_records(
+        control.unionByName(control.where("minute is not null")), landed.unionByName(landed.where("event_id % 40 = 0")),
+        e.where(big & (F.col("event_type") != "purchase")), "reading", "event_id",
+    )
+    sent = e.withColumn("lateness_s", F.when(F.col("event_id") % 100 == 0, 900.0).otherwise(1.0))
+    windows_ = telemetry.windows(sent.where("lateness_s <= 600"), "event_type", "1 minute", "ts")
+    return checks.union([found, checks.window_records(sent, windows_)])

@@ -87,7 +87,10 @@ def psv_stats(spark: SparkSession, path: str) -> DataFrame:
     lines = _lines(spark, path)
     trailer = F.startswith("value", F.lit("T|"))
     part = lambda i: F.max(F.when(trailer, F.get(F.split("value", r"\|"), F.lit(i))))
-    return lines.groupBy("_source_file").agg(F.sum(F.when(~trailer & (F.col("_source_row") > 1), 1).otherwise(0)).alias("n_lines"), part(1).try_cast("long").alias("trailer_count"), part(2).try_cast("double").alias("trailer_total"))
+    return lines.groupBy("_source_file").agg(
+        F.sum(F.when(~trailer & (F.col("_source_row") > 1), 1).otherwise(0)).alias("n_lines"), part(1).try_cast("long").alias("trailer_count"),
+        part(2).try_cast("double").alias("trailer_total"),
+    )
 
 
 def read_jsonl(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -127,7 +130,9 @@ def manifest_checks(listed: DataFrame, objects: DataFrame, formats: DataFrame |
         found = found.join(formats.select(F.col("file_name").alias("name"), F.col("format_verdict").alias("_format")), "name", "left")
     else:
         found = found.withColumn("_format", F.lit("OK"))
-    verdict = F.when(F.col("_sha").isNull(), "MISSING_FILE").when(~known, "UNKNOWN_FORMAT").when(F.col("size") != F.col("_size"), "SIZE_MISMATCH").when(F.col("sha256") != F.col("_sha"), "SHA_MISMATCH").otherwise(F.coalesce("_format", F.lit("OK")))
+    verdict = F.when(F.col("_sha").isNull(), "MISSING_FILE").when(~known, "UNKNOWN_FORMAT").when(
+        F.col("size") != F.col("_size"), "SIZE_MISMATCH",
+    ).when(F.col("sha256") != F.col("_sha"), "SHA_MISMATCH").otherwise(F.coalesce("_format", F.lit("OK")))
     return listed.join(found, "name", "left").withColumn("verdict", verdict).drop("_size", "_sha", "_format")
 
 

@@ -26,7 +26,10 @@ def _windows(spark, d, sizes):
 
 def sensor_windows(spark, d):
     out = telemetry.flags(_windows(spark, d, ["15 minutes", "1 hour"]), F.lit(400.0), "1 hour")
-    return out.select("event_type", "window_size", "window_start", "n", "min_value", "max_value", F.round("mean_value", 6).alias("mean_value"), F.round("std_value", 6).alias("std_value"), F.round("slope_per_h", 3).alias("slope_per_h"), "n_high", "is_breach", "is_stuck")
+    return out.select(
+        "event_type", "window_size", "window_start", "n", "min_value", "max_value", F.round("mean_value", 6).alias("mean_value"),
+        F.round("std_value", 6).alias("std_value"), F.round("slope_per_h", 3).alias("slope_per_h"), "n_high", "is_breach", "is_stuck",
+    )
 
 
 ORACLE_SQL["sensor_windows"] = " UNION ALL ".join(
@@ -39,7 +42,10 @@ ORACLE_SQL["sensor_windows"] = " UNION ALL ".join(
 
 def sensor_daily(spark, d):
     out = telemetry.daily(telemetry.flags(_windows(spark, d, ["1 hour"]), F.lit(400.0), "1 hour"), "event_type")
-    return out.select("event_type", "day", "n_readings", F.round("mean_value", 10).alias("mean_value"), "max_value", F.round("slope_per_h", 3).alias("slope_per_h"), "stuck_windows", "breach_windows", "n_windows")
+    return out.select(
+        "event_type", "day", "n_readings", F.round("mean_value", 10).alias("mean_value"), "max_value", F.round("slope_per_h", 3).alias("slope_per_h"),
+        "stuck_windows", "breach_windows", "n_windows",
+    )
 
 
 ORACLE_SQL["sensor_daily"] = f"""SELECT event_type, CAST(window_start AS DATE) AS day, CAST(sum(n) AS BIGINT) AS n_readings, round(avg(mean), 10) AS mean_value, max(max_value) AS max_value, round(avg(slope), 3) AS slope_per_h, count(*) FILTER (std < 1e-9 AND n >= 5) AS stuck_windows, count(*) FILTER (max_value > 400) AS breach_windows, count(*) AS n_windows
@@ -101,7 +107,8 @@ def stream_control_recon(spark, d):
 
 
 ORACLE_SQL["stream_control_recon"] = """
-    WITH e AS (SELECT date_trunc('minute', ts) AS m, event_type, event_type = 'purchase' AND value > 300 AS lost FROM events), c AS (SELECT m, event_type, count(*)::DOUBLE AS expected, count(*) FILTER (NOT lost)::DOUBLE AS actual FROM e GROUP BY ALL),
+    WITH e AS (SELECT date_trunc('minute', ts) AS m, event_type, event_type = 'purchase' AND value > 300 AS lost FROM events),
+    c AS (SELECT m, event_type, count(*)::DOUBLE AS expected, count(*) FILTER (NOT lost)::DOUBLE AS actual FROM e GROUP BY ALL),
     s AS (SELECT *, CASE WHEN expected = actual THEN 'MATCHED' WHEN m > (SELECT max(m) FROM c) - INTERVAL 10 MINUTE THEN 'LATE' ELSE 'MISMATCH' END AS status FROM c)
     SELECT status, count(*) AS n, sum(expected) AS expected, sum(actual) AS actual FROM s GROUP BY status"""
 

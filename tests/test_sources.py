@@ -116,7 +116,9 @@ def test_contract(spark):
     c = contracts.Contract.parse(text)
     df = spark.createDataFrame([("1", "05.10.2026", "A", "1"), ("1", "2026-10-05", "Z", "-1"), ("x", "nope", "A", ""), (" ", None, None, None)], "id string, d string, s string, v string")
     rows = contracts.validate(df, c).collect()
-    assert [r["_reject_reasons"] for r in rows] == [[], ["v:BELOW_MIN"], ["id:NOT_INTEGER", "d:INVALID_DATE"], ["id:REQUIRED"]] or {tuple(r["_reject_reasons"]) for r in rows} == {(), ("v:BELOW_MIN",), ("id:NOT_INTEGER", "d:INVALID_DATE"), ("id:REQUIRED",)}
+    assert [r["_reject_reasons"] for r in rows] == [[], ["v:BELOW_MIN"], ["id:NOT_INTEGER", "d:INVALID_DATE"], ["id:REQUIRED"]] or {tuple(r["_reject_reasons"]) for r in rows} == {
+        (), ("v:BELOW_MIN",), ("id:NOT_INTEGER", "d:INVALID_DATE"), ("id:REQUIRED",)
+    }
     by = {r["s"]: r["_warnings"] for r in rows if r["id"] == "1"}
     assert by == {"A": ["id:DUPLICATE_IN_BATCH"], "Z": ["s:NOT_ALLOWED", "id:DUPLICATE_IN_BATCH"]}
 
@@ -218,7 +220,9 @@ def test_formats(spark):
     assert [k for k, _ in by["a.las"]] == ["well_log_header", "well_log_curve"] and by["a.las"][1][1]["value"] == 5.5
     assert by["b.sgy"][0][1] == {"trace": 7, "x": 123.45, "y": 2.0} and by["b.sgy"][1][1]["samples"] == 4
     assert by["c.pdf"][0][1]["text"] == "Report No: A-1\nsecond"
-    assert {k: by[k][0][1]["code"] for k in ("d.pdf", "e.las", "f.json", "g.avi", "h.xyz")} == {"d.pdf": "PDF_TRUNCATED", "e.las": "LAS_MISSING_SECTION", "f.json": "JSON_MISSING_KEYS", "g.avi": "VIDEO_UNDECODABLE", "h.xyz": "UNKNOWN_FORMAT"}
+    assert {k: by[k][0][1]["code"] for k in ("d.pdf", "e.las", "f.json", "g.avi", "h.xyz")} == {
+        "d.pdf": "PDF_TRUNCATED", "e.las": "LAS_MISSING_SECTION", "f.json": "JSON_MISSING_KEYS", "g.avi": "VIDEO_UNDECODABLE", "h.xyz": "UNKNOWN_FORMAT"
+    }
 
 
 def test_png_filters():
@@ -256,7 +260,10 @@ def test_gps_override_and_nearest(spark):
     sites = spark.createDataFrame([("s1", 10.001, 10.0), ("s2", 10.003, 10.0), ("s0", None, None)], "s string, lat double, lon double")
     near = spatial.nearest(points, sites, "p", "s", 500.0, crossed_sites=0)
     assert sorted((r["p"], r["s"], r["in_band"]) for r in near.collect()) == [("p1", "s1", True), ("p2", "s2", False)]
-    resolved = spark.createDataFrame([("p1", "s2", "NORMALISED_TAG", 0.95, "MATCHED"), ("p2", None, "NOT_IN_REGISTER", 0.0, "REVIEW")], "p string, s string, rule string, score double, match_status string")
+    resolved = spark.createDataFrame(
+        [("p1", "s2", "NORMALISED_TAG", 0.95, "MATCHED"), ("p2", None, "NOT_IN_REGISTER", 0.0, "REVIEW")],
+        "p string, s string, rule string, score double, match_status string",
+    )
     out = history.gps_override(resolved, near, "p", "s", F.lit(True)).collect()
     assert sorted((r["p"], r["s"], r["match_status"]) for r in out if r["p"] == "p1") == [("p1", "s1", "MATCHED"), ("p1", "s2", "REJECTED")]
 
