@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gneiss.functions import columns as C
 from gneiss.functions import objects
 from gneiss.operators import aggregates, checks, history, joins, ranks, search, spatial, text, windows
-from gneiss.plans import contracts, kpi
+from gneiss.plans import contracts, facts, kpi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -888,3 +888,73 @@ def register_snapshots(spark, d):
         F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("priority"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("seq"),
     )
     return history.daily_snapshots(changes, "k", ["status", "priority"], "at", "seq", "1996-03-01", "1996-03-20")
+
+
+@query("""
+    WITH scope AS (SELECT c_custkey AS tag, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer WHERE c_nationkey < 5),
+    f AS (SELECT tag FROM scope WHERE rank <= 15 OR tag % 40 = 0),
+    o AS (SELECT o_custkey AS tag, o_orderkey AS doc, o_orderdate AS day, o_orderkey AS id FROM orders),
+    i AS (SELECT * FROM o SEMI JOIN f USING (tag) WHERE day < DATE '1998-01-02' QUALIFY row_number() OVER (PARTITION BY tag ORDER BY day DESC, doc DESC) = 1),
+    w AS (SELECT * FROM o SEMI JOIN f USING (tag) WHERE CAST(day AS DATE) BETWEEN DATE '1997-12-02' AND DATE '1998-01-01' ORDER BY day DESC, id LIMIT 40),
+    c AS (SELECT l_orderkey AS doc, l_linenumber - 1 AS chunk_no, l_returnflag FROM lineitem WHERE l_linenumber <= 2)
+    SELECT 'inspection' AS kind, tag AS key, doc AS id, NULL::VARCHAR AS detail FROM i
+    UNION ALL SELECT 'order', tag, id, NULL FROM w
+    UNION ALL SELECT 'chunk', doc, chunk_no, l_returnflag FROM c SEMI JOIN i USING (doc)
+""")
+def facts_summary(spark, d):
+    """The focus of a scope and its evidence: newest inspection of each asset, recent work orders, first chunks."""
+    customers, o = table(spark, d, "customer").where("c_nationkey < 5"), table(spark, d, "orders")
+    scope = customers.select(F.col("c_custkey").alias("tag"), "c_acctbal")
+    worklist = ranks.ranked(scope, [F.desc("c_acctbal"), F.col("tag")], "rank")
+    flagged = table(spark, d, "customer").where("c_custkey % 40 = 0").select(F.col("c_custkey").alias("tag"))
+    rows = o.select(F.col("o_custkey").alias("tag"), F.col("o_orderkey").alias("doc"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("id"))
+    chunks = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc"), (F.col("l_linenumber") - 1).alias("chunk_no"), "l_returnflag")
+    found = facts.evidence(facts.focus(worklist, flagged, scope, "tag", "rank"), rows, rows, chunks, "tag", "doc", "at", "at", "1998-01-01", "id")
+    row = lambda df, kind, key, id_, detail: df.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("key"), F.col(id_).cast("long").alias("id"), detail.cast("string").alias("detail"))
+    none = F.lit(None)
+    return checks.union([row(found["inspections"], "inspection", "tag", "doc", none), row(found["orders"], "order", "tag", "id", none), row(found["chunks"], "chunk", "doc", "chunk_no", F.col("l_returnflag"))])
+
+
+@query("""
+    WITH m AS (SELECT DISTINCT l_partkey AS sheet, s_nationkey AS asset FROM lineitem JOIN supplier ON l_suppkey = s_suppkey AND l_linenumber = 1),
+    p AS (SELECT p_partkey AS sheet, 'pid/' || p_partkey || '.pdf' AS pdf FROM part)
+    SELECT asset, pdf, p_partkey AS image FROM m JOIN p USING (sheet) JOIN part ON regexp_extract(pdf, '([^/]+)\\.pdf$', 1) = CAST(p_partkey AS VARCHAR)
+""".replace("\\\\", "\\"))
+def drawing_tags(spark, d):
+    """Tags of sheets, the assets they map to, the sheets' drawings, and the images with the drawings' file stems."""
+    lines = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("sheet"), F.col("l_suppkey").alias("tag"))
+    tag_map = table(spark, d, "supplier").select(F.col("s_suppkey").alias("tag"), F.col("s_nationkey").alias("asset"))
+    drawings = table(spark, d, "part").select(F.col("p_partkey").alias("sheet"), F.concat(F.lit("pid/"), F.col("p_partkey").cast("string"), F.lit(".pdf")).alias("pdf"))
+    images = table(spark, d, "part").select(F.col("p_partkey").alias("image"), F.concat(F.lit("scan/"), F.col("p_partkey").cast("string"), F.lit(".png")).alias("png"))
+    mapped = lines.join(tag_map, "tag").select("sheet", "asset").distinct().join(drawings, "sheet")
+    stem = lambda c: F.regexp_extract(c, r"([^/]+)\.[^./]+$", 1)
+    return mapped.withColumn("_stem", stem("pdf")).join(images.withColumn("_stem", stem("png")), "_stem").select("asset", "pdf", "image")
+
+
+@query("""
+    WITH w AS (SELECT user_id AS sensor, time_bucket(INTERVAL '1 day', ts) AS day, count(*) AS n FROM events GROUP BY ALL),
+    b AS (SELECT DISTINCT o_custkey AS sensor, o_orderpriority AS asset FROM orders),
+    daily AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(event_type, row(ts, event_id)) AS status FROM events GROUP BY ALL),
+    now AS (SELECT user_id AS sensor, arg_max(status, d) AS status FROM daily GROUP BY user_id)
+    SELECT asset, status, count(*) AS windows, CAST(sum(n) AS BIGINT) AS readings FROM w JOIN b USING (sensor) JOIN now USING (sensor) GROUP BY asset, status
+""")
+def scoped_windows(spark, d):
+    """Windows of sensors over the distinct pairs of a bridge, with the version of the dimension that is current."""
+    e = table(spark, d, "events")
+    w = e.groupBy(F.col("user_id").alias("sensor"), F.window("ts", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = table(spark, d, "orders").select(F.col("o_custkey").alias("sensor"), F.col("o_orderpriority").alias("asset"))
+    current = scd2_dim(spark, d).where("is_current").select(F.col("user_id").alias("sensor"), "status")
+    found = w.join(pairs.distinct(), "sensor").join(current, "sensor")
+    return found.groupBy("asset", "status").agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("readings"))
+
+
+@query("""
+    SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS created, TRY_CAST(left(o_orderpriority, 1) AS INTEGER) AS priority, o_orderstatus = 'F' AS is_corrective
+    FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey DESC) = 1
+""")
+def typed_orders(spark, d):
+    """Work orders typed from text, of each id's rows the one that came last in its file."""
+    raw = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "dd.MM.yyyy").alias("created"), F.substring("o_orderpriority", 1, 1).alias("priority"))
+    newest = windows.latest(raw, ["o_custkey", "o_orderstatus"], [F.desc("o_orderkey")])
+    typed = [C.typed(F.col("created"), "date", ("yyyy-MM-dd", "dd.MM.yyyy")).alias("created"), C.typed(F.col("priority"), "int").alias("priority")]
+    return newest.select("o_custkey", "o_orderkey", *typed, (F.col("o_orderstatus") == "F").alias("is_corrective"))
