@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -122,6 +122,14 @@ def extraction(valid: DataFrame, extracted: DataFrame, errors: DataFrame, key: s
     return check(by, "silver", F.col(kind), "objects_extracted", F.col("_n"), F.col("_got"), F.col("_failed"))
 
 
+def fields_extracted(extracted: DataFrame, kind: str, fields: Sequence[str]) -> DataFrame:
+    """Per kind of object the values found of the fields it should have; the detail counts what is missing by field."""
+    by = extracted.groupBy(kind).agg(F.count(F.lit(1)).alias("_n"), *(F.count(f).alias(f"_f{i}") for i, f in enumerate(fields)))
+    got = reduce(lambda a, b: a + b, (F.col(f"_f{i}") for i in range(len(fields))))
+    missing = [F.when(F.col(f"_f{i}") < F.col("_n"), F.concat(F.lit(f"{f} "), (F.col("_n") - F.col(f"_f{i}")).cast("string"))) for i, f in enumerate(fields)]
+    return check(by, "silver", F.col(kind), "fields_extracted", F.col("_n") * len(fields), got, detail=F.concat_ws(", ", *missing))
+
+
 def report(results: DataFrame, path: str) -> None:
     """The rows that do not match as one CSV file."""
     results.where("status <> 'MATCHED'").coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gneiss.functions.columns import blank_to_null, record_hash, record_json, typed
@@ -77,12 +78,21 @@ def reasons(codes: list[Column]) -> Column:
 
 
 def validate(df: DataFrame, contract: Contract) -> DataFrame:
-    """Adds _reject_reasons, _warnings (a repeated key in the batch warns) and _record_hash."""
+    """Adds _reject_reasons, _warnings (a repeated key in the batch warns) and _record_hash.
+
+    Keys are counted with partial sums and only repeated ones are joined back, so that one key, or none, on many rows is
+    no task of its own.
+    """
     reject, warn = checks(contract)
+    columns = df.columns
     if contract.key:
-        repeated = F.count(F.lit(1)).over(Window.partitionBy(*contract.key)) > 1
-        warn = [*warn, F.when(repeated, F.lit(f"{'+'.join(contract.key)}:DUPLICATE_IN_BATCH"))]
-    return df.withColumns({"_reject_reasons": reasons(reject), "_warnings": reasons(warn), "_record_hash": record_hash(contract.names)})
+        own = {f"_key{i}": F.col(c) for i, c in enumerate(contract.key)}
+        counted = df.groupBy(*(c.alias(k) for k, c in own.items())).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = counted.where("_n > 1").withColumn("_again", F.lit(True)).drop("_n")
+        df = df.join(repeated, reduce(lambda a, b: a & b, (c.eqNullSafe(F.col(k)) for k, c in own.items())), "left")
+        warn = [*warn, F.when(F.col("_again"), F.lit(f"{'+'.join(contract.key)}:DUPLICATE_IN_BATCH"))]
+    found = {"_reject_reasons": reasons(reject), "_warnings": reasons(warn), "_record_hash": record_hash(contract.names)}
+    return df.withColumns(found).select(*columns, *found)
 
 
 def split(validated: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

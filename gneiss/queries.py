@@ -958,3 +958,19 @@ def typed_orders(spark, d):
     newest = windows.latest(raw, ["o_custkey", "o_orderstatus"], [F.desc("o_orderkey")])
     typed = [C.typed(F.col("created"), "date", ("yyyy-MM-dd", "dd.MM.yyyy")).alias("created"), C.typed(F.col("priority"), "int").alias("priority")]
     return newest.select("o_custkey", "o_orderkey", *typed, (F.col("o_orderstatus") == "F").alias("is_corrective"))
+
+
+@query(r"""
+    WITH p AS (
+        SELECT coalesce(nullif(regexp_extract(html, '<html lang="([a-z]+)"', 1), ''), 'none') AS lang, nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '') AS title,
+               nullif(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '') AS heading, CASE WHEN page_id % 9 > 0 THEN url END AS address FROM pages),
+    b AS (SELECT lang, count(*) AS n, count(title) AS t, count(heading) AS h, count(address) AS a FROM p GROUP BY lang)
+    SELECT 'silver' AS layer, lang AS entity, 'fields_extracted' AS check_name, (3 * n)::DOUBLE AS expected, (t + h + a)::DOUBLE AS actual, NULL::DOUBLE AS explained_by,
+           CASE WHEN 3 * n = t + h + a THEN 'MATCHED' ELSE 'MISMATCH' END AS status,
+           concat_ws(', ', CASE WHEN t < n THEN 'title ' || (n - t) END, CASE WHEN h < n THEN 'heading ' || (n - h) END, CASE WHEN a < n THEN 'address ' || (n - a) END) AS detail FROM b
+""")
+def field_checks(spark, d):
+    """Fields found in pages of each language against those that every page should have."""
+    own = text.fields(F.col("html"), {"lang": "<html lang=\"([a-z]+)\"", "title": "<title>([^<]*)</title>", "heading": "<h1>([^<]*)</h1>"})
+    rows = table(spark, d, "pages").select(*own, F.when(F.col("page_id") % 9 > 0, F.col("url")).alias("address"))
+    return checks.fields_extracted(rows.fillna("none", ["lang"]), "lang", ["title", "heading", "address"])

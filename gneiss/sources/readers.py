@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -141,6 +142,11 @@ def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 24) ->
     return spark.readStream.schema(STREAM_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
+def topic_files(spark: SparkSession, root: str, topics: Sequence[str], files_per_trigger: int = 24) -> DataFrame:
+    """One stream of the message files of several topics, each in the folder of its name."""
+    return reduce(DataFrame.unionByName, [stream_files(spark, f"{root}/{t}", files_per_trigger).withColumn("topic", F.lit(t)) for t in topics])
+
+
 def bus_stream(spark: SparkSession, servers: str, topics: Sequence[str], options: dict | None = None) -> DataFrame:
     """The same columns from Kafka, where its connector is on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics)).option("failOnDataLoss", "false")

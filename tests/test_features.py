@@ -133,3 +133,15 @@ def test_named_checks_without_a_run(spark):
     accepted = spark.createDataFrame([("e", 3)], "entity string, n long")
     found = checks.union([checks.batch_status(audit, "bronze", "B"), checks.load_status(audit, accepted, "bronze", "B")]).collect()
     assert [(r["status"], r["detail"]) for r in found] == [("MISMATCH", "last bronze run NOT RUN"), ("MISMATCH", "the table holds 3 rows of an earlier run")]
+
+
+def test_topics_are_one_stream(spark, tmp_path):
+    from gneiss.sources import readers
+
+    for topic, n in (("a", 3), ("b", 2)):
+        rows = spark.range(n).select(F.lit("k").alias("key"), F.col("id").alias("timestamp"), F.lit("{}").alias("value"))
+        rows.write.json(f"file://{tmp_path}/in/{topic}")
+    stream = readers.topic_files(spark, f"file://{tmp_path}/in", ["a", "b"])
+    query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {(r["topic"], r["count"]) for r in spark.read.parquet(f"{tmp_path}/out").groupBy("topic").count().collect()} == {("a", 3), ("b", 2)}
