@@ -974,3 +974,37 @@ def field_checks(spark, d):
     own = text.fields(F.col("html"), {"lang": "<html lang=\"([a-z]+)\"", "title": "<title>([^<]*)</title>", "heading": "<h1>([^<]*)</h1>"})
     rows = table(spark, d, "pages").select(*own, F.when(F.col("page_id") % 9 > 0, F.col("url")).alias("address"))
     return checks.fields_extracted(rows.fillna("none", ["lang"]), "lang", ["title", "heading", "address"])
+
+
+@query("SELECT event_type AS entity, CAST(ts AS DATE) AS day FROM events GROUP BY ALL")
+def loaded_dates(spark, d):
+    """The dates that each entity has rows for."""
+    return table(spark, d, "events").select(F.col("event_type").alias("entity"), F.to_date("ts").alias("day")).distinct()
+
+
+_KPIS = {
+    "orders": "count(*)", "customers": "count(distinct o_custkey)", "turnover": "sum(o_totalprice)", "largest": "max(o_totalprice)", "smallest": "min(o_totalprice)", "mean": "avg(o_totalprice)",
+    "final": "count_if(o_orderstatus = 'F')", "urgent": "count_if(o_orderpriority like '1%')", "share_final": "avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END)",
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS comparison, round(CAST({sql} AS DOUBLE), 4) AS certified, round(CAST({sql} AS DOUBLE) * {1.1 if name == 'largest' else 1}, 4) AS consumer, '{'MISMATCH' if name == 'largest' else 'MATCHED'}' AS status FROM orders"
+    for name, sql in _KPIS.items()
+))
+def kpi_comparisons(spark, d):
+    """Nine certified values against those a consumer makes of a daily roll-up; one of them a tenth too large."""
+    o = table(spark, d, "orders")
+    view = o.agg(*(F.expr(sql).cast("double").alias(name) for name, sql in _KPIS.items()))
+    daily = o.groupBy("o_orderdate", "o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("s"), F.max("o_totalprice").alias("hi"), F.min("o_totalprice").alias("lo"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("f"), F.count_if(F.col("o_orderpriority").startswith("1")).alias("u"),
+    )
+    made = {
+        "orders": F.sum("n"), "customers": F.count_distinct("o_custkey"), "turnover": F.sum("s"), "largest": F.max("hi") * 1.1, "smallest": F.min("lo"), "mean": F.sum("s") / F.sum("n"),
+        "final": F.sum("f"), "urgent": F.sum("u"), "share_final": F.sum("f") / F.sum("n"),
+    }
+    consumer = daily.agg(*(c.cast("double").alias(f"c_{name}") for name, c in made.items()))
+    both = view.crossJoin(consumer)  # one row each
+    found = checks.union([checks.kpi_consistency(both, name, F.col(name), F.col(f"c_{name}")) for name in _KPIS])
+    return found.select("comparison", F.round("certified", 4).alias("certified"), F.round("consumer", 4).alias("consumer"), "status")

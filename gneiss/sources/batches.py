@@ -38,6 +38,28 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, such as a manifest or a marker, written whole or replaced."""
+    fs, at = _place(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where it is absent."""
+    fs, at = _place(spark, path)
+    if not fs.exists(at):
+        return None
+    found = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(found, "UTF-8")
+    finally:
+        found.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = _place(spark, path)
     fs.delete(at, True)

@@ -145,3 +145,40 @@ def test_topics_are_one_stream(spark, tmp_path):
     query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     assert {(r["topic"], r["count"]) for r in spark.read.parquet(f"{tmp_path}/out").groupBy("topic").count().collect()} == {("a", 3), ("b", 2)}
+
+
+def test_small_files(spark, tmp_path):
+    path = f"file://{tmp_path}/a/_manifest.json"
+    assert batches.read_text(spark, path) is None and batches.names(spark, f"file://{tmp_path}/a") == []
+    for body in ("{}", "größer"):
+        batches.write_text(spark, path, body)
+        assert batches.read_text(spark, path) == body
+    assert "_manifest.json" in batches.names(spark, f"file://{tmp_path}/a")
+    batches.remove(spark, path)
+    assert not batches.exists(spark, path)
+
+
+def test_tags_of_a_drawing(spark):
+    body = b"BT (EQUIPMENT LIST) Tj 0 -14 Td (P-101A feed pump) Tj 0 -14 Td (V-7 valve) Tj 0 -14 Td (P-101A again) Tj ET"
+    pdf = b"%PDF-1.4\n1 0 obj\n<< /Length " + str(len(body)).encode() + b" >>\nstream\n" + body + b"\nendstream\nendobj\n%%EOF\n"
+    pages = formats.extract(spark.createDataFrame([("d.pdf", pdf)], "file_name string, content binary")).where("kind = 'doc_page'")
+    rows = pages.select(text.tags(text.block(F.get_json_object("facts", "$.text"), "EQUIPMENT LIST"), r"[A-Z]+-\d+[A-Z]?").alias("tags"))
+    assert rows.first()["tags"] == ["P-101A", "V-7"]
+
+
+def test_judged_and_counted_rows(spark):
+    from gneiss.operators import windows
+
+    rows = [("a", i, float(v), i != 7, i != 9) for i, v in enumerate([1, 2, 1, 2, 1, 2, 1, 90, 1, 80, 2, 70])]
+    df = spark.createDataFrame(rows, "k string, t long, v double, counts boolean, judge boolean")
+    found = windows.rolling_zscore(df, "k", ["t"], "v", rows=4, threshold=2.0, judged=F.col("judge"), counted=F.col("counts"), segment_rows=3)
+    assert sorted(r["t"] for r in found.collect()) == [7]  # 9 is not judged, and it is in the reference of 11
+    assert {r["t"] for r in windows.rolling_zscore(df, "k", ["t"], "v", rows=4, threshold=2.0, counted=F.col("counts"), segment_rows=3).collect()} == {7, 9}
+
+
+def test_gate_with_a_champion_and_asset_checks(spark):
+    metrics = spark.createDataFrame([(0.90, 0.2)], "auroc double, brier double")
+    found = {r["metric"]: (r["limit_value"], r["passed"]) for r in checks.gate(metrics, {"auroc": (">=", 0.8), "brier": ("<=", 0.1)}, champion=0.93).collect()}
+    assert found == {"auroc": (0.8, True), "brier": (0.1, False), "auroc_vs_champion": (pytest.approx(0.92), False)}
+    df = spark.createDataFrame([(1.0, None), (200.0, 5.0)], "a double, b double")
+    assert [r["failed_checks"] for r in checks.asset_checks(df, {"a": (0, 100), "b": (0, 10)}).collect()] == [["b:MISSING"], ["a:OUT_OF_RANGE"]]
