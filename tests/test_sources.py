@@ -280,8 +280,8 @@ def test_nearest_rings_against_crossing(spark):
     rows = lambda df: sorted((r["p"], r["s"], round(r["distance_m"], 3)) for r in df.collect())
     crossed = rows(spatial.nearest(points, sites, "p", "s", crossed_sites=10_000))
     assert len(crossed) == len(places)
-    for side in (None, 0.01, 2.0):
-        assert rows(spatial.nearest(points, sites, "p", "s", crossed_sites=0, first_side=side)) == crossed
+    for side, full in ((None, 64), (0.01, 64), (2.0, 1000), (0.05, 3), (1e-6, 0)):
+        assert rows(spatial.nearest(points, sites, "p", "s", crossed_sites=0, first_side=side, full_cell=full)) == crossed
     assert spatial.nearest(points, sites.where("s < 0"), "p", "s").count() == 0 and spatial.nearest(points.where("p < 0"), sites, "p", "s", crossed_sites=0).count() == 0
 
 
