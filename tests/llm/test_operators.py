@@ -597,4 +597,4 @@ def test_pipeline(spark):
 
 def test_every_query_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

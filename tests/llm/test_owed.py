@@ -112,3 +112,25 @@ def test_other_models_are_refused(monkeypatch):
     monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "get_score", lambda self, i: -0.5 - i)
     with pytest.raises(ValueError, match="byte-pair"):
         sentencepiece_sa.Codec(sentencepiece_sa.default_path())
+
+
+def test_recall_of_a_large_shard(spark):
+    """One graph over the tables' largest set of vectors, nearly a full shard: recall of ten against brute force."""
+    import os
+
+    from gneiss.llm import ann
+
+    path = "/root/testdata/check_l/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no large table here")
+    rows = spark.read.parquet(path).select("vec_id", "embedding")
+    v = np.array(rows.orderBy("vec_id").select("embedding").toArrow().column(0).combine_chunks().flatten(), dtype=np.float64).reshape(-1, 64)
+    found: dict[int, list[int]] = {}
+    for r in ann.nearest(rows, query_modulus=400).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits = []
+    for q, got in found.items():
+        far = ((v - v[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits.append(len(set(got) & set(np.argsort(far, kind="stable")[:10].tolist())) / 10)
+    assert len(found) == -(-len(v) // 400) and np.mean(hits) >= 0.9
