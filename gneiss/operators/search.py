@@ -8,11 +8,13 @@ by the files' statistics on the sorted terms, and the norms of the documents fou
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from gneiss.operators.joins import small
 from gneiss.session import bounded_batches, workspace
 
 TOKEN = re.compile(r"[a-z0-9][a-z0-9\-]+")
-#: Postings that a segment holds about; it bounds a task's memory.
-SEGMENT_POSTINGS = 1_000_000
+#: Tokens of a segment; it bounds a task's memory.
+SEGMENT_TOKENS = 500_000
 #: Terms of more than one document that may be broadcast while norms are made.
 BROADCAST_TERMS = 1_000_000
 
@@ -29,42 +31,64 @@ BROADCAST_TERMS = 1_000_000
 def terms_of(lowered: str) -> Counter:
     """How often a text holds each token and each pair of neighbouring tokens."""
     tokens = TOKEN.findall(lowered)
-    counts = Counter(tokens)
-    counts.update(f"{a} {b}" for a, b in zip(tokens, tokens[1:], strict=False))
-    return counts
+    return Counter(tokens) + Counter(f"{a} {b}" for a, b in zip(tokens, tokens[1:], strict=False))
 
 
-def _segments(rows: DataFrame, segment_postings: int) -> DataFrame:
-    """(term, keys, counts): per segment a row for each term, in order."""
+def _postings(words: list[str], tokens: np.ndarray, docs: np.ndarray, keys: pa.Array) -> Iterator[pa.RecordBatch]:
+    """A segment's rows (term, keys, counts) in the order of terms; tokens are numbers of words, docs of keys.
 
-    def flush(held: dict[str, tuple[list, list]], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-        terms = sorted(held)
-        for lo in range(0, len(terms), 1 << 15):
-            part = terms[lo : lo + (1 << 15)]
-            ends = pa.array(np.cumsum([0, *(len(held[t][0]) for t in part)]), pa.int32())
-            keys = pa.array([k for t in part for k in held[t][0]], kind)
-            counts = pa.array([n for t in part for n in held[t][1]], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.ListArray.from_arrays(ends, keys), pa.ListArray.from_arrays(ends, counts)], names=["term", "keys", "counts"])
+    A pair of neighbours is one number of two words', so that all counting is sorting of numbers.
+    """
+    pairs = np.flatnonzero(docs[1:] == docs[:-1])
+    codes = np.concatenate([tokens, (tokens[pairs] + 1 << 32) + tokens[pairs + 1]])
+    owner = np.concatenate([docs, docs[pairs]])
+    order = np.lexsort((owner, codes))
+    codes, owner = codes[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])]))
+    counts, owner, codes = np.diff(np.append(first, len(codes))), owner[first], codes[first]
+    kinds, group = np.unique(codes, return_inverse=True)
+    names = [words[c] if c < 1 << 32 else f"{words[(c >> 32) - 1]} {words[c & 0xFFFFFFFF]}" for c in kinds.tolist()]
+    place = pc.sort_indices(pa.array(names, pa.string())).to_numpy()
+    rank = np.empty(len(place), np.int64)
+    rank[place] = np.arange(len(place))
+    rows = np.argsort(rank[group], kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(rank[group], minlength=len(place)))])
+    for lo in range(0, len(place), 1 << 15):
+        hi = min(lo + (1 << 15), len(place))
+        part, bounds = rows[ends[lo] : ends[hi]], pa.array(ends[lo : hi + 1] - ends[lo], pa.int32())
+        columns = (keys.take(pa.array(owner[part])), pa.array(counts[part], pa.int32()))
+        lists = [pa.ListArray.from_arrays(bounds, c) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in place[lo:hi]], pa.string()), *lists], names=["term", "keys", "counts"])
+
+
+def _segments(rows: DataFrame, segment_tokens: int) -> DataFrame:
+    """(term, keys, counts): per segment a row for each term, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, kind = {}, 0, pa.int64()
+        words: dict[str, int] = {}
+        tokens, docs, keys = array("q"), array("q"), []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            yield from _postings(list(words), np.array(tokens), np.array(docs), pa.concat_arrays(keys))
+
+        n = 0
         for b in batches:
-            kind = b.column(0).type
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for term, count in terms_of(text).items():
-                    keys, counts = held.setdefault(term, ([], []))
-                    keys.append(key)
-                    counts.append(count)
-                    n += 1
-                if n >= segment_postings:
-                    yield from flush(held, kind)
-                    held, n = {}, 0
-        yield from flush(held, kind)
+            keys.append(b.column(0))
+            for text in b.column(1).to_pylist():
+                own = [words.setdefault(t, len(words)) for t in TOKEN.findall(text)]
+                tokens.extend(own)
+                docs.extend([n] * len(own))
+                n += 1
+            if len(tokens) >= segment_tokens:
+                yield from flush()
+                words, tokens, docs, keys, n = {}, array("q"), array("q"), [], 0
+        if len(tokens):
+            yield from flush()
 
     return rows.mapInArrow(run, f"term string, keys array<{dict(rows.dtypes)['key']}>, counts array<int>")
 
 
-def build_index(df: DataFrame, key: str, text: str, folder: str, segment_postings: int = SEGMENT_POSTINGS) -> None:
+def build_index(df: DataFrame, key: str, text: str, folder: str, segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Writes postings (term, keys, counts), terms (term, df) and norms (key, norm) of a text column under a folder.
 
     A term's weight in a document is (ln(count) + 1) * idf with idf = ln((1 + n) / (1 + df)) + 1. A null text has no
@@ -73,10 +97,13 @@ def build_index(df: DataFrame, key: str, text: str, folder: str, segment_posting
     spark = df.sparkSession
     bounded_batches(spark)
     rows = df.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    _segments(rows, segment_postings).write.parquet(f"{folder}/postings")
+    tasks = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < tasks:  # a small file is one split
+        rows = rows.repartition(tasks)
+    _segments(rows, segment_tokens).write.parquet(f"{folder}/postings")
     postings = spark.read.parquet(f"{folder}/postings")
     found = postings.groupBy("term").agg(F.sum(F.size("keys")).alias("df"))
-    found.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{folder}/terms")
+    found.sortWithinPartitions("term").write.parquet(f"{folder}/terms")
     df.agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{folder}/documents")
     n = spark.read.parquet(f"{folder}/documents").first()["n"]
     several = spark.read.parquet(f"{folder}/terms").where("df > 1")  # the others, most of them, share one idf

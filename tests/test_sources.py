@@ -310,7 +310,7 @@ def test_search_index(spark, tmp_path):
     docs = spark.createDataFrame([(1, "The pump house pump"), (2, "a valve-7 by the pump house"), (3, None), (4, "nothing else here"), (5, "the pump house pump")], "k int, text string")
     one, many = f"file://{tmp_path}/one", f"file://{tmp_path}/many"
     search.build_index(docs.coalesce(1), "k", "text", one)
-    search.build_index(docs.repartition(3), "k", "text", many, segment_postings=2)
+    search.build_index(docs.repartition(3), "k", "text", many, segment_tokens=2)
     found = [[tuple(r) for r in search.search(spark, f, "pump House, the unknown", 3).collect()] for f in (one, many)]
     assert found[0] == found[1] and [k for k, _ in found[0]] == [1, 5, 2] and found[0][0][1] == found[0][1][1]
     assert search.search(spark, one, "unknown words").count() == 0
