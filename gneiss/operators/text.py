@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from gneiss.operators.joins import small
 
-NUMBER = r"-?\d+(?:\.\d+)?"
-#: What looks like a number inside a name: up to six letters, a hyphen or an underscore, then a run with a digit in it.
-NAMED_NUMBER = r"\b\p{Alpha}{1,6}[_-][\w.-]*?\d[\w.-]*"
+#: What numbers look like, and what only seems to hold some: a day with or without its time, and a name (up to six letters,
+#: a hyphen or an underscore, then a run with a digit in it). Commas may stand before groups of three digits.
+NUMBER = r"-?\d+(?:,\d{3}\b)*(?:\.\d+)?"
+DAY = r"\d{4}(?:-\d{2}){2}(?:[T ]\d{2}(?::\d{2}){1,2}Z?)?"
+NAMED = r"\b\p{Alpha}{1,6}[_-][\w.-]*?\d[\w.-]*"
 TICKET_TYPES = ("Inspection", "Repair", "Sensor", "Monitor")
 PRIORITIES = ("High", "Medium", "Low")
 
@@ -60,11 +62,9 @@ def snippet(text: Column, terms: Sequence[str], width: int = 320) -> Column:
 
 
 def numbers(text: Column) -> Column:
-    """Numbers of a text as doubles, dates and ids taken out, thousands commas dropped."""
-    bare = F.regexp_replace(text, r"\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2})?Z?)?", " ")
-    bare = F.regexp_replace(bare, NAMED_NUMBER, " ")
-    bare = F.regexp_replace(bare, r"(?<=\d),(?=\d{3}\b)", "")
-    return F.transform(F.regexp_extract_all(bare, F.lit(NUMBER), F.lit(0)), lambda x: x.try_cast("double"))
+    """Numbers of a text as doubles, those inside days and names left out; read in one pass from left to right."""
+    found = F.regexp_extract_all(text, F.lit(f"{DAY}|{NAMED}|({NUMBER})"), F.lit(1))
+    return F.transform(F.filter(found, lambda x: x != ""), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("double"))
 
 
 def ungrounded(output: Column, context: Column) -> Column:
