@@ -285,6 +285,23 @@ def test_nearest_rings_against_crossing(spark):
     assert spatial.nearest(points, sites.where("s < 0"), "p", "s").count() == 0 and spatial.nearest(points.where("p < 0"), sites, "p", "s", crossed_sites=0).count() == 0
 
 
+def test_nearest_places_searched_once(spark, monkeypatch):
+    """Copies of places do not multiply the search's rows, and a repeated point key stays one row."""
+    from gneiss.operators import spatial
+
+    points = spark.range(4000).selectExpr("id AS p", "id % 5 * 1e-7 + 45 AS lat", "id % 2 * 1e-7 + 45 AS lon")
+    sites = spark.range(200).selectExpr("id AS s", "id % 20 * 1e-7 + 45 AS lat", "id % 7 * 1e-7 + 45.0 AS lon")
+    sizes = []
+    settle = spatial.settle
+    monkeypatch.setattr(spatial, "settle", lambda df: [out := settle(df), sizes.append(out.count())][0])
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    found = spatial.nearest(points, sites, "p", "s", crossed_sites=0)
+    assert rows(found) == rows(spatial.nearest(points, sites, "p", "s", crossed_sites=1000)) and found.count() == 4000
+    assert len(sizes) > 2 and max(sizes) <= 10 * 140
+    assert spatial.nearest(points.unionByName(points), sites, "p", "s", crossed_sites=0).count() == 4000
+    assert spatial.nearest(points.unionByName(points), sites, "p", "s", crossed_sites=1000).count() == 4000
+
+
 def test_long_series_in_segments(spark):
     """Rolling scores and alarms of one long series, cut in many segments, equal those of one window and of a loop."""
     from gneiss.operators import windows
