@@ -285,6 +285,25 @@ def test_nearest_rings_against_crossing(spark):
     assert spatial.nearest(points, sites.where("s < 0"), "p", "s").count() == 0 and spatial.nearest(points.where("p < 0"), sites, "p", "s", crossed_sites=0).count() == 0
 
 
+def _rows_made(df, kind):
+    """Rows that the operators whose name contains kind gave out in the run of df."""
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+        children, metrics = node.children(), node.metrics()
+        todo += [children.apply(i) for i in range(children.size())]
+        if kind in name and metrics.contains("numOutputRows"):
+            n += metrics.apply("numOutputRows").value()
+    return n
+
+
 def test_nearest_places_searched_once(spark, monkeypatch):
     """Copies of places do not multiply the search's rows, and a repeated point key stays one row."""
     from gneiss.operators import spatial
@@ -302,6 +321,14 @@ def test_nearest_places_searched_once(spark, monkeypatch):
     assert spatial.nearest(points.unionByName(points), sites, "p", "s", crossed_sites=1000).count() == 4000
 
 
+def test_few_sites_make_no_pairs(spark):
+    from gneiss.operators import spatial
+
+    points = spark.range(500).selectExpr("id AS p", "id % 90 * 1D AS lat", "id % 180 * 1D AS lon")
+    sites = spark.range(25).selectExpr("id AS s", "id * 3D AS lat", "id * 7D AS lon")
+    assert 0 < _rows_made(spatial.nearest(points, sites, "p", "s"), "Join") <= 500
+
+
 def test_long_series_in_segments(spark):
     """Rolling scores and alarms of one long series, cut in many segments, equal those of one window and of a loop."""
     from gneiss.operators import windows
