@@ -362,6 +362,30 @@ def test_search_index(spark, tmp_path):
     assert search.search(spark, f"file://{tmp_path}/none", "pump").count() == 0
 
 
+def test_search_terms_by_bytes():
+    """Tokens, pairs and counts of a segment equal those of the pattern, in the order of terms."""
+    import numpy as np
+    import pyarrow as pa
+
+    from gneiss.operators import search
+
+    rnd = random.Random(7)
+    texts = ["", "a", "-", "--ab-", "a-", "-a", "ab", "b-\u00e9-c--d1", *("".join(rnd.choices("ab1-- \u00e9.", k=rnd.randrange(40))) for _ in range(300)), "ab-"]
+    column = pa.array(["xx", *texts]).slice(1)
+    tokens, lengths = search._tokens(column)
+    assert tokens.to_pylist() == [t for x in texts for t in search.TOKEN.findall(x)] and lengths.tolist() == [len(search.TOKEN.findall(x)) for x in texts]
+    coded = tokens.dictionary_encode()
+    docs = [i for i, n in enumerate(lengths) for _ in range(n)]
+    rows = [r for b in search._postings(coded.dictionary, coded.indices.to_numpy().astype("int64"), np.array(docs), pa.array(range(len(texts)))) for r in b.to_pylist()]
+    expected: dict[str, dict[int, int]] = {}
+    for i, x in enumerate(texts):
+        for t, n in search.terms_of(x).items():
+            expected.setdefault(t, {})[i] = n
+    assert [r["term"] for r in rows] == sorted(expected) and all(r["n"] == len(r["keys"]) for r in rows)
+    assert {r["term"]: dict(zip(r["keys"], r["counts"], strict=True)) for r in rows} == expected
+    assert [len(x) for x in search._tokens(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_stream_alarms_and_batch_folders(spark, tmp_path):
     from gneiss.streaming import telemetry
 
